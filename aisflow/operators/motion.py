@@ -12,6 +12,10 @@ KEY = "MMSI"
 # Equal times are ordered by position, so that results do not depend on the input order.
 ORDER = ["BaseDateTime", "LAT", "LON"]
 
+# Names of the neighbour's columns.
+PREVIOUS = "_prev_"
+NEXT = "_next_"
+
 # Rows per slice of a hot key.
 SLICE_ROWS = 1_000_000
 
@@ -24,19 +28,25 @@ def _total_order(columns: list[str]) -> list[str]:
     return ORDER + [c for c in columns if c != KEY and c not in ORDER]
 
 
-def link_cold(pings: DataFrame, values: list[str], name: str, reverse: bool = False) -> DataFrame:
-    """Adds ``name``: struct of ``values`` of the previous (or next) row of the same ship.
+def _beside(prefix: str) -> list[str]:
+    return [prefix + column for column in ORDER]
+
+
+def _lagged(window, prefix: str) -> dict[str, Column]:
+    """One lag per column: a lag of a struct would put the struct into the shuffle a second time."""
+    return {prefix + column: F.lag(column).over(window) for column in ORDER}
 
-    One shuffle by ship and one sort; every value travels in a single lag.
-    """
-    w = Window.partitionBy(KEY).orderBy(*_in_order(ORDER, reverse))
-    return pings.withColumn(name, F.lag(F.struct(*values)).over(w))
+
+def link_cold(pings: DataFrame, prefix: str, reverse: bool = False) -> DataFrame:
+    """Adds time and position of the previous (or next) row of the same ship, as
+    columns named with ``prefix``. One shuffle by ship and one sort."""
+    window = Window.partitionBy(KEY).orderBy(*_in_order(ORDER, reverse))
+    return pings.withColumns(_lagged(window, prefix))
 
 
 def link_hot(
     pings: DataFrame,
-    values: list[str],
-    name: str,
+    prefix: str,
     total_rows: int,
     reverse: bool = False,
     slice_rows: int = SLICE_ROWS,
@@ -47,7 +57,7 @@ def link_hot(
        pile of copies costs one row per task.
     2. A range partitioning by ship, time and position cuts each ship into
        slices of similar size, wherever its rows lie in time. The cut is
-       checkpointed: both uses below must see the same one, even after an
+       checkpointed: all uses below must see the same one, even after an
        executor is lost.
     3. Each slice gets the last row of the slice before it as an extra row, then
        a window per (ship, slice) links rows as in ``link_cold``.
@@ -65,7 +75,7 @@ def link_hot(
         .checkpoint()
     )
 
-    # One row per ship and slice from here on: as many as there are partitions.
+    # One row per ship and slice from here on, never more than there are partitions.
     edge = F.min if reverse else F.max
     by_slice = Window.partitionBy(KEY).orderBy("_slice")
     neighbour = F.lag("_slice").over(by_slice) if reverse else F.lead("_slice").over(by_slice)
@@ -76,18 +86,18 @@ def link_hot(
         .where("_slice IS NOT NULL")
     )
 
-    w = Window.partitionBy(KEY, "_slice").orderBy(*_in_order(order, reverse))
+    window = Window.partitionBy(KEY, "_slice").orderBy(*_in_order(order, reverse))
     firsts = (
         cut.unionByName(carried)
-        .withColumn(name, F.lag(F.struct(*values)).over(w))
+        .withColumns(_lagged(window, prefix))
         .where("_copies > 0")
-        .select(*columns, name)
+        .select(*columns, *_beside(prefix))
     )
-    return firsts.unionByName(_further_copies(cut, columns, values, name, slices, slice_rows))
+    return firsts.unionByName(_further_copies(cut, columns, prefix, slices, slice_rows))
 
 
 def _further_copies(
-    cut: DataFrame, columns: list[str], values: list[str], name: str, tasks: int, chunk_rows: int
+    cut: DataFrame, columns: list[str], prefix: str, tasks: int, chunk_rows: int
 ) -> DataFrame:
     """All copies but the first, laid out in chunks over many tasks."""
     last_chunk = F.floor((F.col("_copies") - 2) / chunk_rows)
@@ -97,60 +107,55 @@ def _further_copies(
         .repartition(tasks, KEY, *ORDER, "_chunk")
     )
     in_chunk = F.least(F.lit(chunk_rows), F.col("_copies") - 1 - F.col("_chunk") * chunk_rows)
-    return chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), in_chunk))).select(
-        *columns, F.struct(*values).alias(name)
-    )
+    laid_out = chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), in_chunk)))
+    return laid_out.select(*columns, *[F.col(c).alias(prefix + c) for c in ORDER])
 
 
 def link(
     pings: DataFrame,
-    values: list[str],
-    name: str,
+    prefix: str,
     reverse: bool = False,
     hot_rows: int = HOT_ROWS,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """``link_cold`` for ordinary ships, ``link_hot`` for the rest, if any."""
     parts = split_hot(pings, KEY, hot_rows)
-    linked = link_cold(parts.cold, values, name, reverse)
+    linked = link_cold(parts.cold, prefix, reverse)
     if parts.hot is None:
         return linked
-    return linked.unionByName(link_hot(parts.hot, values, name, parts.hot_rows, reverse, slice_rows))
-
-
-def metres_between(earlier: str) -> Column:
-    return geo.geodesic_m(F.col(f"{earlier}.LON"), F.col(f"{earlier}.LAT"), F.col("LON"), F.col("LAT"))
+    return linked.unionByName(link_hot(parts.hot, prefix, parts.hot_rows, reverse, slice_rows))
 
 
-def minutes_since(earlier: Column, later: Column, legacy_sign: bool = False) -> Column:
+def minutes_between(earlier: Column, later: Column, legacy_sign: bool = False) -> Column:
     """Whole seconds of both times, as minutes. ``legacy_sign`` counts backwards."""
     seconds = F.unix_timestamp(later) - F.unix_timestamp(earlier)
     return (-seconds if legacy_sign else seconds) / 60
 
 
-def with_gaps(linked: DataFrame, name: str = "_prev", legacy_sign: bool = False) -> DataFrame:
+def with_gaps(linked: DataFrame, prefix: str = PREVIOUS, legacy_sign: bool = False) -> DataFrame:
     """Metres and minutes since the previous ping; null for the first of a ship."""
+    time, lat, lon = (F.col(name) for name in _beside(prefix))
     return linked.withColumns(
         {
-            "MeterSincePrevPing": metres_between(name),
-            "MinSincePrevPing": minutes_since(F.col(f"{name}.BaseDateTime"), F.col("BaseDateTime"), legacy_sign),
+            "MeterSincePrevPing": geo.geodesic_m(lon, lat, F.col("LON"), F.col("LAT")),
+            "MinSincePrevPing": minutes_between(time, F.col("BaseDateTime"), legacy_sign),
         }
-    ).drop(name)
+    ).drop(*_beside(prefix))
 
 
 def previous_gaps(pings: DataFrame, legacy_sign: bool = False, **limits) -> DataFrame:
     """Position rows with the gap to the previous one."""
-    return with_gaps(link(pings, ORDER, "_prev", **limits), legacy_sign=legacy_sign)
+    return with_gaps(link(pings, PREVIOUS, **limits), legacy_sign=legacy_sign)
 
 
 def next_leg(pings: DataFrame, **limits) -> DataFrame:
     """Position rows with the next position and the haversine kilometres ``d`` to it."""
-    linked = link(pings, ORDER, "_next", reverse=True, **limits)
-    return linked.select(
+    time, lat, lon = (F.col(name) for name in _beside(NEXT))
+    return link(pings, NEXT, reverse=True, **limits).select(
         *pings.columns,
-        F.col("_next.LAT").alias("lead_LAT"),
-        F.col("_next.LON").alias("lead_LON"),
-        F.col("_next.BaseDateTime").alias("lead_time"),
+        lat.alias("lead_LAT"),
+        lon.alias("lead_LON"),
+        time.alias("lead_time"),
         geo.haversine_km(F.col("LON"), F.col("LAT"), F.col("lead_LON"), F.col("lead_LAT")).alias("d"),
     )
 

@@ -28,22 +28,19 @@ def time_analysis(
     same partitioning and sort.
     """
     positions = pings.select(*POSITION_COLUMNS)
-    if proximity.few_enough(ports, broadcast_ports):
-        found = proximity.own_port(positions, ports, radius_m)
-        parts = split_hot(found, "MMSI", hot_rows)
-        linked = motion.link_cold(parts.cold, motion.ORDER, "_prev")
-        result = _named(_share_by_window(linked), legacy_sign)
-        if parts.hot is None:
-            return result
-        shared = _share_by_join(parts.hot)
-        linked = motion.link_hot(
-            shared, motion.ORDER, "_prev", parts.hot_rows, slice_rows=slice_rows
-        )
-        return result.unionByName(_named(linked, legacy_sign))
-    tagged = proximity.pings_with_port(positions, ports, radius_m, broadcast_ports)
-    tagged = tagged.withColumnRenamed("UNLOCODE", "NearPort")
-    linked = motion.link(tagged, motion.ORDER, "_prev", hot_rows=hot_rows, slice_rows=slice_rows)
-    return _named(linked, legacy_sign)
+    if not proximity.few_enough(ports, broadcast_ports):
+        tagged = proximity.pings_with_port(positions, ports, radius_m, broadcast_ports)
+        tagged = tagged.withColumnRenamed("UNLOCODE", "NearPort")
+        linked = motion.link(tagged, motion.PREVIOUS, hot_rows=hot_rows, slice_rows=slice_rows)
+        return _named(linked, legacy_sign)
+    parts = split_hot(positions, motion.KEY, hot_rows)
+    linked = motion.link_cold(proximity.own_port(parts.cold, ports, radius_m), motion.PREVIOUS)
+    result = _named(_share_by_window(linked), legacy_sign)
+    if parts.hot is None:
+        return result
+    shared = _share_by_join(proximity.own_port(parts.hot, ports, radius_m))
+    linked = motion.link_hot(shared, motion.PREVIOUS, parts.hot_rows, slice_rows=slice_rows)
+    return result.unionByName(_named(linked, legacy_sign))
 
 
 def _share_by_window(linked: DataFrame) -> DataFrame:

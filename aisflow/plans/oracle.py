@@ -186,11 +186,11 @@ _BODIES = {
         JOIN (SELECT MMSI, count(*) AS pings, count(Heading) AS headings FROM motion GROUP BY MMSI) USING (MMSI)
         JOIN (SELECT MMSI, count(NearPort) AS near_port FROM gaps GROUP BY MMSI) USING (MMSI)
         GROUP BY Type""",
-    "incremental_days": """SELECT day, cast(year(day) AS integer) AS year, cast(month(day) AS integer) AS month,
+    "incremental_days": """SELECT cast(day AS varchar) AS day, cast(year(day) AS integer) AS year, cast(month(day) AS integer) AS month,
         cast(day(day) AS integer) AS dayofmonth
         FROM (SELECT DISTINCT cast(l_shipdate AS date) AS day FROM lineitem
         EXCEPT SELECT cast(o_orderdate AS date) FROM orders)""",
-    "backfill_days": """SELECT day, cast(year(day) AS integer) AS year, cast(month(day) AS integer) AS month,
+    "backfill_days": """SELECT cast(day AS varchar) AS day, cast(year(day) AS integer) AS year, cast(month(day) AS integer) AS month,
         cast(day(day) AS integer) AS dayofmonth FROM (SELECT cast(unnest(generate_series(
         cast(min(o_orderdate) AS date), cast(max(o_orderdate) AS date), INTERVAL 1 DAY)) AS date) AS day
         FROM orders EXCEPT SELECT cast(BaseDateTime AS date) FROM raw)""",

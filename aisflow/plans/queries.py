@@ -40,6 +40,10 @@ def _rounded(frame: DataFrame, *names: str) -> DataFrame:
     return frame.withColumns({name: F.round(name, 3) for name in names})
 
 
+def _dated(found: DataFrame) -> DataFrame:
+    return days.split_day(found).withColumn("day", F.col("day").cast("string"))
+
+
 # Cleaning
 
 
@@ -374,7 +378,7 @@ def incremental_days(spark, folder):
     """Ship days without any order day: what an ingest of the former would still have to read."""
     shipped = standin.table(spark, folder, "lineitem").select(F.col("l_shipdate").alias("BaseDateTime"))
     ordered = standin.table(spark, folder, "orders").select(F.col("o_orderdate").alias("BaseDateTime"))
-    return days.split_day(days.missing(days.landed_days(shipped), days.landed_days(ordered)))
+    return _dated(days.missing(days.landed_days(shipped), days.landed_days(ordered)))
 
 
 @registered
@@ -382,4 +386,4 @@ def backfill_days(spark, folder):
     """All days spanned by the orders on which no ping landed."""
     ordered = standin.table(spark, folder, "orders").select(F.col("o_orderdate").alias("BaseDateTime"))
     landed = days.landed_days(standin.pings(spark, folder))
-    return days.split_day(days.missing(days.days_spanned(ordered), landed))
+    return _dated(days.missing(days.days_spanned(ordered), landed))
