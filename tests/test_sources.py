@@ -1,0 +1,165 @@
+import zipfile
+
+import pytest
+from conftest import plan_of
+from makers import positions
+
+from aisflow import schemas
+from aisflow.plans import ingest_days
+from aisflow.sources import days, ports
+from aisflow.sources import pings as ping_source
+
+HEADER = ",".join(schemas.PING.names)
+
+
+def line(day, second, mmsi="338000001", name="ONE", rest="IMO9000001,CS1,30,0,10,4,2.5,30,A"):
+    return f"{mmsi},2024-01-{day:02d}T00:00:{second:02d},30.5,-90.25,0.1,-49.6,511.0,{name},{rest}"
+
+
+def text(*lines, end="\n"):
+    return end.join([HEADER, *lines]) + end
+
+
+def test_csv_day_file_is_typed(spark, tmp_path):
+    path = tmp_path / "AIS_2024_01_01.csv"
+    path.write_text(text(line(1, 3), line(1, 4, name="", rest=",,,,,,,,B"), end="\r\n"), newline="")
+    read = ping_source.read_csv(spark, str(path))
+    assert read.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.PING]
+    first, second = read.orderBy("BaseDateTime").collect()
+    assert first["BaseDateTime"].isoformat() == "2024-01-01T00:00:03"
+    assert (first["LAT"], first["VesselType"], first["Draft"], first["Cargo"]) == (30.5, 30, 2.5, "30")
+    assert [second[c] for c in ("VesselName", "IMO", "VesselType", "Status", "Length", "Draft", "Cargo")] == [None] * 7
+
+
+def test_quotes_are_ordinary_characters(spark, tmp_path):
+    path = tmp_path / "AIS_2024_01_01.csv"
+    path.write_text(text(line(1, 3, name='"A'), line(1, 4, name='B"C"')))
+    assert {r["VesselName"] for r in ping_source.read_csv(spark, str(path)).collect()} == {'"A', 'B"C"'}
+
+
+@pytest.mark.parametrize("bad", [line(1, 3, rest="IMO9000001,CS1,x,0,10,4,2.5,30,A"), "338000001,yesterday", "a,b"])
+def test_wrong_types_fail_the_read(spark, tmp_path, bad):
+    path = tmp_path / "AIS_2024_01_01.csv"
+    path.write_text(text(line(1, 3), bad))
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        ping_source.read_csv(spark, str(path)).collect()
+    archive = tmp_path / "AIS_2024_01_01.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        z.write(path, "day.csv")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        ping_source.read_zip(spark, str(archive)).collect()
+
+
+def make_zip(path, *members):
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for i, member in enumerate(members):
+            archive.writestr(f"part{i}.csv", member)
+
+
+def test_zip_equals_csv_and_reads_the_first_member_only(spark, tmp_path, rows_of, monkeypatch):
+    monkeypatch.setattr(ping_source, "LINES_PER_BATCH", 3)
+    for day in (1, 2):
+        body = text(*[line(day, s, name=f'N"{s}', rest=",,,,,,,,B") for s in range(10)], end="\r\n")
+        (tmp_path / f"AIS_2024_01_{day:02d}.csv").write_text(body, newline="")
+        make_zip(tmp_path / f"AIS_2024_01_{day:02d}.zip", body, text(line(9, 9)))
+    zipped = ping_source.read_zip(spark, str(tmp_path / "*.zip"))
+    assert zipped.schema == schemas.PING
+    assert rows_of(zipped) == rows_of(ping_source.read_csv(spark, str(tmp_path / "*.csv")))
+    assert zipped.count() == 20
+
+
+def test_non_ascii_archives_fail(spark, tmp_path):
+    make_zip(tmp_path / "a.zip", text(line(1, 1, name="Ä")))
+    with pytest.raises(Exception, match="UnicodeDecodeError"):
+        ping_source.read_zip(spark, str(tmp_path / "a.zip")).collect()
+
+
+def test_ports_with_mark_and_other_header(spark, tmp_path):
+    path = tmp_path / "ports.csv"
+    path.write_bytes(b"\xef\xbb\xbfUNLOCODE,NAME,State,LAT,LON\nUSAAA,Port of A ,TX,29.5,-95.5\nUSBBB,B,LA,30.25,-90.75\n")
+    read = ports.read_ports(spark, str(path))
+    assert [tuple(r) for r in read.orderBy("UNLOCODE").collect()] == [
+        ("USAAA", "Port of A", "TX", 29.5, -95.5),
+        ("USBBB", "B", "LA", 30.25, -90.75),
+    ]
+    as_text = ports.read_ports_as_text(spark, str(path))
+    assert {kind for _, kind in as_text.dtypes} == {"string"}
+    typed = ports.typed(as_text)
+    assert typed.dtypes == read.dtypes and typed.exceptAll(read).isEmpty()
+
+
+def test_us_ports(spark):
+    known = ports.us_ports(spark)
+    assert known.count() == known.select("UNLOCODE").distinct().count() == 15
+    assert known.where("LAT BETWEEN 25 AND 49 AND LON BETWEEN -125 AND -70").count() == 15
+
+
+def write_table(spark, tmp_path):
+    rows = positions(spark, [("1", 0, 1.0, 1.0), ("1", 86_400 * 40, 2.0, 2.0)])
+    from aisflow.operators.clean import with_months
+    from aisflow.sinks.tables import write_months
+
+    path = str(tmp_path / "table")
+    write_months(with_months(rows), path)
+    return path
+
+
+def test_a_year_is_read_from_its_folders_only(spark, tmp_path):
+    path = write_table(spark, tmp_path)
+    year = ping_source.year_of(ping_source.read_parquet(spark, path, schemas.POSITION), 2024)
+    assert year.columns == [*schemas.POSITION_COLUMNS, "year", "month"]
+    assert "PartitionFilters: [isnotnull(year" in plan_of(year)
+    assert year.count() == 2 and ping_source.positions(spark, path, 2023).count() == 0
+
+
+def test_positions_read_four_columns(spark, tmp_path):
+    plan = plan_of(ping_source.positions(spark, write_table(spark, tmp_path), 2024))
+    assert "ReadSchema: struct<MMSI:string,BaseDateTime:timestamp_ntz,LAT:double,LON:double>" in plan
+
+
+def test_preview(spark):
+    rows = positions(spark, [("1", s, 1.0, 1.0) for s in range(30, 0, -1)])
+    shown = ping_source.preview(rows, 5).collect()
+    assert [r["BaseDateTime"].second for r in shown] == [1, 2, 3, 4, 5]
+
+
+def test_day_range(spark):
+    found = days.split_day(days.day_range(spark, "2024-02-28", "2024-03-01")).collect()
+    assert [tuple(r)[1:] for r in found] == [(2024, 2, 28), (2024, 2, 29), (2024, 3, 1)]
+
+
+def test_missing_days(spark):
+    landed = days.landed_days(positions(spark, [("1", 0, 1.0, 1.0), ("2", 5, 1.0, 1.0)]))
+    left = days.missing(days.day_range(spark, "2024-03-09", "2024-03-11"), landed)
+    assert sorted(str(r["day"]) for r in left.collect()) == ["2024-03-09", "2024-03-11"]
+
+
+def test_days_spanned(spark):
+    rows = positions(spark, [("1", 0, 1.0, 1.0), ("2", 86_400 * 3, 1.0, 1.0)])
+    assert [str(r["day"]) for r in days.days_spanned(rows).collect()] == [f"2024-03-{d}" for d in (10, 11, 12, 13)]
+
+
+def test_ingest_reads_each_day_once(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "raw")
+    source.mkdir()
+    make_zip(source / "AIS_2024_01_01.zip", text(line(1, 1), line(1, 2)))
+    (source / "AIS_2024_01_02.csv").write_text(text(line(2, 1)))
+    (source / "notes.csv").write_text("no day in the name\n")
+    glob = [str(source / "*.zip"), str(source / "*.csv")]
+    assert [p.rsplit("/", 1)[1] for p in ingest_days.run(spark, glob, root)] == ["AIS_2024_01_01.zip", "AIS_2024_01_02.csv"]
+    table = ping_source.read_parquet(spark, root)
+    assert table.columns == [*schemas.PING.names, "year", "month"] and table.count() == 3
+    assert (tmp_path / "raw" / "year=2024" / "month=1").is_dir()
+
+    assert ingest_days.run(spark, glob, root) == []
+    make_zip(source / "AIS_2024_01_03.zip", text(line(3, 1)))
+    make_zip(source / "AIS_2024_02_01.zip", text(line(3, 1).replace("2024-01-03", "2024-02-01")))
+    assert len(ingest_days.run(spark, glob, root)) == 2
+    assert ping_source.read_parquet(spark, root).count() == 5
+
+
+def test_listing_reads_no_contents(spark, tmp_path):
+    make_zip(tmp_path / "AIS_2024_01_05.zip", "x")
+    files = days.listed_files(spark, str(tmp_path))
+    assert [str(r["day"]) for r in files.collect()] == ["2024-01-05"]
+    assert "ReadSchema: struct<path:string>" in plan_of(files)
