@@ -2,9 +2,11 @@
 
 All of them stay inside whole-stage codegen and yield null when a coordinate
 is null. They are written without branches, so that Spark's common
-subexpression elimination evaluates every shared trigonometric term once.
+subexpression elimination evaluates every shared term of a projection once.
 """
 
+import math
+from dataclasses import dataclass
 from functools import reduce
 from operator import ne
 
@@ -46,44 +48,64 @@ COAST_RING = [
 _TINY = 1e-300
 _OPPOSITE = 1e-16
 
+Place = tuple[Column, Column, Column]
+
 
 def point(lon: Column, lat: Column) -> Column:
     """A position as a plain struct, longitude first."""
     return F.struct(lon.alias("lon"), lat.alias("lat"))
 
 
+@dataclass(frozen=True)
+class Globe:
+    """An ellipsoid. Points become places on its auxiliary unit sphere, where the
+    latitude is the reduced one: all trigonometry is done once per point, and a
+    comparison of two places is plain arithmetic."""
+
+    radius_m: float
+    flattening: float
+
+    def place(self, lon: Column, lat: Column) -> Place:
+        tan = (1 - self.flattening) * F.tan(F.radians(lat))
+        cos = 1 / F.sqrt(1 + tan * tan)
+        return cos * F.cos(F.radians(lon)), cos * F.sin(F.radians(lon)), tan * cos
+
+    @staticmethod
+    def chord(a: Place, b: Place) -> Column:
+        """Squared half chord, which grows with the distance: the haversine of the arc."""
+        dx, dy, dz = (q - p for p, q in zip(a, b))
+        return (dx * dx + dy * dy + dz * dz) / 4
+
+    def chord_bound(self, metres: float) -> float:
+        """No two points closer than ``metres`` have a longer squared half chord."""
+        smallest_radius = self.radius_m * (1 - self.flattening) ** 2
+        return math.sin(min(metres * 1.01 / smallest_radius, math.pi) / 2) ** 2
+
+    def metres(self, a: Place, b: Place) -> Column:
+        """Andoyer-Lambert distance, first order in the flattening; exact on a sphere."""
+        h = self.chord(a, b)
+        rest = F.abs(1 - h)
+        arc = 2 * F.atan2(F.sqrt(h), F.sqrt(rest))
+        if not self.flattening:
+            return self.radius_m * arc
+        sine = 2 * F.sqrt(h * rest)
+        mean, half_gap = (a[2] + b[2]) / 2, (b[2] - a[2]) / 2
+        flat = (arc - sine) * mean * mean / (rest + _OPPOSITE) + (arc + sine) * half_gap * half_gap / (h + _TINY)
+        return self.radius_m * (arc - self.flattening / 2 * flat)
+
+
+WGS84 = Globe(WGS84_A, WGS84_F)
+SPHERE = Globe(SPHERE_KM * 1000, 0.0)
+
+
 def geodesic_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
-    """Metres between two points on WGS84 (Andoyer-Lambert, first order in f)."""
-    tan1 = (1 - WGS84_F) * F.tan(F.radians(lat1))
-    tan2 = (1 - WGS84_F) * F.tan(F.radians(lat2))
-    cos1 = 1 / F.sqrt(1 + tan1 * tan1)
-    cos2 = 1 / F.sqrt(1 + tan2 * tan2)
-    sin1 = tan1 * cos1
-    sin2 = tan2 * cos2
-    half_lat = F.sin((F.atan(tan2) - F.atan(tan1)) / 2)
-    half_lon = F.sin(F.radians(lon2 - lon1) / 2)
-    h = half_lat * half_lat + cos1 * cos2 * half_lon * half_lon
-    rest = F.abs(1 - h)
-    sigma = 2 * F.atan2(F.sqrt(h), F.sqrt(rest))
-    sin_sigma = 2 * F.sqrt(h * rest)
-    mean = (sin1 + sin2) / 2
-    half_gap = (sin2 - sin1) / 2
-    flat = (sigma - sin_sigma) * mean * mean / (rest + _OPPOSITE) + (
-        sigma + sin_sigma
-    ) * half_gap * half_gap / (h + _TINY)
-    return WGS84_A * (sigma - WGS84_F / 2 * flat)
+    """Metres between two points on WGS84. Over many pairs, keep the places in columns instead."""
+    return WGS84.metres(WGS84.place(lon1, lat1), WGS84.place(lon2, lat2))
 
 
 def haversine_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
     """Kilometres between two points on the mean sphere."""
-    half_lat = F.sin(F.radians(lat2 - lat1) / 2)
-    half_lon = F.sin(F.radians(lon2 - lon1) / 2)
-    h = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return SPHERE_KM * 2 * F.atan2(F.sqrt(h), F.sqrt(F.abs(1 - h)))
-
-
-def haversine_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
-    return haversine_km(lon1, lat1, lon2, lat2) * 1000
+    return SPHERE.metres(SPHERE.place(lon1, lat1), SPHERE.place(lon2, lat2)) / 1000
 
 
 def in_box(lon: Column, lat: Column, ring=COAST_RING) -> Column:

@@ -132,15 +132,24 @@ def minutes_between(earlier: Column, later: Column, legacy_sign: bool = False) -
     return (-seconds if legacy_sign else seconds) / 60
 
 
+def _placed(linked: DataFrame, prefix: str, globe: geo.Globe) -> tuple[DataFrame, geo.Place, geo.Place]:
+    """Adds the places of both positions, so that their trigonometry is done once."""
+    here = dict(zip(("_x", "_y", "_z"), globe.place(F.col("LON"), F.col("LAT"))))
+    there = globe.place(F.col(f"{prefix}LON"), F.col(f"{prefix}LAT"))
+    there = dict(zip(("_other_x", "_other_y", "_other_z"), there))
+    return linked.withColumns({**here, **there}), tuple(map(F.col, there)), tuple(map(F.col, here))
+
+
 def with_gaps(linked: DataFrame, prefix: str = PREVIOUS, legacy_sign: bool = False) -> DataFrame:
     """Metres and minutes since the previous ping; null for the first of a ship."""
-    time, lat, lon = (F.col(name) for name in _beside(prefix))
-    return linked.withColumns(
-        {
-            "MeterSincePrevPing": geo.geodesic_m(lon, lat, F.col("LON"), F.col("LAT")),
-            "MinSincePrevPing": minutes_between(time, F.col("BaseDateTime"), legacy_sign),
-        }
-    ).drop(*_beside(prefix))
+    kept = [c for c in linked.columns if c not in _beside(prefix)]
+    placed, there, here = _placed(linked, prefix, geo.WGS84)
+    minutes = minutes_between(F.col(f"{prefix}BaseDateTime"), F.col("BaseDateTime"), legacy_sign)
+    return placed.select(
+        *kept,
+        geo.WGS84.metres(there, here).alias("MeterSincePrevPing"),
+        minutes.alias("MinSincePrevPing"),
+    )
 
 
 def previous_gaps(pings: DataFrame, legacy_sign: bool = False, **limits) -> DataFrame:
@@ -150,13 +159,13 @@ def previous_gaps(pings: DataFrame, legacy_sign: bool = False, **limits) -> Data
 
 def next_leg(pings: DataFrame, **limits) -> DataFrame:
     """Position rows with the next position and the haversine kilometres ``d`` to it."""
-    time, lat, lon = (F.col(name) for name in _beside(NEXT))
-    return link(pings, NEXT, reverse=True, **limits).select(
+    placed, there, here = _placed(link(pings, NEXT, reverse=True, **limits), NEXT, geo.SPHERE)
+    return placed.select(
         *pings.columns,
-        lat.alias("lead_LAT"),
-        lon.alias("lead_LON"),
-        time.alias("lead_time"),
-        geo.haversine_km(F.col("LON"), F.col("LAT"), F.col("lead_LON"), F.col("lead_LAT")).alias("d"),
+        F.col(f"{NEXT}LAT").alias("lead_LAT"),
+        F.col(f"{NEXT}LON").alias("lead_LON"),
+        F.col(f"{NEXT}BaseDateTime").alias("lead_time"),
+        (geo.SPHERE.metres(here, there) / 1000).alias("d"),
     )
 
 

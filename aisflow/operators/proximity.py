@@ -6,7 +6,6 @@ so the spatial join is a hash join on one long plus the exact distance test.
 No ping is ever compared with a port elsewhere.
 """
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from math import floor
 
@@ -29,7 +28,9 @@ BROADCAST_PORTS = 20_000
 # Spread of one busy cell over this many join tasks when ports are too many to broadcast.
 CELL_SALTS = 32
 
-Distance = Callable[[Column, Column, Column, Column], Column]
+# Places of pings and ports on the auxiliary sphere.
+_HERE = ["_x", "_y", "_z"]
+_THERE = ["_port_x", "_port_y", "_port_z"]
 
 
 @dataclass(frozen=True)
@@ -80,39 +81,50 @@ def few_enough(ports: DataFrame, bound: int) -> bool:
     return ports.limit(bound + 1).count() <= bound
 
 
-def port_cells(ports: DataFrame, grid: Grid, radius_m: float) -> DataFrame:
-    """One row per port and cell."""
+def port_cells(ports: DataFrame, grid: Grid, radius_m: float, globe: geo.Globe) -> DataFrame:
+    """One row per port and cell, with the port's place."""
     lon, lat = F.col("LON"), F.col("LAT")
+    place = globe.place(lon, lat)
     return ports.select(
         F.explode(grid.cells_within(lon, lat, radius_m)).alias("_cell"),
-        F.col("UNLOCODE"),
-        lon.alias("_port_lon"),
-        lat.alias("_port_lat"),
+        "UNLOCODE",
+        *[axis.alias(name) for name, axis in zip(_THERE, place)],
     )
 
 
+def located(pings: DataFrame, grid: Grid, globe: geo.Globe) -> DataFrame:
+    """Pings with their cell and place: trigonometry once per ping, before the join."""
+    lon, lat = F.col("LON"), F.col("LAT")
+    places = dict(zip(_HERE, globe.place(lon, lat)))
+    return pings.withColumns({"_cell": grid.cell(lon, lat), **places})
+
+
 def port_hits(
     pings: DataFrame,
     ports: DataFrame,
     radius_m: float = DEFAULT_RADIUS_M,
-    distance_m: Distance = geo.geodesic_m,
+    globe: geo.Globe = geo.WGS84,
     inclusive: bool = False,
     broadcast_ports: int = BROADCAST_PORTS,
 ) -> DataFrame:
     """Inner join: every (ping, port) pair closer than the radius, with its distance ``d`` in metres."""
     grid = Grid.for_radius(radius_m)
-    cells = port_cells(ports, grid, radius_m)
-    located = pings.withColumn("_cell", grid.cell(F.col("LON"), F.col("LAT")))
+    cells = port_cells(ports, grid, radius_m, globe)
+    here, there = tuple(map(F.col, _HERE)), tuple(map(F.col, _THERE))
     if few_enough(ports, broadcast_ports):
-        pairs = located.join(F.broadcast(cells), "_cell")
+        pairs = located(pings, grid, globe).join(F.broadcast(cells), "_cell")
     else:
         # A busy cell may hold a large part of all pings: split it, and copy its few ports.
-        located = located.withColumn("_salt", F.pmod(F.xxhash64(*pings.columns), F.lit(CELL_SALTS)))
+        salt = F.pmod(F.xxhash64(*pings.columns), F.lit(CELL_SALTS))
         salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(CELL_SALTS - 1).cast("long")))
-        pairs = located.join(cells.withColumn("_salt", salts), ["_cell", "_salt"])
-    d = distance_m(F.col("LON"), F.col("LAT"), F.col("_port_lon"), F.col("_port_lat"))
+        salted = located(pings, grid, globe).withColumn("_salt", salt)
+        pairs = salted.join(cells.withColumn("_salt", salts), ["_cell", "_salt"])
     near = F.col("d") <= radius_m if inclusive else F.col("d") < radius_m
-    return pairs.select(*pings.columns, "UNLOCODE", d.alias("d")).where(near)
+    return (
+        pairs.where(globe.chord(here, there) <= globe.chord_bound(radius_m))
+        .select(*pings.columns, "UNLOCODE", globe.metres(here, there).alias("d"))
+        .where(near)
+    )
 
 
 def nearest_port(hits: DataFrame) -> DataFrame:
@@ -139,7 +151,7 @@ def own_port(
     pings: DataFrame,
     ports: DataFrame,
     radius_m: float = DEFAULT_RADIUS_M,
-    distance_m: Distance = geo.geodesic_m,
+    globe: geo.Globe = geo.WGS84,
 ) -> DataFrame:
     """Adds ``port``: struct(d, UNLOCODE) of the port nearest to each single ping, or null.
 
@@ -149,18 +161,23 @@ def own_port(
     """
     grid = Grid.for_radius(radius_m)
     lists = (
-        port_cells(ports, grid, radius_m)
+        port_cells(ports, grid, radius_m, globe)
         .groupBy("_cell")
-        .agg(F.collect_list(F.struct("_port_lon", "_port_lat", "UNLOCODE")).alias("_ports"))
+        .agg(F.collect_list(F.struct(*_THERE, "UNLOCODE")).alias("_ports"))
     )
+    here = tuple(map(F.col, _HERE))
+
+    def place(port: Column) -> geo.Place:
+        return tuple(port[name] for name in _THERE)
 
     def reach(port: Column) -> Column:
-        d = distance_m(F.col("LON"), F.col("LAT"), port["_port_lon"], port["_port_lat"])
-        return F.struct(d.alias("d"), port["UNLOCODE"].alias("UNLOCODE"))
+        return F.struct(globe.metres(here, place(port)).alias("d"), port["UNLOCODE"].alias("UNLOCODE"))
 
-    within = F.filter(F.transform("_ports", reach), lambda p: p["d"] < radius_m)
+    bound = globe.chord_bound(radius_m)
+    likely = F.filter("_ports", lambda port: globe.chord(here, place(port)) <= bound)
+    within = F.filter(F.transform(likely, reach), lambda p: p["d"] < radius_m)
     return (
-        pings.withColumn("_cell", grid.cell(F.col("LON"), F.col("LAT")))
+        located(pings, grid, globe)
         .join(F.broadcast(lists), "_cell", "left")
         .select(*pings.columns, F.array_min(within).alias("port"))
     )

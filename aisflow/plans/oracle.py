@@ -84,7 +84,7 @@ _CTES = {
         lag(BaseDateTime) OVER w AS p_time FROM tagged
         WINDOW w AS (PARTITION BY MMSI ORDER BY BaseDateTime, LAT, LON)""",
     "gaps": f"""SELECT MMSI, BaseDateTime, LAT, LON, UNLOCODE AS NearPort,
-        round({_geodesic('p_lon', 'p_lat', 'LON', 'LAT')}, 3) AS MeterSincePrevPing,
+        round({_geodesic('p_lon', 'p_lat', 'LON', 'LAT')}, 2) AS MeterSincePrevPing,
         (epoch(date_trunc('second', BaseDateTime)) - epoch(date_trunc('second', p_time))) / 60
         AS MinSincePrevPing FROM stepped""",
 }
@@ -126,18 +126,18 @@ _BODIES = {
         FROM identities GROUP BY MMSI)
         WHERE c_IMO > 1 OR c_CallSign > 1 OR c_Width > 1 OR c_Length > 1 OR c_VesselType > 1""",
     "profile_merge": "SELECT * FROM profiles",
-    "port_hits": "SELECT MMSI, BaseDateTime, LAT, LON, UNLOCODE, round(d, 3) AS d FROM hits",
-    "port_hits_cross": f"""SELECT MMSI, BaseDateTime, round(km, 6) AS km_to_port, UNLOCODE FROM (
+    "port_hits": "SELECT MMSI, BaseDateTime, LAT, LON, UNLOCODE, round(d, 2) AS d FROM hits",
+    "port_hits_cross": f"""SELECT MMSI, BaseDateTime, round(km, 3) AS km_to_port, UNLOCODE FROM (
         SELECT a.MMSI, a.BaseDateTime, p.UNLOCODE, {_haversine('p.LON', 'p.LAT', 'a.LON', 'a.LAT')} AS km
         FROM positions a CROSS JOIN ports p) WHERE km <= 35""",
-    "nearest_port": "SELECT MMSI, BaseDateTime, UNLOCODE, round(d, 3) AS d FROM nearest",
+    "nearest_port": "SELECT MMSI, BaseDateTime, UNLOCODE, round(d, 2) AS d FROM nearest",
     "pings_with_port": "SELECT * FROM tagged",
     "port_ping_counts": "SELECT UNLOCODE, count(*) AS c FROM tagged GROUP BY UNLOCODE ORDER BY c DESC",
     "port_ping_counts_named": """SELECT coalesce(UNLOCODE, 'None') AS UNLOCODE, count(*) AS c FROM tagged
         GROUP BY 1 ORDER BY c DESC""",
     "gap_prev": "SELECT MMSI, BaseDateTime, LAT, LON, MeterSincePrevPing, MinSincePrevPing FROM gaps",
     "gap_next": f"""SELECT MMSI, BaseDateTime, LAT, LON, lead_LAT, lead_LON, lead_time,
-        round({_haversine('LON', 'LAT', 'lead_LON', 'lead_LAT')}, 6) AS d FROM (
+        round({_haversine('LON', 'LAT', 'lead_LON', 'lead_LAT')}, 3) AS d FROM (
         SELECT *, lead(LAT) OVER w AS lead_LAT, lead(LON) OVER w AS lead_LON,
         lead(BaseDateTime) OVER w AS lead_time FROM positions
         WINDOW w AS (PARTITION BY MMSI ORDER BY BaseDateTime, LAT, LON))""",

@@ -37,7 +37,7 @@ def _identities(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _rounded(frame: DataFrame, *names: str) -> DataFrame:
-    return frame.withColumns({name: F.round(name, 3) for name in names})
+    return frame.withColumns({name: F.round(name, 2) for name in names})
 
 
 def _dated(found: DataFrame) -> DataFrame:
@@ -119,10 +119,10 @@ def port_hits_cross(spark, folder):
         _positions(spark, folder),
         standin.ports(spark, folder),
         radius_m=35_000.0,
-        distance_m=geo.haversine_m,
+        globe=geo.SPHERE,
         inclusive=True,
     )
-    return hits.select("MMSI", "BaseDateTime", F.round(F.col("d") / 1000, 6).alias("km_to_port"), "UNLOCODE")
+    return hits.select("MMSI", "BaseDateTime", F.round(F.col("d") / 1000, 3).alias("km_to_port"), "UNLOCODE")
 
 
 @registered
@@ -158,7 +158,7 @@ def gap_prev(spark, folder):
 
 @registered
 def gap_next(spark, folder):
-    return motion.next_leg(_positions(spark, folder)).withColumn("d", F.round("d", 6))
+    return motion.next_leg(_positions(spark, folder)).withColumn("d", F.round("d", 3))
 
 
 @registered

@@ -64,7 +64,7 @@ def test_tiny_and_global_radii(spark, radius):
         if 6_371_000 * _angle(lat, lon, plat, plon) < radius
     }
     found = proximity.port_hits(
-        positions(spark, ping_rows), make_ports(spark, port_rows), radius, geo.haversine_m
+        positions(spark, ping_rows), make_ports(spark, port_rows), radius, geo.SPHERE
     )
     assert {(row["MMSI"], row["UNLOCODE"]) for row in found.collect()} == expected
 
