@@ -82,16 +82,21 @@ class Globe:
         return math.sin(min(metres * 1.01 / smallest_radius, math.pi) / 2) ** 2
 
     def metres(self, a: Place, b: Place) -> Column:
-        """Andoyer-Lambert distance, first order in the flattening; exact on a sphere."""
-        h = self.chord(a, b)
+        return self.metres_of(self.chord(a, b), a[2], b[2])
+
+    def metres_of(self, h: Column, z1: Column, z2: Column) -> Column:
+        """Andoyer-Lambert distance from the squared half chord and both heights over
+        the equator's plane: first order in the flattening, exact on a sphere."""
         rest = F.abs(1 - h)
         arc = 2 * F.atan2(F.sqrt(h), F.sqrt(rest))
         if not self.flattening:
             return self.radius_m * arc
         sine = 2 * F.sqrt(h * rest)
-        mean, half_gap = (a[2] + b[2]) / 2, (b[2] - a[2]) / 2
-        flat = (arc - sine) * mean * mean / (rest + _OPPOSITE) + (arc + sine) * half_gap * half_gap / (h + _TINY)
-        return self.radius_m * (arc - self.flattening / 2 * flat)
+        mean, half_gap = (z1 + z2) / 2, (z2 - z1) / 2
+        high = mean * mean / (rest + _OPPOSITE)
+        wide = half_gap * half_gap / (h + _TINY)
+        half_f = self.flattening / 2
+        return self.radius_m * (arc * (1 - half_f * (high + wide)) + half_f * sine * (high - wide))
 
 
 WGS84 = Globe(WGS84_A, WGS84_F)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from aisflow.functions import geo
 from aisflow.operators.hotkeys import HOT_ROWS, split_hot
-from aisflow.storage import ensure_checkpoint_dir
+from aisflow.storage import written
 
 KEY = "MMSI"
 
@@ -57,7 +57,7 @@ def link_hot(
        pile of copies costs one row per task.
     2. A range partitioning by ship, time and position cuts each ship into
        slices of similar size, wherever its rows lie in time. The cut is
-       checkpointed: all uses below must see the same one, even after an
+       written out: all uses below must see the same one, even after an
        executor is lost.
     3. Each slice gets the last row of the slice before it as an extra row, then
        a window per (ship, slice) links rows as in ``link_cold``.
@@ -66,13 +66,12 @@ def link_hot(
     columns = pings.columns
     order = _total_order(columns)
     slices = max(2, -(-total_rows // slice_rows))
-    ensure_checkpoint_dir(pings.sparkSession)
-    cut = (
+    cut = written(
         pings.groupBy(*columns)
         .agg(F.count("*").alias("_copies"))
         .repartitionByRange(slices, KEY, *order)
-        .withColumn("_slice", F.spark_partition_id())
-        .checkpoint()
+        .withColumn("_slice", F.spark_partition_id()),
+        "slices",
     )
 
     # One row per ship and slice from here on, never more than there are partitions.

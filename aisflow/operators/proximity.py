@@ -119,12 +119,14 @@ def port_hits(
         salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(CELL_SALTS - 1).cast("long")))
         salted = located(pings, grid, globe).withColumn("_salt", salt)
         pairs = salted.join(cells.withColumn("_salt", salts), ["_cell", "_salt"])
+    chord = globe.chord(here, there)
     near = F.col("d") <= radius_m if inclusive else F.col("d") < radius_m
-    return (
-        pairs.where(globe.chord(here, there) <= globe.chord_bound(radius_m))
-        .select(*pings.columns, "UNLOCODE", globe.metres(here, there).alias("d"))
-        .where(near)
-    )
+    # Plain arithmetic decides about most pairs within the join. The value for the others comes
+    # out of an explode, or Spark would write the exact test in terms of places into the join
+    # condition, which then grows too large for the JVM to compile.
+    likely = pairs.where(chord <= globe.chord_bound(radius_m)).withColumn("_h", F.explode(F.array(chord)))
+    d = globe.metres_of(F.col("_h"), here[2], there[2])
+    return likely.select(*pings.columns, "UNLOCODE", d.alias("d")).where(near)
 
 
 def nearest_port(hits: DataFrame) -> DataFrame:
@@ -170,12 +172,17 @@ def own_port(
     def place(port: Column) -> geo.Place:
         return tuple(port[name] for name in _THERE)
 
+    def measured(port: Column) -> Column:
+        h = globe.chord(here, place(port)).alias("h")
+        return F.struct(h, port["_port_z"].alias("z"), port["UNLOCODE"].alias("UNLOCODE"))
+
     def reach(port: Column) -> Column:
-        return F.struct(globe.metres(here, place(port)).alias("d"), port["UNLOCODE"].alias("UNLOCODE"))
+        d = globe.metres_of(port["h"], here[2], port["z"]).alias("d")
+        return F.struct(d, port["UNLOCODE"].alias("UNLOCODE"))
 
     bound = globe.chord_bound(radius_m)
-    likely = F.filter("_ports", lambda port: globe.chord(here, place(port)) <= bound)
-    within = F.filter(F.transform(likely, reach), lambda p: p["d"] < radius_m)
+    likely = F.filter(F.transform("_ports", measured), lambda port: port["h"] <= bound)
+    within = F.filter(F.transform(likely, reach), lambda port: port["d"] < radius_m)
     return (
         located(pings, grid, globe)
         .join(F.broadcast(lists), "_cell", "left")

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @lru_cache(maxsize=1)
@@ -30,7 +30,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, lineage cut, columns still prunable."""
+    path = scratch_path(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
