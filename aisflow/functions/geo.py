@@ -128,5 +128,5 @@ def in_polygon(lon: Column, lat: Column, ring=COAST_RING) -> Column:
             continue
         slope = (x2 - x1) / (y2 - y1)
         spans = (F.lit(y1) > lat) != (F.lit(y2) > lat)
-        crossings.append(spans & (lon < x1 + (lat - y1) * slope))
+        crossings.append(spans & (lon < lat * slope + (x1 - y1 * slope)))
     return reduce(ne, crossings)

@@ -3,7 +3,7 @@
 ``events`` stands in for pings and ``nation`` for ports. The expressions below
 use integer arithmetic and text that mean the same in Spark SQL and in ANSI
 SQL, so that the check queries can start from the same rows. ``e`` is the event
-id, ``u`` the user id, ``t`` the time, and ``{d}`` tells apart several reports
+id, ``u`` the user id, ``t`` the time, and ``d`` tells apart several reports
 made of one event: some are exact copies, some share ship and time only.
 """
 
@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 from aisflow import schemas
 
+SOURCE = ["coalesce(event_id, 0) AS e", "coalesce(user_id, 0) AS u", "ts AS t"]
+
+PLACE = ["LAT", "LON"]
+
 COPIES = {0: "e % 50 = 0", 1: "e % 101 = 0"}
 
 PING_EXPRESSIONS = {
@@ -21,10 +25,10 @@ PING_EXPRESSIONS = {
     "BaseDateTime": "t",
     "LAT": """CASE WHEN e % 211 = 0 THEN 91e0 WHEN e % 223 = 0 THEN NULL
         ELSE 25e0 + cast(e % 25 AS double) * 0.9e0
-             + cast((e * 7919 + {d} * 613) % 2001 - 1000 AS double) / 10000e0 END""",
+             + cast((e * 7919 + d * 613) % 2001 - 1000 AS double) / 10000e0 END""",
     "LON": """CASE WHEN e % 227 = 0 THEN -181e0
         ELSE -124e0 + cast(e % 25 AS double) * 2.3e0
-             + cast((e * 104729 + {d} * 419) % 2001 - 1000 AS double) / 10000e0 END""",
+             + cast((e * 104729 + d * 419) % 2001 - 1000 AS double) / 10000e0 END""",
     "SOG": """cast(CASE WHEN e % 17 = 0 THEN 102.3e0
         ELSE cast((e * 37) % 1300 - 250 AS double) / 10e0 END AS float)""",
     "COG": """cast(CASE WHEN e % 13 = 0 THEN 360e0
@@ -61,8 +65,8 @@ PORT_EXPRESSIONS = {
 }
 
 
-def _named(expressions: dict[str, str], d: str = "d") -> list[str]:
-    return [f"{text.format(d=d)} AS {name}" for name, text in expressions.items()]
+def _named(expressions: dict[str, str]) -> list[str]:
+    return [f"{text} AS {name}" for name, text in expressions.items()]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -72,17 +76,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def pings(spark: SparkSession, folder: str) -> DataFrame:
     """Raw pings with all 17 columns.
 
-    Positions come out of the explode as values, so that a filter on them
+    Positions come out of a generator as values, so that a filter on them
     further up is not rewritten in terms of the expressions above.
     """
-    derived = ("LAT", "LON")
-    at = [f"struct({', '.join(_named({c: PING_EXPRESSIONS[c] for c in derived}, d))})" for d in ("0", "1")]
-    copies = f"""CASE WHEN {COPIES[0]} THEN array({at[0]}, {at[1]})
-        WHEN {COPIES[1]} THEN array({at[0]}, {at[0]}) ELSE array({at[0]}) END"""
-    events = table(spark, folder, "events").selectExpr("event_id AS e", "user_id AS u", "ts AS t")
-    placed = events.selectExpr("e", "u", "t", f"explode({copies}) AS at")
-    columns = {**PING_EXPRESSIONS, **{c: f"at.{c}" for c in derived}}
-    return placed.selectExpr(*_named(columns))
+    copies = f"CASE WHEN {COPIES[0]} THEN array(0, 1) WHEN {COPIES[1]} THEN array(0, 0) ELSE array(0) END"
+    place = f"struct({', '.join(_named({c: PING_EXPRESSIONS[c] for c in PLACE}))})"
+    events = table(spark, folder, "events").selectExpr(*SOURCE)
+    copied = events.selectExpr("e", "u", "t", f"explode({copies}) AS d")
+    placed = copied.selectExpr("e", "u", "t", f"inline(array({place}))")
+    return placed.selectExpr(*_named({**PING_EXPRESSIONS, **{c: c for c in PLACE}}))
 
 
 def ports(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,7 +96,7 @@ def ports(spark: SparkSession, folder: str) -> DataFrame:
 def ping_sql() -> str:
     """The same pings as ANSI SQL."""
     copies = f"CASE WHEN {COPIES[0]} THEN [0, 1] WHEN {COPIES[1]} THEN [0, 0] ELSE [0] END"
-    events = "SELECT event_id AS e, user_id AS u, ts AS t FROM events"
+    events = f"SELECT {', '.join(SOURCE)} FROM events"
     events = f"SELECT e, u, t, unnest({copies}) AS d FROM ({events})"
     return f"SELECT {', '.join(_named(PING_EXPRESSIONS))} FROM ({events})"
 
