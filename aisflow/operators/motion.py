@@ -16,9 +16,15 @@ ORDER = ["BaseDateTime", "LAT", "LON"]
 PREVIOUS = "_prev_"
 NEXT = "_next_"
 
+# How many equal rows a folded row stands for.
+COPIES = "_copies"
+
 # Rows per slice of a hot key.
 SLICE_ROWS = 1_000_000
 
+# Beyond this many slices they grow instead.
+MOST_SLICES = 20_000
+
 
 def _in_order(columns: list[str], reverse: bool) -> list[Column]:
     return [F.col(c).desc() if reverse else F.col(c).asc() for c in columns]
@@ -44,8 +50,14 @@ def link_cold(pings: DataFrame, prefix: str, reverse: bool = False) -> DataFrame
     return pings.withColumns(_lagged(window, prefix))
 
 
+def fold(pings: DataFrame) -> DataFrame:
+    """Equal rows as one, counted in ``_copies``. Folding starts before the shuffle,
+    so that a pile of copies costs one row per task."""
+    return pings.groupBy(*pings.columns).agg(F.count("*").alias(COPIES))
+
+
 def link_hot(
-    pings: DataFrame,
+    folded: DataFrame,
     prefix: str,
     total_rows: int,
     reverse: bool = False,
@@ -53,8 +65,7 @@ def link_hot(
 ) -> DataFrame:
     """The same for ships with more rows than one task should sort.
 
-    1. Equal rows are folded into one with a count, before any shuffle, so a
-       pile of copies costs one row per task.
+    1. Rows come from ``fold``, so none is equal to another.
     2. A range partitioning by ship, time and position cuts each ship into
        slices of similar size, wherever its rows lie in time. The cut is
        written out: all uses below must see the same one, even after an
@@ -63,14 +74,11 @@ def link_hot(
        a window per (ship, slice) links rows as in ``link_cold``.
     4. Copies are laid out again. All but the first copy follow an equal row.
     """
-    columns = pings.columns
+    columns = [c for c in folded.columns if c != COPIES]
     order = _total_order(columns)
-    slices = max(2, -(-total_rows // slice_rows))
+    slices = min(max(2, -(-total_rows // slice_rows)), MOST_SLICES)
     cut = written(
-        pings.groupBy(*columns)
-        .agg(F.count("*").alias("_copies"))
-        .repartitionByRange(slices, KEY, *order)
-        .withColumn("_slice", F.spark_partition_id()),
+        folded.repartitionByRange(slices, KEY, *order).withColumn("_slice", F.spark_partition_id()),
         "slices",
     )
 
@@ -81,7 +89,7 @@ def link_hot(
     carried = (
         cut.groupBy(KEY, "_slice")
         .agg(edge(F.struct(*order)).alias("_edge"))
-        .select(KEY, neighbour.alias("_slice"), "_edge.*", F.lit(0).cast("long").alias("_copies"))
+        .select(KEY, neighbour.alias("_slice"), "_edge.*", F.lit(0).cast("long").alias(COPIES))
         .where("_slice IS NOT NULL")
     )
 
@@ -89,7 +97,7 @@ def link_hot(
     firsts = (
         cut.unionByName(carried)
         .withColumns(_lagged(window, prefix))
-        .where("_copies > 0")
+        .where(F.col(COPIES) > 0)
         .select(*columns, *_beside(prefix))
     )
     return firsts.unionByName(_further_copies(cut, columns, prefix, slices, slice_rows))
@@ -99,13 +107,13 @@ def _further_copies(
     cut: DataFrame, columns: list[str], prefix: str, tasks: int, chunk_rows: int
 ) -> DataFrame:
     """All copies but the first, laid out in chunks over many tasks."""
-    last_chunk = F.floor((F.col("_copies") - 2) / chunk_rows)
+    last_chunk = F.floor((F.col(COPIES) - 2) / chunk_rows)
     chunks = (
-        cut.where("_copies > 1")
+        cut.where(F.col(COPIES) > 1)
         .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
         .repartition(tasks, KEY, *ORDER, "_chunk")
     )
-    in_chunk = F.least(F.lit(chunk_rows), F.col("_copies") - 1 - F.col("_chunk") * chunk_rows)
+    in_chunk = F.least(F.lit(chunk_rows), F.col(COPIES) - 1 - F.col("_chunk") * chunk_rows)
     laid_out = chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), in_chunk)))
     return laid_out.select(*columns, *[F.col(c).alias(prefix + c) for c in ORDER])
 
@@ -122,7 +130,7 @@ def link(
     linked = link_cold(parts.cold, prefix, reverse)
     if parts.hot is None:
         return linked
-    return linked.unionByName(link_hot(parts.hot, prefix, parts.hot_rows, reverse, slice_rows))
+    return linked.unionByName(link_hot(fold(parts.hot), prefix, parts.hot_rows, reverse, slice_rows))
 
 
 def minutes_between(earlier: Column, later: Column, legacy_sign: bool = False) -> Column:

@@ -22,10 +22,10 @@ _SLACK = 1.01
 _METRES_PER_DEGREE = 111_000.0
 _SMALLEST_EDGE_DEG = 0.01
 
-# Up to this many ports their cell table (some ten cells a port) is broadcast.
-BROADCAST_PORTS = 20_000
+# Up to this many rows (some ten a port, more near a pole) the ports' cell table is broadcast.
+BROADCAST_CELLS = 300_000
 
-# Spread of one busy cell over this many join tasks when ports are too many to broadcast.
+# Spread of one busy cell over this many join tasks when the cell table is too large to broadcast.
 CELL_SALTS = 32
 
 # Places of pings and ports on the auxiliary sphere.
@@ -76,9 +76,14 @@ class Grid:
         return F.flatten(F.transform(rows, lambda y: F.transform(columns, lambda x: y * self.columns + x)))
 
 
-def few_enough(ports: DataFrame, bound: int) -> bool:
+def few_enough(rows: DataFrame, bound: int) -> bool:
     """Counts no further than the bound."""
-    return ports.limit(bound + 1).count() <= bound
+    return rows.limit(bound + 1).count() <= bound
+
+
+def can_broadcast(ports: DataFrame, radius_m: float, bound: int = BROADCAST_CELLS) -> bool:
+    cells = Grid.for_radius(radius_m).cells_within(F.col("LON"), F.col("LAT"), radius_m)
+    return few_enough(ports.select(F.explode(cells)), bound)
 
 
 def port_cells(ports: DataFrame, grid: Grid, radius_m: float, globe: geo.Globe) -> DataFrame:
@@ -105,13 +110,13 @@ def port_hits(
     radius_m: float = DEFAULT_RADIUS_M,
     globe: geo.Globe = geo.WGS84,
     inclusive: bool = False,
-    broadcast_ports: int = BROADCAST_PORTS,
+    broadcast_cells: int = BROADCAST_CELLS,
 ) -> DataFrame:
     """Inner join: every (ping, port) pair closer than the radius, with its distance ``d`` in metres."""
     grid = Grid.for_radius(radius_m)
     cells = port_cells(ports, grid, radius_m, globe)
     here, there = tuple(map(F.col, _HERE)), tuple(map(F.col, _THERE))
-    if few_enough(ports, broadcast_ports):
+    if can_broadcast(ports, radius_m, broadcast_cells):
         pairs = located(pings, grid, globe).join(F.broadcast(cells), "_cell")
     else:
         # A busy cell may hold a large part of all pings: split it, and copy its few ports.
@@ -159,7 +164,7 @@ def own_port(
 
     Each cell carries its ports as one array, so a ping meets at most one row
     of the broadcast side and keeps its place: no shuffle, no window, no
-    second scan of the pings. Only for ports that ``few_enough`` accepts.
+    second scan of the pings. Only for ports that ``can_broadcast`` accepts.
     """
     grid = Grid.for_radius(radius_m)
     lists = (
@@ -194,11 +199,11 @@ def pings_with_port(
     pings: DataFrame,
     ports: DataFrame,
     radius_m: float = DEFAULT_RADIUS_M,
-    broadcast_ports: int = BROADCAST_PORTS,
+    broadcast_cells: int = BROADCAST_CELLS,
 ) -> DataFrame:
     """Every ping with the code of its nearest port in ``UNLOCODE``, or null.
 
     Pings of one ship at one instant share the nearest port found for any of them.
     """
-    hits = port_hits(pings, ports, radius_m, broadcast_ports=broadcast_ports)
+    hits = port_hits(pings, ports, radius_m, broadcast_cells=broadcast_cells)
     return join_ports(pings, nearest_port(hits)).select(*pings.columns, "UNLOCODE")

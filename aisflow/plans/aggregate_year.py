@@ -19,7 +19,7 @@ def time_analysis(
     legacy_sign: bool = False,
     hot_rows: int = HOT_ROWS,
     slice_rows: int = motion.SLICE_ROWS,
-    broadcast_ports: int = proximity.BROADCAST_PORTS,
+    broadcast_cells: int = proximity.BROADCAST_CELLS,
 ) -> DataFrame:
     """MMSI, BaseDateTime, NearPort, MeterSincePrevPing, MinSincePrevPing.
 
@@ -28,8 +28,8 @@ def time_analysis(
     same partitioning and sort.
     """
     positions = pings.select(*POSITION_COLUMNS)
-    if not proximity.few_enough(ports, broadcast_ports):
-        tagged = proximity.pings_with_port(positions, ports, radius_m, broadcast_ports)
+    if not proximity.can_broadcast(ports, radius_m, broadcast_cells):
+        tagged = proximity.pings_with_port(positions, ports, radius_m, broadcast_cells)
         tagged = tagged.withColumnRenamed("UNLOCODE", "NearPort")
         linked = motion.link(tagged, motion.PREVIOUS, hot_rows=hot_rows, slice_rows=slice_rows)
         return _named(linked, legacy_sign)
@@ -38,7 +38,7 @@ def time_analysis(
     result = _named(_share_by_window(linked), legacy_sign)
     if parts.hot is None:
         return result
-    shared = _share_by_join(proximity.own_port(parts.hot, ports, radius_m))
+    shared = _share_by_join(proximity.own_port(motion.fold(parts.hot), ports, radius_m))
     linked = motion.link_hot(shared, motion.PREVIOUS, parts.hot_rows, slice_rows=slice_rows)
     return result.unionByName(_named(linked, legacy_sign))
 
@@ -54,7 +54,7 @@ def _share_by_join(hot: DataFrame) -> DataFrame:
     """The same for hot ships: one row per instant with a port, joined back."""
     best = hot.where("port IS NOT NULL").groupBy("MMSI", "BaseDateTime").agg(F.min("port").alias("_best"))
     joined = hot.join(best, ["MMSI", "BaseDateTime"], "left")
-    return joined.select(*POSITION_COLUMNS, F.col("_best.UNLOCODE").alias("NearPort"))
+    return joined.select(*POSITION_COLUMNS, motion.COPIES, F.col("_best.UNLOCODE").alias("NearPort"))
 
 
 def _named(linked: DataFrame, legacy_sign: bool) -> DataFrame:

@@ -171,7 +171,7 @@ def time_analysis(spark, folder):
 def time_analysis_by_join(spark, folder):
     """The same without a broadcast of the ports."""
     analysed = aggregate_year.time_analysis(
-        _valid(spark, folder), standin.ports(spark, folder), broadcast_ports=0
+        _valid(spark, folder), standin.ports(spark, folder), broadcast_cells=0
     )
     return _rounded(clean.with_months(analysed), "MeterSincePrevPing")
 

@@ -86,11 +86,16 @@ def test_next_leg_mirrors_the_loop_for_hot_and_ordinary_ships(spark, rows_of):
     assert plain.where("lead_time < BaseDateTime").isEmpty()
 
 
-def test_slices_stay_small(spark):
-    """No window group of the hot path holds more than a slice or two."""
+def test_slices_stay_small(spark, monkeypatch):
+    """The cut of the hot path has about as many slices, each as small, as asked for."""
     pings = positions(spark, track(2, 3, 2000, hot_share=0.9, same_second=0.9, copies=0.0))
-    linked = motion.link_hot(pings, "_prev_", 2000, slice_rows=100)
+    tables = []
+    keep = motion.written
+    monkeypatch.setattr(motion, "written", lambda frame, label: tables.append(keep(frame, label)) or tables[-1])
+    linked = motion.link_hot(motion.fold(pings), "_prev_", 2000, slice_rows=100)
     assert linked.count() == pings.count()
+    sizes = [row["count"] for row in tables[0].groupBy("_slice").count().collect()]
+    assert len(sizes) > 15 and max(sizes) <= 300
     plan = plan_of(linked)
     assert "hashpartitioning(MMSI" in plan and "_slice" in plan
 

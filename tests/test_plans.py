@@ -88,8 +88,8 @@ def busy(spark):
     [
         {"hot_rows": 60, "slice_rows": 25},
         {"hot_rows": 0, "slice_rows": 10},
-        {"broadcast_ports": 0},
-        {"broadcast_ports": 0, "hot_rows": 60, "slice_rows": 25},
+        {"broadcast_cells": 0},
+        {"broadcast_cells": 0, "hot_rows": 60, "slice_rows": 25},
     ],
 )
 def test_every_path_gives_the_same_analysis(spark, busy, rows_of, options):

@@ -90,7 +90,7 @@ def scene(spark):
 
 def test_salted_join_equals_broadcast_join(scene, rows_of):
     pings, ports = scene
-    salted = proximity.port_hits(pings, ports, broadcast_ports=5)
+    salted = proximity.port_hits(pings, ports, broadcast_cells=5)
     assert "_salt" in plan_of(salted)
     assert rows_of(salted) == rows_of(proximity.port_hits(pings, ports)) != []
 
@@ -154,6 +154,9 @@ def test_plans(scene):
     assert lookup.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(_cell" in lookup
 
 
-def test_few_enough(scene):
+def test_the_broadcast_is_bounded_by_cells_not_ports(spark, scene):
     _, ports = scene
     assert proximity.few_enough(ports, 20) and not proximity.few_enough(ports, 19)
+    assert proximity.can_broadcast(ports, 3500.0, 20 * 20)
+    polar = make_ports(spark, [(f"N{i}", 89.999, float(i)) for i in range(20)])
+    assert not proximity.can_broadcast(polar, 3500.0)
