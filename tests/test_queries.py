@@ -5,8 +5,9 @@ import pytest
 from conftest import SMALL, plan_of
 
 import __spark_entry__ as contract
+from aisflow.plans import oracle, queries
 
-QUERIES = contract.queries()
+QUERIES = queries.REGISTERED
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,8 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(oracle.SQL)
+    assert set(QUERIES) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
