@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aisflow.llm import fingerprints, packing, quality_rules, secret_scan, sharding
+from aisflow.llm import fingerprints, near_dups, packing, quality_rules, secret_scan, sharding
 from aisflow.storage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,11 @@ def op7_secret_ledger(spark, folder):
     )
 
 
+@registered
+def op9_chosen_path(spark, folder):
+    return near_dups.near_duplicates(_table(spark, folder, "documents"), shingle_words=2)
+
+
 @registered
 def op10_merkle_prints(spark, folder):
     return fingerprints.compare_with_edits(_table(spark, folder, "documents"))
