@@ -1,5 +1,6 @@
 """Small column helpers that several operators share."""
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -46,5 +47,6 @@ def position_in(value: Column, points: list) -> Column:
 
 
 def _literal_array(points: list) -> Column:
-    """One literal instead of thousands of expressions; longs only."""
-    return F.from_json(F.lit("[" + ",".join(str(int(p)) for p in points) + "]"), "array<bigint>")
+    """One literal instead of thousands of expressions; texts or longs."""
+    kind = "string" if isinstance(points[0], str) else "bigint"
+    return F.from_json(F.lit(json.dumps(points)), f"array<{kind}>")

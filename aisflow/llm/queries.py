@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aisflow.llm import fingerprints, near_dups, packing, quality_rules, secret_scan, sharding
+from aisflow.llm import bpe, fingerprints, near_dups, packing, quality_model, quality_rules, secret_scan, sharding, url_filters, warc
 from aisflow.storage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,43 @@ def op2_jump_shards(spark, folder):
     return sharding.assign(_table(spark, folder, "documents"), 8).withColumn("law", F.lit("key"))
 
 
+#: The rules that the query applies.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+@registered
+def op3_url_sweep(spark, folder):
+    rules = spark.createDataFrame(url_filters.parse_rules(URL_RULES), url_filters.RULE_SCHEMA)
+    return url_filters.judge(_table(spark, folder, "pages"), rules)
+
+
+@registered
+def op4_warc_captures(spark, folder):
+    archive = scratch_path(spark, "warc")
+    warc.write(_table(spark, folder, "pages"), archive)
+    captures = warc.page_ids(warc.assemble(warc.read(spark, archive)))
+    return captures.select(
+        "page_id",
+        F.col("response.bytes").alias("payload_bytes"),
+        F.col("response.digest").alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        "refers_to",
+    )
+
+
+@registered
+def op5_subword_quality(spark, folder):
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = quality_model.train(docs, _table(spark, folder, "labels"))
+    return quality_model.classify(docs, model)
+
+
 @registered
 def op6_rule_ledger(spark, folder):
     marks = quality_rules.ledger(_table(spark, folder, "documents"))
@@ -62,6 +99,17 @@ def op7_secret_ledger(spark, folder):
     )
 
 
+@registered
+def op8_byte_bpe(spark, folder):
+    encoded = _table(spark, folder, "documents").select("doc_id", bpe.encode(F.col("text")).alias("ids"))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(bpe.id_text(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("ids")), 256).alias("decoded_sha256"),
+    )
+
+
 @registered
 def op9_chosen_path(spark, folder):
     return near_dups.near_duplicates(_table(spark, folder, "documents"), shingle_words=2)
