@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from aisflow.functions import decode, geo
 from aisflow.operators.clean import MMSI_LENGTH
+from aisflow.storage import written
 
 
 def missing_in(table: DataFrame, column: str) -> DataFrame:
@@ -70,9 +71,12 @@ def pings_per_port(pings: DataFrame, port: str = "UNLOCODE") -> DataFrame:
     return counts.orderBy(F.desc("c"), F.asc_nulls_last(port))
 
 
-def rows_at_maximum(table: DataFrame, column: str, view: str = "pings_to_scan") -> DataFrame:
-    """All rows that hold the column's largest value, by SQL over a temporary view."""
-    table.createOrReplaceTempView(view)
+def rows_at_maximum(table: DataFrame, column: str) -> DataFrame:
+    """All rows that hold the column's largest value, by SQL over the frame.
+
+    The frame is written to the shared folder first, so that what it takes to
+    make it is done once, and not for the maximum and the rows apart.
+    """
     return table.sparkSession.sql(
-        f"SELECT * FROM `{view}` WHERE `{column}` = (SELECT max(`{column}`) FROM `{view}`)"
+        f"SELECT * FROM {{table}} WHERE `{column}` = (SELECT max(`{column}`) FROM {{table}})", table=written(table, "to-scan")
     )

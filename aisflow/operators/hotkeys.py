@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 # About ten years of one report a minute: no single ship gets here.
 HOT_ROWS = 5_000_000
 
-# Up to this many hot keys they are listed in the plan and broadcast; beyond it they are shuffled.
+# A choice of plan, which no result depends on: up to this many hot keys they are listed in the plan and broadcast; beyond it they are shuffled.
 LISTED_KEYS = 10_000
 
 

@@ -14,6 +14,7 @@ from aisflow.schemas import IDENTITY_COLUMNS
 # A ship may leave these empty, but may not report two values.
 SINGLE_VALUED = ["IMO", "CallSign", "Width", "Length"]
 
+# Of an error message only.
 SHOWN_CONFLICTS = 20
 
 
@@ -49,18 +50,27 @@ def merge(identities: DataFrame) -> DataFrame:
     return summarise(identities).select(*IDENTITY_COLUMNS)
 
 
-def conflicts(identities: DataFrame) -> DataFrame:
-    """MMSIs with several values in a single-valued column, and how many in each."""
+def conflicts(identities: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+    """MMSIs with several values in a single-valued column, and how many in each.
+
+    Conflicting ships are found by their smallest and largest values, in one
+    pass; distinct values are counted for these ships alone.
+    """
+    flagged = (summarise(identities) if summary is None else summary).where("conflict").select(F.col("MMSI").alias("_ship"))
+    rows = identities.join(flagged, F.col("MMSI").eqNullSafe(F.col("_ship")), "left_semi")
     counts = {f"c_{name}": F.count_distinct(name) for name in SINGLE_VALUED}
     counts["c_VesselType"] = F.count_distinct(known_type())
-    report = identities.groupBy("MMSI").agg(*[c.alias(name) for name, c in counts.items()])
-    return report.where(" OR ".join(f"{name} > 1" for name in counts))
+    return rows.groupBy("MMSI").agg(*[c.alias(name) for name, c in counts.items()])
 
 
-def require_single_profiles(summary: DataFrame, identities: DataFrame) -> None:
-    """Fail when the summary holds a conflict, naming a few."""
+def require_single_profiles(summary: DataFrame, identities: DataFrame, conflicts_root: str | None = None) -> None:
+    """Fail when the summary holds a conflict. All of them are written to ``conflicts_root``,
+    if given, before; the message names a few."""
     if summary.where("conflict").isEmpty():
         return
-    shown = conflicts(identities).orderBy("MMSI").limit(SHOWN_CONFLICTS).collect()
+    found = conflicts(identities, summary)
+    if conflicts_root:
+        found.write.mode("overwrite").parquet(conflicts_root)
+    shown = found.orderBy("MMSI").limit(SHOWN_CONFLICTS).collect()
     lines = "\n".join(str(row.asDict()) for row in shown)
     raise ProfileConflictError(f"MMSI with more than one profile, the first ones:\n{lines}")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aisflow.functions import geo
+from aisflow.storage import written
 
 DEFAULT_RADIUS_M = 3500.0
 
@@ -22,11 +23,12 @@ _SLACK = 1.01
 _METRES_PER_DEGREE = 111_000.0
 _SMALLEST_EDGE_DEG = 0.01
 
-# Up to this many rows (some ten a port, more near a pole) the ports' cell table is broadcast.
+# A choice of plan, which no result depends on: up to this many rows (some ten a port, more near a
+# pole) the ports' cell table is broadcast.
 BROADCAST_CELLS = 300_000
 
-# Spread of one busy cell over this many join tasks when the cell table is too large to broadcast.
-CELL_SALTS = 32
+# Beyond it the join shuffles, and cells with more pings than this are cut into parts of about as many.
+CELL_ROWS = 2_000_000
 
 # Places of pings and ports on the auxiliary sphere.
 _HERE = ["_x", "_y", "_z"]
@@ -104,6 +106,23 @@ def located(pings: DataFrame, grid: Grid, globe: geo.Globe) -> DataFrame:
     return pings.withColumns({"_cell": grid.cell(lon, lat), **places})
 
 
+def _salted(pings: DataFrame, cells: DataFrame, cell_rows: int) -> DataFrame:
+    """Joins by cell in a shuffle. A busy cell is cut into as many parts as its rows ask for, and
+    its ports are copied to each. Any part does for a ping, so it is drawn at random, and equal
+    pings are spread as well; cells that are not busy stay whole."""
+    sizes = pings.groupBy(F.col("_cell").alias("_busy")).agg(F.count("*").alias("_rows")).where(F.col("_rows") > cell_rows)
+    parts = written(sizes.select("_busy", F.ceil(F.col("_rows") / cell_rows).alias("_parts")), "busy-cells")
+    if parts.isEmpty():
+        return pings.join(cells, "_cell")
+    if few_enough(parts, BROADCAST_CELLS):
+        parts = F.broadcast(parts)
+    part = F.floor(F.rand(17) * F.coalesce("_parts", F.lit(1)))
+    all_parts = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1))
+    cut = pings.join(parts, F.col("_cell") == F.col("_busy"), "left").withColumn("_part", part)
+    copied = cells.join(parts, F.col("_cell") == F.col("_busy"), "left").withColumn("_part", all_parts)
+    return cut.drop("_busy", "_parts").join(copied.drop("_busy", "_parts"), ["_cell", "_part"]).drop("_part")
+
+
 def port_hits(
     pings: DataFrame,
     ports: DataFrame,
@@ -111,6 +130,7 @@ def port_hits(
     globe: geo.Globe = geo.WGS84,
     inclusive: bool = False,
     broadcast_cells: int = BROADCAST_CELLS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Inner join: every (ping, port) pair closer than the radius, with its distance ``d`` in metres."""
     grid = Grid.for_radius(radius_m)
@@ -119,11 +139,7 @@ def port_hits(
     if can_broadcast(ports, radius_m, broadcast_cells):
         pairs = located(pings, grid, globe).join(F.broadcast(cells), "_cell")
     else:
-        # A busy cell may hold a large part of all pings: split it, and copy its few ports.
-        salt = F.pmod(F.xxhash64(*pings.columns), F.lit(CELL_SALTS))
-        salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(CELL_SALTS - 1).cast("long")))
-        salted = located(pings, grid, globe).withColumn("_salt", salt)
-        pairs = salted.join(cells.withColumn("_salt", salts), ["_cell", "_salt"])
+        pairs = _salted(located(pings, grid, globe), cells, cell_rows)
     chord = globe.chord(here, there)
     near = F.col("d") <= radius_m if inclusive else F.col("d") < radius_m
     # Plain arithmetic decides about most pairs within the join. The value for the others comes
@@ -150,21 +166,22 @@ def nearest_port(hits: DataFrame) -> DataFrame:
 
 
 def join_ports(pings: DataFrame, nearest: DataFrame) -> DataFrame:
-    """Left join of the nearest port on (MMSI, BaseDateTime): equal keys share one port."""
+    """Left join of the nearest port on (MMSI, BaseDateTime): equal keys share one port, null keys get none."""
     return pings.join(nearest.select("MMSI", "BaseDateTime", "UNLOCODE"), ["MMSI", "BaseDateTime"], "left")
 
 
-def own_port(
+def _own_port(
     pings: DataFrame,
     ports: DataFrame,
-    radius_m: float = DEFAULT_RADIUS_M,
-    globe: geo.Globe = geo.WGS84,
+    radius_m: float,
+    globe: geo.Globe,
+    inclusive: bool,
 ) -> DataFrame:
     """Adds ``port``: struct(d, UNLOCODE) of the port nearest to each single ping, or null.
 
     Each cell carries its ports as one array, so a ping meets at most one row
     of the broadcast side and keeps its place: no shuffle, no window, no
-    second scan of the pings. Only for ports that ``can_broadcast`` accepts.
+    second scan of the pings. For ports that ``can_broadcast`` accepts.
     """
     grid = Grid.for_radius(radius_m)
     lists = (
@@ -185,25 +202,69 @@ def own_port(
         d = globe.metres_of(port["h"], here[2], port["z"]).alias("d")
         return F.struct(d, port["UNLOCODE"].alias("UNLOCODE"))
 
+    def near(port: Column) -> Column:
+        return port["d"] <= radius_m if inclusive else port["d"] < radius_m
+
     bound = globe.chord_bound(radius_m)
     likely = F.filter(F.transform("_ports", measured), lambda port: port["h"] <= bound)
-    within = F.filter(F.transform(likely, reach), lambda port: port["d"] < radius_m)
     return (
         located(pings, grid, globe)
         .join(F.broadcast(lists), "_cell", "left")
-        .select(*pings.columns, F.array_min(within).alias("port"))
+        .select(*pings.columns, F.array_min(F.filter(F.transform(likely, reach), near)).alias("port"))
     )
 
 
+def own_port(
+    pings: DataFrame,
+    ports: DataFrame,
+    radius_m: float = DEFAULT_RADIUS_M,
+    globe: geo.Globe = geo.WGS84,
+    inclusive: bool = False,
+    broadcast_cells: int = BROADCAST_CELLS,
+) -> DataFrame | None:
+    """``_own_port`` where the ports are few enough to be broadcast, else None."""
+    if not can_broadcast(ports, radius_m, broadcast_cells):
+        return None
+    return _own_port(pings, ports, radius_m, globe, inclusive)
+
+
+def shared_port(pings: DataFrame, name: str = "UNLOCODE") -> DataFrame:
+    """Replaces ``port`` by its code as ``name``, of the nearest port that any ping of the ship at that
+    instant has; without ship or time there is none. One shuffle, or none after a window by ship."""
+    same_instant = Window.partitionBy("MMSI", "BaseDateTime")
+    known = F.col("MMSI").isNotNull() & F.col("BaseDateTime").isNotNull()
+    code = F.when(known, F.min("port").over(same_instant)["UNLOCODE"])
+    return pings.withColumn(name, code).drop("port")
+
+
 def pings_with_port(
     pings: DataFrame,
     ports: DataFrame,
     radius_m: float = DEFAULT_RADIUS_M,
+    globe: geo.Globe = geo.WGS84,
+    inclusive: bool = False,
     broadcast_cells: int = BROADCAST_CELLS,
 ) -> DataFrame:
     """Every ping with the code of its nearest port in ``UNLOCODE``, or null.
 
-    Pings of one ship at one instant share the nearest port found for any of them.
+    Pings of one ship at one instant share the nearest port found for any of
+    them; without ship or time there is none. With a port list that can be
+    broadcast the pings are read and shuffled once.
     """
-    hits = port_hits(pings, ports, radius_m, broadcast_cells=broadcast_cells)
+    own = own_port(pings, ports, radius_m, globe, inclusive, broadcast_cells)
+    if own is not None:
+        return shared_port(own)
+    return pings_with_port_by_join(pings, ports, radius_m, globe, inclusive, broadcast_cells)
+
+
+def pings_with_port_by_join(
+    pings: DataFrame,
+    ports: DataFrame,
+    radius_m: float = DEFAULT_RADIUS_M,
+    globe: geo.Globe = geo.WGS84,
+    inclusive: bool = False,
+    broadcast_cells: int = BROADCAST_CELLS,
+) -> DataFrame:
+    """The same by joins, for any number of ports."""
+    hits = port_hits(pings, ports, radius_m, globe, inclusive, broadcast_cells)
     return join_ports(pings, nearest_port(hits)).select(*pings.columns, "UNLOCODE")

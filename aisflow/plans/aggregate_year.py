@@ -1,13 +1,15 @@
 """Yearly aggregation: nearest port and gap to the previous ping, for every ping."""
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aisflow.functions import geo
 from aisflow.operators import clean, motion, proximity
 from aisflow.operators.hotkeys import HOT_ROWS, split_hot
 from aisflow.schemas import POSITION_COLUMNS
 from aisflow.sinks import tables
 from aisflow.sources import pings as ping_source
+from aisflow.storage import job
 
 OUTPUT_COLUMNS = ["MMSI", "BaseDateTime", "NearPort", "MeterSincePrevPing", "MinSincePrevPing"]
 
@@ -25,38 +27,56 @@ def time_analysis(
 
     With a broadcastable port list all pings go through a single shuffle, by
     ship: the port lookup happens on the map side, and both windows use the
-    same partitioning and sort.
+    same partitioning and sort. Without ship or time a ping has no port,
+    whichever way it takes.
     """
     positions = pings.select(*POSITION_COLUMNS)
-    if not proximity.can_broadcast(ports, radius_m, broadcast_cells):
-        tagged = proximity.pings_with_port(positions, ports, radius_m, broadcast_cells)
-        tagged = tagged.withColumnRenamed("UNLOCODE", "NearPort")
-        linked = motion.link(tagged, motion.PREVIOUS, hot_rows=hot_rows, slice_rows=slice_rows)
-        return _named(linked, legacy_sign)
     parts = split_hot(positions, motion.KEY, hot_rows)
-    linked = motion.link_cold(proximity.own_port(parts.cold, ports, radius_m), motion.PREVIOUS)
-    result = _named(_share_by_window(linked), legacy_sign)
-    if parts.hot is None:
-        return result
-    shared = _share_by_join(proximity.own_port(motion.fold(parts.hot), ports, radius_m))
-    linked = motion.link_hot(shared, motion.PREVIOUS, parts.hot_rows, slice_rows=slice_rows)
-    return result.unionByName(_named(linked, legacy_sign))
-
+    own = proximity.own_port(parts.cold, ports, radius_m, broadcast_cells=broadcast_cells)
+    if own is None:
+        # the ships were counted before the join, which then runs once for each part
+        def tagged(some: DataFrame) -> DataFrame:
+            found = proximity.pings_with_port_by_join(some, ports, radius_m, broadcast_cells=broadcast_cells)
+            return found.withColumnRenamed("UNLOCODE", "NearPort")
 
-def _share_by_window(linked: DataFrame) -> DataFrame:
-    """Pings of one ship at one instant share the nearest port. Comes after the
-    window by ship, whose partitioning and sort it reuses."""
-    same_instant = Window.partitionBy("MMSI", "BaseDateTime")
-    return linked.withColumn("NearPort", F.min("port").over(same_instant)["UNLOCODE"])
+        result = _named(motion.link_cold(tagged(parts.cold), motion.PREVIOUS), legacy_sign)
+        if parts.hot is None:
+            return result
+        folded = motion.fold(tagged(parts.hot))
+    else:
+        linked = motion.link_cold(own, motion.PREVIOUS)
+        result = _named(proximity.shared_port(linked, "NearPort"), legacy_sign)
+        if parts.hot is None:
+            return result
+        folded = _share_by_join(proximity.own_port(motion.fold(parts.hot), ports, radius_m, broadcast_cells=broadcast_cells))
+    linked = motion.link_hot(folded, motion.PREVIOUS, parts.hot_rows, slice_rows=slice_rows)
+    return result.unionByName(_named(linked, legacy_sign))
 
 
 def _share_by_join(hot: DataFrame) -> DataFrame:
-    """The same for hot ships: one row per instant with a port, joined back."""
+    """``shared_port`` for hot ships: one row per instant with a port, joined back."""
     best = hot.where("port IS NOT NULL").groupBy("MMSI", "BaseDateTime").agg(F.min("port").alias("_best"))
     joined = hot.join(best, ["MMSI", "BaseDateTime"], "left")
     return joined.select(*POSITION_COLUMNS, motion.COPIES, F.col("_best.UNLOCODE").alias("NearPort"))
 
 
+def legs_with_port(
+    pings: DataFrame,
+    ports: DataFrame,
+    radius_m: float = 35_000.0,
+    globe: geo.Globe = geo.SPHERE,
+    inclusive: bool = True,
+    **limits,
+) -> DataFrame:
+    """``motion.next_leg`` and, as ``UNLOCODE``, the nearest port by another metric and radius ("None" without one)."""
+    positions = pings.select(*POSITION_COLUMNS)
+    own = proximity.own_port(positions, ports, radius_m, globe, inclusive)
+    if own is None:
+        tagged = proximity.pings_with_port_by_join(positions, ports, radius_m, globe, inclusive)
+        return clean.default_port(motion.next_leg(tagged, **limits))
+    return clean.default_port(proximity.shared_port(motion.next_leg(own, **limits)))
+
+
 def _named(linked: DataFrame, legacy_sign: bool) -> DataFrame:
     return motion.with_gaps(linked, legacy_sign=legacy_sign).select(*OUTPUT_COLUMNS)
 
@@ -73,11 +93,13 @@ def run(
     """Aggregates one year of cleaned pings into ``out_root``.
 
     With ``carry_over`` the first ping of the year is measured against the last
-    one of the year before; otherwise its gap is null.
+    one of the year before; otherwise its gap is null. A year holds timed rows
+    only: ingest keeps those without a time among its rejects.
     """
-    positions = ping_source.positions(spark, pings_root, year)
-    if carry_over:
-        before = ping_source.positions(spark, pings_root, year - 1)
-        positions = positions.unionByName(motion.last_pings(before))
-    result = clean.with_months(time_analysis(positions, ports, **options)).where(F.col("year") == year)
-    tables.write_months(result, out_root, balance=True)
+    with job(spark):
+        positions = ping_source.positions(spark, pings_root, year)
+        if carry_over:
+            before = ping_source.positions(spark, pings_root, year - 1)
+            positions = positions.unionByName(motion.last_pings(before))
+        result = clean.with_months(time_analysis(positions, ports, **options)).where(F.col("year") == year)
+        tables.write_months(result, out_root, balance=True)

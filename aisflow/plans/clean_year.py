@@ -17,8 +17,8 @@ def run(
     scope: str = "all",
     conflicts_root: str | None = None,
 ) -> None:
-    """``strict`` stops before any write when a ship has two identities; otherwise
-    the conflicts are written to ``conflicts_root``, if given, and the merge goes on."""
+    """All conflicts are written to ``conflicts_root``, if given. ``strict`` then stops before
+    any other write when a ship has two identities; otherwise the merge goes on."""
     raw = ping_source.raw_year(spark, raw_root, year)
     valid = clean.valid_pings(raw)
     identities = clean.clean_identity(valid if scope == "all" else raw)
@@ -26,9 +26,9 @@ def run(
     summary = profile.summarise(identities).persist()
     try:
         if strict:
-            profile.require_single_profiles(summary, identities)
+            profile.require_single_profiles(summary, identities, conflicts_root)
         elif conflicts_root:
-            profile.conflicts(identities).write.mode("overwrite").parquet(conflicts_root)
+            profile.conflicts(identities, summary).write.mode("overwrite").parquet(conflicts_root)
         tables.write_profile(summary.drop("conflict"), profile_root)
         tables.write_months(clean.with_months(clean.clean_motion(valid)), pings_root)
     finally:

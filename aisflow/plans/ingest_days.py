@@ -1,25 +1,92 @@
-"""Day files -> typed Parquet by year and month."""
+"""Day files -> typed Parquet by year, month and the day of the file."""
 
-from pyspark.sql import SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aisflow.operators.clean import with_months
+from aisflow.schemas import FILE_DAY, MONTH_PARTITIONS, PING
 from aisflow.sinks import tables
 from aisflow.sources import days
 from aisflow.sources import pings as ping_source
+from aisflow.storage import job, written
+
+# Rows without a time have no month: they are kept here, within the table, by the day of their file.
+REJECTS = "_rejected"
+
+
+@dataclass(frozen=True)
+class Ingested:
+    """Files that were read; days of the range without any file; files left aside as their day
+    has another file in this call, or was ingested before; rows kept among the rejects."""
+
+    read: list[str]
+    missing_days: list[str]
+    second_files: list[str]
+    known_files: list[str]
+    n_rejected: int
+
+
+def run(spark: SparkSession, paths: str | list[str], raw_root: str, first: str | None = None, last: str | None = None) -> Ingested:
+    """Ingests all files (zip or CSV) of days that the ledger does not hold, in one job.
+
+    A file belongs to the day in its name, whatever days its reports carry; a
+    file without one is an error, before anything is read. ``first`` and
+    ``last`` (ISO dates) bound a backfill. A day counts as ingested once its
+    ledger row is there, which is written last; its rows replace those that a
+    broken-off attempt may have left, so a run can always be repeated.
+    """
+    with job(spark):
+        files = written(days.listed_files(spark, paths), "files")
+        undated = [row["path"] for row in files.where("day IS NULL").collect()]
+        if undated:
+            raise ValueError(f"no date in the name of {sorted(undated)}")
+        if first:
+            files = files.where(F.col("day") >= F.lit(first).cast("date"))
+        if last:
+            files = files.where(F.col("day") <= F.lit(last).cast("date"))
+        gone = days.missing(days.day_range(spark, first, last), files.select("day")) if first and last else None
+        gaps = [] if gone is None else sorted(str(row["day"]) for row in gone.collect())
+        fresh = days.missing(files, days.read_ledger(spark, raw_root).select("day"))
+        marked = written(days.one_per_day(fresh), "chosen")
+        chosen = sorted(row["path"] for row in marked.where("chosen").collect())
+        second = sorted(row["path"] for row in marked.where("NOT chosen").collect())
+        known = sorted(row["path"] for row in files.join(marked, "path", "left_anti").collect())
+        rejected = _store(spark, chosen, raw_root) if chosen else 0
+    return Ingested(chosen, gaps, second, known, rejected)
+
+
+def _store(spark: SparkSession, chosen: list[str], raw_root: str) -> int:
+    dated = with_months(_read(spark, chosen).withColumn(FILE_DAY, days.day_of(F.col(ping_source.PATH)))).drop("YearMonth")
+    timed = F.col("BaseDateTime").isNotNull()
+    tables.write_days(dated.where(timed).select(*PING.names, *MONTH_PARTITIONS, FILE_DAY), raw_root)
+    rejects = dated.where(~timed).select(*PING.names, FILE_DAY)
+    rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(FILE_DAY).parquet(f"{raw_root}/{REJECTS}")
+    # counted from what was written, by partition: no file is parsed again
+    stored = _count(spark, raw_root, "n_rows", chosen).join(_count(spark, f"{raw_root}/{REJECTS}", "n_rejected", chosen), "path", "outer")
+    listed = spark.createDataFrame([(path,) for path in chosen], "path string").withColumn("day", days.day_of(F.col("path")))
+    counts = listed.join(stored, "path", "left").select(
+        "day", "path", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"), F.coalesce("n_rejected", F.lit(0)).cast("long").alias("n_rejected")
+    )
+    counts = written(counts, "counts")
+    counts.hint("rebalance").write.mode("append").parquet(f"{raw_root}/{days.LEDGER}")
+    return counts.agg(F.sum("n_rejected")).first()[0]
+
+
+def _read(spark: SparkSession, paths: list[str]) -> DataFrame:
+    zipped = [path for path in paths if path.lower().endswith(".zip")]
+    plain = [path for path in paths if path not in set(zipped)]
+    parts = [ping_source.read_zip(spark, zipped, with_path=True)] if zipped else []
+    parts += [ping_source.read_csv(spark, plain, with_path=True)] if plain else []
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def run(spark: SparkSession, paths: str | list[str], raw_root: str) -> list[str]:
-    """Reads all files (zip or CSV) whose day is not in the table yet, in one job
-    for the whole range, and appends them. Returns the paths that were read."""
-    todo = days.files_to_read(spark, paths, raw_root)
-    zipped = [path for path in todo if path.lower().endswith(".zip")]
-    plain = [path for path in todo if path not in set(zipped)]
-    parts = []
-    if zipped:
-        parts.append(ping_source.read_zip(spark, zipped))
-    if plain:
-        parts.append(ping_source.read_csv(spark, plain))
-    if parts:
-        pings = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        tables.append_days(with_months(pings).drop("YearMonth"), raw_root)
-    return todo
+def _count(spark: SparkSession, root: str, name: str, chosen: list[str]) -> DataFrame:
+    """(path, count) of the rows stored for each chosen file's day: footers of these partitions are read, no rows."""
+    by_day = spark.createDataFrame([(path,) for path in chosen], "path string").withColumn(FILE_DAY, days.day_of(F.col("path")))
+    wanted = [row[FILE_DAY] for row in by_day.select(FILE_DAY).distinct().collect()]
+    table = spark.read.schema(T.StructType([*PING.fields, T.StructField(FILE_DAY, T.DateType())])).parquet(root)
+    counts = table.where(F.col(FILE_DAY).isin(wanted)).groupBy(FILE_DAY).agg(F.count(F.lit(1)).alias(name))
+    return by_day.join(counts, FILE_DAY).select("path", name)

@@ -82,7 +82,7 @@ _CTES = {
         ON a.MMSI = n.MMSI AND a.BaseDateTime = n.BaseDateTime""",
     "stepped": """SELECT *, lag(LAT) OVER w AS p_lat, lag(LON) OVER w AS p_lon,
         lag(BaseDateTime) OVER w AS p_time FROM tagged
-        WINDOW w AS (PARTITION BY MMSI ORDER BY BaseDateTime, LAT, LON)""",
+        WINDOW w AS (PARTITION BY MMSI ORDER BY BaseDateTime NULLS FIRST, LAT NULLS FIRST, LON NULLS FIRST)""",
     "gaps": f"""SELECT MMSI, BaseDateTime, LAT, LON, UNLOCODE AS NearPort,
         round({_geodesic('p_lon', 'p_lat', 'LON', 'LAT')}, 2) AS MeterSincePrevPing,
         (epoch(date_trunc('second', BaseDateTime)) - epoch(date_trunc('second', p_time))) / 60
@@ -95,9 +95,9 @@ _MONTHS = """strftime(BaseDateTime, '%Y-%m') AS YearMonth,
 _SECONDS = "date_trunc('second', BaseDateTime)"
 
 
-def _with(body: str) -> str:
-    """Prefixes the common tables; the engine evaluates only those in use."""
-    tables = ",\n".join(f"{name} AS ({text})" for name, text in _CTES.items())
+def _with(body: str, changed: dict[str, str] | None = None) -> str:
+    """Prefixes the common tables, some of them ``changed``; the engine evaluates only those in use."""
+    tables = ",\n".join(f"{name} AS ({text})" for name, text in (_CTES | (changed or {})).items())
     return f"WITH {tables}\n{body}"
 
 
@@ -108,6 +108,31 @@ def _in_seconds() -> str:
 
 _ANALYSIS = f"SELECT MMSI, BaseDateTime, NearPort, MeterSincePrevPing, MinSincePrevPing, {_MONTHS} FROM gaps"
 
+_CONFLICTS = """SELECT * FROM (SELECT MMSI, count(DISTINCT IMO) AS c_IMO,
+    count(DISTINCT CallSign) AS c_CallSign, count(DISTINCT Width) AS c_Width,
+    count(DISTINCT Length) AS c_Length,
+    count(DISTINCT CASE WHEN VesselType <> 0 THEN VesselType END) AS c_VesselType
+    FROM identities GROUP BY MMSI)
+    WHERE c_IMO > 1 OR c_CallSign > 1 OR c_Width > 1 OR c_Length > 1 OR c_VesselType > 1"""
+
+_LEGS = f"""SELECT MMSI, BaseDateTime, LAT, LON, lead_LAT, lead_LON, lead_time,
+    round({_haversine('LON', 'LAT', 'lead_LON', 'lead_LAT')}, 3) AS d FROM (
+    SELECT *, lead(LAT) OVER w AS lead_LAT, lead(LON) OVER w AS lead_LON,
+    lead(BaseDateTime) OVER w AS lead_time FROM positions
+    WINDOW w AS (PARTITION BY MMSI ORDER BY BaseDateTime NULLS FIRST, LAT NULLS FIRST, LON NULLS FIRST))"""
+
+_SPHERE_PORTS = f"""SELECT MMSI, BaseDateTime, UNLOCODE FROM (SELECT *, row_number() OVER
+    (PARTITION BY MMSI, BaseDateTime ORDER BY km, UNLOCODE) AS r FROM (
+    SELECT a.MMSI, a.BaseDateTime, p.UNLOCODE, {_haversine('p.LON', 'p.LAT', 'a.LON', 'a.LAT')} AS km
+    FROM positions a CROSS JOIN ports p) WHERE km <= 35) WHERE r = 1"""
+
+_LEGS_WITH_PORT = f"""SELECT l.*, coalesce(n.UNLOCODE, 'None') AS UNLOCODE FROM ({_LEGS}) l LEFT JOIN ({_SPHERE_PORTS}) n
+    ON l.MMSI = n.MMSI AND l.BaseDateTime = n.BaseDateTime"""
+
+#: The common tables from rows with a time only, or of 2024 only: what the stored tables hold.
+_OF_TIMED = {"valid": "SELECT * FROM raw WHERE length(MMSI) = 9 AND abs(LAT) <= 90 AND abs(LON) <= 180 AND BaseDateTime IS NOT NULL"}
+_OF_2024 = {"valid": f"{_OF_TIMED['valid']} AND year(BaseDateTime) = 2024"}
+
 _BODIES = {
     "valid_pings": "SELECT * FROM valid",
     "split_profile": "SELECT * FROM named",
@@ -119,12 +144,7 @@ _BODIES = {
         TransceiverClass FROM moved""",
     "clean_motion": f"SELECT *, {_MONTHS} FROM motion",
     "year_month": f"SELECT {_MONTHS}, count(*) AS n FROM positions GROUP BY ALL",
-    "profile_conflicts": """SELECT * FROM (SELECT MMSI, count(DISTINCT IMO) AS c_IMO,
-        count(DISTINCT CallSign) AS c_CallSign, count(DISTINCT Width) AS c_Width,
-        count(DISTINCT Length) AS c_Length,
-        count(DISTINCT CASE WHEN VesselType <> 0 THEN VesselType END) AS c_VesselType
-        FROM identities GROUP BY MMSI)
-        WHERE c_IMO > 1 OR c_CallSign > 1 OR c_Width > 1 OR c_Length > 1 OR c_VesselType > 1""",
+    "profile_conflicts": _CONFLICTS,
     "profile_merge": "SELECT * FROM profiles",
     "port_hits": "SELECT MMSI, BaseDateTime, LAT, LON, UNLOCODE, round(d, 2) AS d FROM hits",
     "port_hits_cross": f"""SELECT MMSI, BaseDateTime, round(km, 3) AS km_to_port, UNLOCODE FROM (
@@ -136,16 +156,20 @@ _BODIES = {
     "port_ping_counts_named": """SELECT coalesce(UNLOCODE, 'None') AS UNLOCODE, count(*) AS c FROM tagged
         GROUP BY 1 ORDER BY c DESC""",
     "gap_prev": "SELECT MMSI, BaseDateTime, LAT, LON, MeterSincePrevPing, MinSincePrevPing FROM gaps",
-    "gap_next": f"""SELECT MMSI, BaseDateTime, LAT, LON, lead_LAT, lead_LON, lead_time,
-        round({_haversine('LON', 'LAT', 'lead_LON', 'lead_LAT')}, 3) AS d FROM (
-        SELECT *, lead(LAT) OVER w AS lead_LAT, lead(LON) OVER w AS lead_LON,
-        lead(BaseDateTime) OVER w AS lead_time FROM positions
-        WINDOW w AS (PARTITION BY MMSI ORDER BY BaseDateTime, LAT, LON))""",
+    "gap_prev_hot": "SELECT MMSI, BaseDateTime, LAT, LON, MeterSincePrevPing, MinSincePrevPing FROM gaps",
+    "gap_next": _LEGS,
+    "gap_next_hot": _LEGS,
+    "legs_with_port": _LEGS_WITH_PORT,
+    "legs_per_port": f"SELECT UNLOCODE, count(*) AS c FROM ({_LEGS_WITH_PORT}) GROUP BY UNLOCODE",
+    "port_hits_salted": "SELECT MMSI, BaseDateTime, LAT, LON, UNLOCODE, round(d, 2) AS d FROM hits",
+    "pings_with_port_by_join": "SELECT * FROM tagged",
+    "time_analysis_hot": _ANALYSIS,
+    "time_analysis_hot_by_join": _ANALYSIS,
     "time_analysis": _ANALYSIS,
     "time_analysis_by_join": _ANALYSIS,
     "gap_prev_legacy_sign": "SELECT MMSI, BaseDateTime, -MinSincePrevPing AS MinSincePrevPing FROM gaps",
     "last_pings": """SELECT MMSI, BaseDateTime, LAT, LON FROM (SELECT *, row_number() OVER
-        (PARTITION BY MMSI ORDER BY BaseDateTime DESC, LAT DESC, LON DESC) AS r FROM positions) WHERE r = 1""",
+        (PARTITION BY MMSI ORDER BY BaseDateTime DESC NULLS LAST, LAT DESC, LON DESC) AS r FROM positions) WHERE r = 1""",
     "max_gap_rows": """SELECT MMSI, BaseDateTime, LAT, LON, MinSincePrevPing FROM gaps
         WHERE MinSincePrevPing = (SELECT max(MinSincePrevPing) FROM gaps)""",
     "dup_mmsi": """SELECT MMSI, count(*) AS count FROM named GROUP BY MMSI HAVING count(*) > 1
@@ -168,7 +192,7 @@ _BODIES = {
     "ping_count": "SELECT count(*) AS n FROM valid",
     "coast_filter": f"SELECT * FROM positions WHERE {_inside_coast()}",
     "coast_count": f"SELECT count(*) AS n FROM raw WHERE {_inside_coast()}",
-    "preview": "SELECT * FROM positions ORDER BY BaseDateTime, MMSI, LAT, LON LIMIT 20",
+    "preview": "SELECT * FROM positions ORDER BY BaseDateTime NULLS FIRST, MMSI, LAT, LON LIMIT 20",
     "stg_ais": """SELECT MMSI, BaseDateTime AS PingTime, LAT, LON, SOG, COG, Heading, Status, Draft, Cargo,
         TransceiverClass AS Class FROM motion""",
     "stg_profile": """SELECT MMSI, VesselName AS Name, IMO, CallSign, VesselType AS Type, Length, Width
@@ -180,12 +204,13 @@ _BODIES = {
     "csv_roundtrip": f"""SELECT *, cast(year(BaseDateTime) AS integer) AS year,
         cast(month(BaseDateTime) AS integer) AS month FROM ({_in_seconds()} FROM raw)""",
     "zip_roundtrip": f"{_in_seconds()} FROM raw",
-    "external_tables": """SELECT Type, count(*) AS ships, cast(sum(pings) AS bigint) AS pings,
-        cast(sum(headings) AS bigint) AS headings, cast(sum(near_port) AS bigint) AS near_port
-        FROM (SELECT MMSI, VesselType AS Type FROM profiles)
-        JOIN (SELECT MMSI, count(*) AS pings, count(Heading) AS headings FROM motion GROUP BY MMSI) USING (MMSI)
-        JOIN (SELECT MMSI, count(NearPort) AS near_port FROM gaps GROUP BY MMSI) USING (MMSI)
-        GROUP BY Type""",
+    "profile_files": "SELECT * FROM profiles",
+    "zip_files": f"{_in_seconds()} FROM raw",
+    "ports_csv": """SELECT UNLOCODE, trim(NAME) AS NAME, STATE, LAT, LON, reader
+        FROM ports, (SELECT unnest(['declared', 'text']) AS reader)""",
+    "ingest_incremental": f"{_in_seconds()} FROM raw WHERE BaseDateTime IS NOT NULL",
+    "ingest_ledger": """SELECT cast(8 AS bigint) AS files, count(BaseDateTime) AS n_rows,
+        count(*) - count(BaseDateTime) AS n_rejected FROM raw""",
     "incremental_days": """SELECT cast(day AS varchar) AS day, cast(year(day) AS integer) AS year, cast(month(day) AS integer) AS month,
         cast(day(day) AS integer) AS dayofmonth
         FROM (SELECT DISTINCT cast(l_shipdate AS date) AS day FROM lineitem
@@ -196,4 +221,22 @@ _BODIES = {
         FROM orders EXCEPT SELECT cast(BaseDateTime AS date) FROM raw)""",
 }
 
+_STORED = {
+    "clean_job": (f"SELECT *, {_MONTHS} FROM motion", _OF_TIMED),
+    "clean_job_profiles": ("SELECT * FROM profiles", _OF_2024),
+    "aggregate_job": (_ANALYSIS, _OF_TIMED),
+    "profile_gate": (_CONFLICTS, _OF_2024),
+    "external_tables": (
+        """SELECT Type, count(*) AS ships, cast(sum(pings) AS bigint) AS pings,
+        cast(sum(headings) AS bigint) AS headings, cast(sum(near_port) AS bigint) AS near_port
+        FROM (SELECT MMSI, max(cast(coalesce(VesselType, 0) AS smallint)) AS Type FROM valid
+        WHERE year(BaseDateTime) = 2024 GROUP BY MMSI)
+        JOIN (SELECT MMSI, count(*) AS pings, count(Heading) AS headings FROM motion GROUP BY MMSI) USING (MMSI)
+        JOIN (SELECT MMSI, count(NearPort) AS near_port FROM gaps GROUP BY MMSI) USING (MMSI)
+        GROUP BY Type""",
+        _OF_TIMED,
+    ),
+}
+
 SQL = {name: _with(body) for name, body in _BODIES.items()}
+SQL |= {name: _with(body, tables) for name, (body, tables) in _STORED.items()}

@@ -1,18 +1,22 @@
 """Every registered query: (spark, folder of the test tables) -> DataFrame."""
 
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aisflow import schemas
 from aisflow.functions import geo
 from aisflow.operators import audit, clean, motion, profile, proximity
-from aisflow.plans import aggregate_year, standin
+from aisflow.plans import aggregate_year, clean_year, ingest_days, standin
 from aisflow.sinks import catalog, tables
 from aisflow.sources import days
 from aisflow.sources import pings as ping_source
-from aisflow.storage import scratch_path
+from aisflow.sources import ports as port_source
+from aisflow.storage import scratch_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,6 +129,15 @@ def port_hits_cross(spark, folder):
     return hits.select("MMSI", "BaseDateTime", F.round(F.col("d") / 1000, 3).alias("km_to_port"), "UNLOCODE")
 
 
+@registered
+def port_hits_salted(spark, folder):
+    """The same as port_hits without a broadcast of the ports, with busy cells in parts."""
+    hits = proximity.port_hits(
+        _positions(spark, folder), standin.ports(spark, folder), broadcast_cells=0, cell_rows=100
+    )
+    return _rounded(hits, "d")
+
+
 @registered
 def nearest_port(spark, folder):
     hits = proximity.port_hits(_positions(spark, folder), standin.ports(spark, folder))
@@ -136,6 +149,23 @@ def pings_with_port(spark, folder):
     return proximity.pings_with_port(_positions(spark, folder), standin.ports(spark, folder))
 
 
+@registered
+def pings_with_port_by_join(spark, folder):
+    return proximity.pings_with_port_by_join(_positions(spark, folder), standin.ports(spark, folder), broadcast_cells=0)
+
+
+@registered
+def legs_with_port(spark, folder):
+    """Next leg and nearest port within 35 km on a sphere, for every ping."""
+    legs = aggregate_year.legs_with_port(_positions(spark, folder), standin.ports(spark, folder))
+    return legs.withColumn("d", F.round("d", 3))
+
+
+@registered
+def legs_per_port(spark, folder):
+    return audit.pings_per_port(aggregate_year.legs_with_port(_positions(spark, folder), standin.ports(spark, folder)))
+
+
 @registered
 def port_ping_counts(spark, folder):
     tagged = proximity.pings_with_port(_positions(spark, folder), standin.ports(spark, folder))
@@ -161,6 +191,21 @@ def gap_next(spark, folder):
     return motion.next_leg(_positions(spark, folder)).withColumn("d", F.round("d", 3))
 
 
+#: Small enough for many of the stand-in's ships to count as hot.
+_HOT = {"hot_rows": 20, "slice_rows": 50}
+
+
+@registered
+def gap_prev_hot(spark, folder):
+    """The same as gap_prev with most ships cut into slices."""
+    return _rounded(motion.previous_gaps(_positions(spark, folder), **_HOT), "MeterSincePrevPing")
+
+
+@registered
+def gap_next_hot(spark, folder):
+    return motion.next_leg(_positions(spark, folder), **_HOT).withColumn("d", F.round("d", 3))
+
+
 @registered
 def time_analysis(spark, folder):
     analysed = aggregate_year.time_analysis(_valid(spark, folder), standin.ports(spark, folder))
@@ -176,6 +221,21 @@ def time_analysis_by_join(spark, folder):
     return _rounded(clean.with_months(analysed), "MeterSincePrevPing")
 
 
+@registered
+def time_analysis_hot(spark, folder):
+    """The same with most ships cut into slices."""
+    analysed = aggregate_year.time_analysis(_valid(spark, folder), standin.ports(spark, folder), **_HOT)
+    return _rounded(clean.with_months(analysed), "MeterSincePrevPing")
+
+
+@registered
+def time_analysis_hot_by_join(spark, folder):
+    analysed = aggregate_year.time_analysis(
+        _valid(spark, folder), standin.ports(spark, folder), broadcast_cells=0, **_HOT
+    )
+    return _rounded(clean.with_months(analysed), "MeterSincePrevPing")
+
+
 @registered
 def gap_prev_legacy_sign(spark, folder):
     gaps = motion.previous_gaps(_positions(spark, folder), legacy_sign=True)
@@ -283,7 +343,7 @@ def coast_count(spark, folder):
 
 @registered
 def preview(spark, folder):
-    return ping_source.preview(_positions(spark, folder))
+    return ping_source.preview(_positions(spark, folder).orderBy("BaseDateTime", "MMSI", "LAT", "LON"))
 
 
 # Publishing
@@ -322,14 +382,21 @@ def profile_roundtrip(spark, folder):
     return ping_source.read_parquet(spark, path, schemas.PROFILE)
 
 
+@registered
+def profile_files(spark, folder):
+    path = scratch_path(spark, "profile-files")
+    tables.write_profile_files(profile.merge(_identities(spark, folder)), path)
+    return ping_source.read_parquet(spark, path, schemas.PROFILE)
+
+
 @registered
 def csv_roundtrip(spark, folder):
-    """Raw pings as CSV day files, ingested into the monthly raw table, read back with the declared schema."""
+    """Raw pings as CSV day files, stored in the raw table's layout, read back with the declared schema."""
     files, root = scratch_path(spark, "day-files"), scratch_path(spark, "raw-day")
     standin.csv_text(standin.pings(spark, folder)).write.options(header=True, quote="").csv(files)
-    read = ping_source.read_csv(spark, files)
-    tables.append_days(clean.with_months(read).drop("YearMonth"), root)
-    return ping_source.read_parquet(spark, root)
+    read = clean.with_months(ping_source.read_csv(spark, files)).drop("YearMonth")
+    tables.write_days(read.withColumn(schemas.FILE_DAY, F.lit("2024-01-01").cast("date")), root)
+    return ping_source.read_parquet(spark, root).drop(schemas.FILE_DAY)
 
 
 @registered
@@ -340,22 +407,123 @@ def zip_roundtrip(spark, folder):
 
 
 @registered
-def external_tables(spark, folder):
-    """All three tables written and registered, then read through the staging views."""
-    database = "aisflow_check"
+def zip_files(spark, folder):
+    """The same through archive files. The text writer stores their bytes and a line end, which
+    unzipping skips; an archive has a file of its own."""
+    path = scratch_path(spark, "archives")
+    archives = standin.zip_archives(standin.pings(spark, folder)).select(F.col("content").cast("string").alias("value"))
+    archives.write.option("maxRecordsPerFile", 1).text(path)
+    return ping_source.read_zip(spark, path)
+
+
+@registered
+def ports_csv(spark, folder):
+    """Ports as CSV with a byte order mark, read with the declared schema and as text."""
+    path = scratch_path(spark, "ports")
+    lines = standin.ports(spark, folder).select(*[F.col(n).cast("string") for n in schemas.PORT.names])
+    marked = lines.coalesce(1).withColumnRenamed("UNLOCODE", "\ufeffUNLOCODE")
+    marked.write.option("header", True).csv(path)
+    declared = port_source.read_ports(spark, path).withColumn("reader", F.lit("declared"))
+    as_text = port_source.typed(port_source.read_ports_as_text(spark, path)).withColumn("reader", F.lit("text"))
+    return declared.unionByName(as_text)
+
+
+def _ingested(spark: SparkSession, folder: str) -> str:
+    """Root of a raw table made by two runs of the ingest job over overlapping day files."""
+    files, root = scratch_path(spark, "day-files"), scratch_path(spark, "raw")
+    standin.write_day_files(standin.files_by_day(standin.pings(spark, folder)), files)
+    ingest_days.run(spark, f"{files}/AIS_2024_01_0[1-5].csv", root)
+    ingest_days.run(spark, f"{files}/*.csv", root, "2024-01-01", "2024-01-31")
+    return root
+
+
+@registered
+def ingest_incremental(spark, folder):
+    """Raw pings through the ingest job; reports lie on other days than their files'."""
+    return ping_source.read_parquet(spark, _ingested(spark, folder)).drop("year", "month", schemas.FILE_DAY)
+
+
+@registered
+def ingest_ledger(spark, folder):
+    """What the job noted of its files, in all."""
+    ledger = days.read_ledger(spark, _ingested(spark, folder))
+    return ledger.agg(F.count("*").alias("files"), F.sum("n_rows").alias("n_rows"), F.sum("n_rejected").alias("n_rejected"))
+
+
+def _raw_table(spark: SparkSession, folder: str) -> str:
+    root = scratch_path(spark, "raw")
+    raw = clean.with_months(standin.pings(spark, folder)).drop("YearMonth").where("BaseDateTime IS NOT NULL")
+    tables.write_days(raw.withColumn(schemas.FILE_DAY, F.lit("2024-01-01").cast("date")), root)
+    return root
+
+
+@dataclass(frozen=True)
+class Jobs:
+    """Roots that the yearly jobs wrote."""
+
+    profile: str
+    ais: str
+    analysis: str
+
+
+def _jobs(spark: SparkSession, folder: str, aggregate: bool = True) -> Jobs:
+    """Both years of the stand-in through the yearly jobs; each year's profile has a root of its own."""
+    raw = _raw_table(spark, folder)
     root = scratch_path(spark, "tables")
-    valid = _valid(spark, folder)
-    analysed = aggregate_year.time_analysis(valid, standin.ports(spark, folder))
-    tables.write_profile(profile.merge(clean.clean_identity(valid)), f"{root}/profile")
-    tables.write_months(clean.with_months(clean.clean_motion(valid)), f"{root}/ais")
-    tables.write_months(clean.with_months(analysed), f"{root}/agg", balance=True)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/database'")
-    catalog.create_external(spark, catalog.PROFILE_TABLE, f"{root}/profile", database)
-    catalog.create_external(spark, catalog.PINGS_TABLE, f"{root}/ais", database)
-    catalog.create_external(spark, catalog.ANALYSIS_TABLE, f"{root}/agg", database)
-    for view in catalog.STAGING:
-        catalog.create_staging_view(spark, view, database)
-    return spark.sql(
+    for year in (2024, 2025):
+        clean_year.run(spark, raw, f"{root}/profile-{year}", f"{root}/ais", year, strict=False)
+    for year in (2024, 2025) if aggregate else ():
+        aggregate_year.run(spark, f"{root}/ais", standin.ports(spark, folder), f"{root}/agg", year, carry_over=year == 2025)
+    return Jobs(f"{root}/profile-2024", f"{root}/ais", f"{root}/agg")
+
+
+@registered
+def clean_job(spark, folder):
+    """Clean kinematics of both years, as the job stores them by month."""
+    return ping_source.read_parquet(spark, _jobs(spark, folder, aggregate=False).ais, None)
+
+
+@registered
+def clean_job_profiles(spark, folder):
+    """The profiles of the first year."""
+    return ping_source.read_parquet(spark, _jobs(spark, folder, aggregate=False).profile, schemas.PROFILE)
+
+
+@registered
+def aggregate_job(spark, folder):
+    """Two yearly runs, the second of which carries the last pings of the first over."""
+    analysed = ping_source.read_parquet(spark, _jobs(spark, folder).analysis, None)
+    return _rounded(analysed, "MeterSincePrevPing")
+
+
+@registered
+def profile_gate(spark, folder):
+    """Conflicts that a strict run writes before it stops; it must leave no table behind."""
+    raw, root = _raw_table(spark, folder), scratch_path(spark, "gate")
+    try:
+        clean_year.run(spark, raw, f"{root}/profile", f"{root}/ais", 2024, conflicts_root=f"{root}/conflicts")
+    except profile.ProfileConflictError:
+        found = spark.read.parquet(f"{root}/conflicts")
+    else:
+        raise AssertionError("the gate let conflicting profiles pass")
+    for table in ("profile", "ais"):
+        try:
+            spark.read.parquet(f"{root}/{table}")
+        except AnalysisException:
+            continue
+        raise AssertionError(f"the gate left the {table} table behind")
+    return found
+
+
+@registered
+def external_tables(spark, folder):
+    """All three tables as the jobs write them, registered, and read through the staging views."""
+    database = f"aisflow_{uuid.uuid4().hex[:12]}"
+    made = _jobs(spark, folder)
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'database')}'")
+    for _ in range(2):
+        catalog.publish(spark, made.profile, made.ais, made.analysis, database)
+    summary = spark.sql(
         f"""
         WITH moved AS (
           SELECT MMSI, count(*) AS pings, count(Heading) AS headings FROM {database}.stg_ais GROUP BY MMSI
@@ -368,6 +536,9 @@ def external_tables(spark, folder):
         GROUP BY Type
         """
     )
+    held = written(summary, "summary")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return held
 
 
 # Days

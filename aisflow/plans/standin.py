@@ -7,7 +7,7 @@ id, ``u`` the user id, ``t`` the time, and ``d`` tells apart several reports
 made of one event: some are exact copies, some share ship and time only.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aisflow import schemas
@@ -22,7 +22,7 @@ PING_EXPRESSIONS = {
     "MMSI": """CASE WHEN e % 499 = 0 THEN NULL
         WHEN e % 97 = 0 THEN substr(cast(338000000 + u AS varchar(12)), 1, 8)
         ELSE cast(338000000 + u AS varchar(12)) END""",
-    "BaseDateTime": "t",
+    "BaseDateTime": "CASE WHEN e % 307 = 0 THEN NULL ELSE t + INTERVAL '36' DAY * (e % 20) END",
     "LAT": """CASE WHEN e % 211 = 0 THEN 91e0 WHEN e % 223 = 0 THEN NULL
         ELSE 25e0 + cast(e % 25 AS double) * 0.9e0
              + cast((e * 7919 + d * 613) % 2001 - 1000 AS double) / 10000e0 END""",
@@ -105,10 +105,30 @@ def port_sql() -> str:
     return f"SELECT {', '.join(_named(PORT_EXPRESSIONS))} FROM (SELECT *, unnest([0, 1]) AS d FROM nation)"
 
 
-def csv_text(raw: DataFrame) -> DataFrame:
-    """All columns as the text of a day file, whose times are whole seconds."""
+def csv_text(raw: DataFrame, *more: Column) -> DataFrame:
+    """The pings' columns as the text of a day file, whose times are whole seconds, and further columns."""
     text = {"BaseDateTime": F.date_format("BaseDateTime", "yyyy-MM-dd'T'HH:mm:ss")}
-    return raw.select(*[text.get(name, F.col(name).cast("string")).alias(name) for name in raw.columns])
+    return raw.select(*[text.get(name, F.col(name).cast("string")).alias(name) for name in schemas.PING.names], *more)
+
+
+def files_by_day(raw: DataFrame) -> DataFrame:
+    """Raw pings with ``file_day``, one of eight days, whatever their own times are."""
+    shift = F.pmod(F.xxhash64(*raw.columns), F.lit(8)).cast("int")
+    return raw.withColumn("file_day", F.date_add(F.lit("2024-01-01").cast("date"), shift))
+
+
+def write_day_files(raw: DataFrame, folder: str) -> None:
+    """Pings as CSV day files AIS_YYYY_MM_DD.csv, one for each ``file_day``."""
+    spark = raw.sparkSession
+    lines = csv_text(raw, F.date_format("file_day", "yyyy_MM_dd").alias("name"))
+    lines.repartition(8, "name").write.option("header", True).option("quote", "").partitionBy("name").csv(f"{folder}-parts")
+    files = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}-parts")
+    system = files.getFileSystem(spark._jsc.hadoopConfiguration())
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system.mkdirs(path(folder))
+    for day in system.globStatus(path(f"{folder}-parts/name=*/part-*")):
+        label = day.getPath().getParent().getName().removeprefix("name=")
+        system.rename(day.getPath(), path(f"{folder}/AIS_{label}.csv"))
 
 
 def zip_archives(raw: DataFrame) -> DataFrame:

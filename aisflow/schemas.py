@@ -6,6 +6,7 @@
 
 from pyspark.sql import types as T
 
+# Names and types of the published day files.
 PING = T.StructType(
     [
         T.StructField("MMSI", T.StringType()),
@@ -28,6 +29,7 @@ PING = T.StructType(
     ]
 )
 
+# The columns of a port list.
 PORT = T.StructType(
     [
         T.StructField("UNLOCODE", T.StringType()),
@@ -61,6 +63,10 @@ POSITION_COLUMNS = ["MMSI", "BaseDateTime", "LAT", "LON"]
 
 MONTH_PARTITIONS = ["year", "month"]
 
+# The raw table also keeps apart what each day file brought: a file may hold reports of another day.
+FILE_DAY = "ingest_day"
+RAW_PARTITIONS = [*MONTH_PARTITIONS, FILE_DAY]
+
 
 def pick(schema: T.StructType, names: list[str]) -> T.StructType:
     """The declared schema narrowed to ``names``, in that order."""

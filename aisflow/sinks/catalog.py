@@ -31,7 +31,7 @@ PROFILE_TABLE = External("vessel_profile", schemas.PROFILE, by_month=False)
 PINGS_TABLE = External("vessel_ais", T.StructType([*schemas.KINEMATICS, MONTH_LABEL]), by_month=True)
 ANALYSIS_TABLE = External("vessel_agg", T.StructType([*ANALYSIS, MONTH_LABEL]), by_month=True)
 
-# Staging view -> (table, column -> name in the view), in the view's order.
+# Names of the staging views and their columns. View -> (table, column -> name in the view), in the view's order.
 STAGING = {
     "stg_ais": (
         PINGS_TABLE,
@@ -79,9 +79,11 @@ def _qualified(name: str, database: str | None) -> str:
 
 
 def create_external(spark: SparkSession, table: External, path: str, database: str | None = None) -> str:
-    """Points the table at ``path``, replacing an older definition; files are not touched.
+    """Points the table at ``path``; files are not touched.
 
-    Call after a successful write. Returns the qualified name.
+    Call after a successful write. A table of the same definition only gets its
+    new location, so readers find it at any time; one of another definition is
+    replaced. Returns the qualified name.
     """
     name = _qualified(table.name, database)
     location = path.replace("'", "\\'")
@@ -90,10 +92,15 @@ def create_external(spark: SparkSession, table: External, path: str, database: s
     if table.by_month:
         columns += ", year INT, month INT"
         partitions = f"PARTITIONED BY ({', '.join(schemas.MONTH_PARTITIONS)})"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitions} LOCATION '{location}'")
+    wanted = T.StructType.fromDDL(columns)
+    if spark.catalog.tableExists(name) and spark.table(name).schema == wanted:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitions} LOCATION '{location}'")
     if table.by_month:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
     return name
 
 
@@ -109,3 +116,11 @@ def create_staging_view(spark: SparkSession, view: str, database: str | None = N
     name = _qualified(view, database)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {_qualified(table.name, database)}")
     return name
+
+
+def publish(spark: SparkSession, profile_root: str, pings_root: str, analysis_root: str, database: str | None = None) -> None:
+    """All external tables over what the jobs wrote, and the staging views over them."""
+    for table, root in ((PROFILE_TABLE, profile_root), (PINGS_TABLE, pings_root), (ANALYSIS_TABLE, analysis_root)):
+        create_external(spark, table, root, database)
+    for view in STAGING:
+        create_staging_view(spark, view, database)

@@ -1,18 +1,13 @@
-"""Parquet tables: ship profiles, and pings by year and month."""
+"""Parquet tables: ship profiles, pings by year and month, raw pings by the day of their file."""
 
 from pyspark.sql import DataFrame
 
-from aisflow.schemas import MONTH_PARTITIONS
+from aisflow.schemas import MONTH_PARTITIONS, RAW_PARTITIONS
 
-# Up to this many profiles go into a single file, as small tables should.
-ONE_FILE_ROWS = 2_000_000
 
-
-def write_profile(profiles: DataFrame, path: str, one_file_rows: int = ONE_FILE_ROWS) -> None:
-    """Replaces the table: one file while that is small, else as many as its size asks for."""
-    small = profiles.limit(one_file_rows + 1).count() <= one_file_rows
-    laid_out = profiles.repartition(1) if small else profiles.hint("rebalance")
-    laid_out.write.mode("overwrite").parquet(path)
+def write_profile(profiles: DataFrame, path: str) -> None:
+    """Replaces the table with files of the advisory size, hence one file while it is small."""
+    profiles.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
 def write_profile_files(profiles: DataFrame, path: str) -> None:
@@ -20,6 +15,11 @@ def write_profile_files(profiles: DataFrame, path: str) -> None:
     profiles.write.mode("overwrite").parquet(path)
 
 
+def _replace(pings: DataFrame, path: str, partitions: list[str]) -> None:
+    writer = pings.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partitions).parquet(path)
+
+
 def write_months(pings: DataFrame, path: str, balance: bool = False) -> None:
     """Replaces the months that occur in ``pings`` and leaves the others alone.
 
@@ -30,14 +30,10 @@ def write_months(pings: DataFrame, path: str, balance: bool = False) -> None:
     """
     if balance:
         pings = pings.hint("rebalance", *MONTH_PARTITIONS)
-    (
-        pings.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*MONTH_PARTITIONS)
-        .parquet(path)
-    )
+    _replace(pings, path, MONTH_PARTITIONS)
 
 
-def append_days(pings: DataFrame, path: str) -> None:
-    """Adds days that the table does not hold yet, without a shuffle."""
-    pings.write.mode("append").partitionBy(*MONTH_PARTITIONS).parquet(path)
+def write_days(pings: DataFrame, path: str) -> None:
+    """Replaces what the day files in ``pings`` have in each month, without a shuffle: writing
+    a day a second time, after a job that broke off, leaves it there once."""
+    _replace(pings, path, RAW_PARTITIONS)

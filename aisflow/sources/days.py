@@ -1,15 +1,16 @@
-"""Which days are asked for, which are already in the table, which files are left to read."""
+"""Which days are asked for, which files hold them, and which were ingested before."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aisflow import schemas
-from aisflow.sources import pings as ping_source
-
 # Fixed value: day files carry their date as YYYY_MM_DD.
 DAY_IN_NAME = r"(\d{4}_\d{2}_\d{2})\.\w+$"
 
+# The ledger lies within the raw table; readers of that skip names with an underscore.
+LEDGER = "_ingested"
+LEDGER_SCHEMA = "day date, path string, n_rows bigint, n_rejected bigint"
+
 
 def day_range(spark: SparkSession, first: str, last: str) -> DataFrame:
     """All days from ``first`` to ``last`` (ISO dates), both included."""
@@ -28,11 +29,24 @@ def split_day(days: DataFrame) -> DataFrame:
     return days.withColumns({"year": F.year("day"), "month": F.month("day"), "dayofmonth": F.dayofmonth("day")})
 
 
+def day_of(path: Column) -> Column:
+    """The date in a file's name, null without one."""
+    text = F.regexp_extract(path, DAY_IN_NAME, 1)
+    return F.when(text != "", F.to_date(text, "yyyy_MM_dd"))
+
+
 def listed_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, day) of the files found; contents are not read. Files without a date are left out."""
+    """(path, day) of the files found; contents are not read. Without a date in the name, day is null."""
     files = spark.read.format("binaryFile").load(paths).select("path")
-    text = F.regexp_extract("path", DAY_IN_NAME, 1)
-    return files.where(text != "").select("path", F.to_date(text, "yyyy_MM_dd").alias("day"))
+    return files.withColumn("day", day_of(F.col("path")))
+
+
+def one_per_day(files: DataFrame) -> DataFrame:
+    """(path, day, chosen): of several files of a day one is chosen, an archive before plain
+    text and then the first by path. Files without a day are never chosen."""
+    zipped_first = [F.lower("path").endswith(".zip").desc(), F.col("path").asc()]
+    rank = F.row_number().over(Window.partitionBy("day").orderBy(*zipped_first))
+    return files.withColumn("chosen", F.col("day").isNotNull() & (rank == 1))
 
 
 def landed_days(pings: DataFrame) -> DataFrame:
@@ -44,22 +58,11 @@ def missing(requested: DataFrame, landed: DataFrame) -> DataFrame:
     return requested.join(landed, "day", "left_anti")
 
 
-def landed_in_months(spark: SparkSession, root: str, months: list[int]) -> DataFrame | None:
-    """Days in the given months (year * 100 + month) of a table, reading only those folders; None without a table."""
+def read_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """One row per file that was ingested into the table at ``root``; empty before the first."""
     try:
-        table = ping_source.read_parquet(spark, root, schemas.pick(schemas.PING, ["BaseDateTime"]))
-        return landed_days(table.where((F.col("year") * 100 + F.col("month")).isin(months)))
+        return spark.read.schema(LEDGER_SCHEMA).parquet(f"{root}/{LEDGER}")
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNRESOLVED_COLUMN.WITH_SUGGESTION"):
-            return None
-        raise
-
-
-def files_to_read(spark: SparkSession, paths: str | list[str], root: str) -> list[str]:
-    """Paths of the listed files whose day is not in the table at ``root``."""
-    files = listed_files(spark, paths)
-    month = (F.year("day") * 100 + F.month("day")).alias("month")
-    months = [row["month"] for row in files.select(month).distinct().collect()]
-    landed = landed_in_months(spark, root, months)
-    left = files if landed is None else missing(files, landed)
-    return sorted(row["path"] for row in left.select("path").collect())
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER_SCHEMA)

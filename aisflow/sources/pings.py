@@ -13,9 +13,14 @@ CSV_FORMAT = {"quote": "", "mode": "FAILFAST"}
 LINES_PER_BATCH = 50_000
 
 
-def read_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+# Name of the column with a row's file, where it is asked for.
+PATH = "_path"
+
+
+def read_csv(spark: SparkSession, paths: str | list[str], with_path: bool = False) -> DataFrame:
     """Day files as typed rows. Columns go by position; a value of the wrong type fails the read."""
-    return spark.read.schema(schemas.PING).options(header=True, **CSV_FORMAT).csv(paths)
+    rows = spark.read.schema(schemas.PING).options(header=True, **CSV_FORMAT).csv(paths)
+    return rows.select("*", F.col("_metadata.file_path").alias(PATH)) if with_path else rows
 
 
 def read_archives(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -24,7 +29,7 @@ def read_archives(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def first_member_lines(archives: DataFrame) -> DataFrame:
-    """Text lines, without the header, of the first member of each archive.
+    """(path, line): text lines, without the header, of the first member of each archive.
 
     Reads every archive as a stream. Archives are spread over tasks; only the
     unpacking happens in Python, parsing stays with Spark.
@@ -39,24 +44,25 @@ def first_member_lines(archives: DataFrame) -> DataFrame:
         import pandas as pd
 
         for batch in batches:
-            for content in batch["content"]:
+            for path, content in zip(batch["path"], batch["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     with archive.open(archive.namelist()[0]) as member:
                         text = io.TextIOWrapper(member, encoding="ascii")
                         next(text, None)
                         while lines := list(itertools.islice(text, lines_per_batch)):
-                            yield pd.DataFrame({"line": [line.rstrip("\n") for line in lines]})
+                            yield pd.DataFrame({"path": path, "line": [line.rstrip("\n") for line in lines]})
 
-    return archives.select("content").mapInPandas(unpack, "line string")
+    return archives.select("path", "content").mapInPandas(unpack, "path string, line string")
 
 
-def parse_lines(lines: DataFrame) -> DataFrame:
+def parse_lines(lines: DataFrame, with_path: bool = False) -> DataFrame:
     parsed = F.from_csv("line", schemas.PING.toDDL(), CSV_FORMAT)
-    return lines.where("line <> ''").select(parsed.alias("ping")).select("ping.*")
+    path = [F.col("path").alias(PATH)] if with_path else []
+    return lines.where("line <> ''").select(parsed.alias("ping"), *path).select("ping.*", *[PATH] * with_path)
 
 
-def read_zip(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return parse_lines(first_member_lines(read_archives(spark, paths)))
+def read_zip(spark: SparkSession, paths: str | list[str], with_path: bool = False) -> DataFrame:
+    return parse_lines(first_member_lines(read_archives(spark, paths)), with_path)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = schemas.PING) -> DataFrame:
@@ -80,5 +86,5 @@ def positions(spark: SparkSession, root: str, year: int) -> DataFrame:
 
 
 def preview(pings: DataFrame, rows: int = 20) -> DataFrame:
-    """The first rows in time order."""
-    return pings.orderBy("BaseDateTime", "MMSI", "LAT", "LON").limit(rows)
+    """Some rows, from as few files as hold them."""
+    return pings.limit(rows)

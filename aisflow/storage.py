@@ -1,15 +1,21 @@
-"""Where intermediate tables go.
+"""Where intermediate tables go, and when they are removed.
 
 A cluster names a folder that all executors share in ``spark.checkpoint.dir``.
-Only a local session may fall back to a temporary folder of its own.
+Only a session whose executors are threads of its own process may fall back to
+a temporary folder.
 """
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders of the jobs that are under way, innermost last.
+_JOBS: list[str] = []
+
 
 @lru_cache(maxsize=1)
 def _local_folder() -> str:
@@ -20,14 +26,30 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
         return _local_folder()
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the folder of the current job, or else the shared folder."""
+    folder = _JOBS[-1] if _JOBS else shared_folder(spark)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own for what a job writes on the way. It is removed when the job has
+    written its result, or has failed."""
+    folder = scratch_path(spark, "job")
+    _JOBS.append(folder)
+    try:
+        yield folder
+    finally:
+        _JOBS.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(frame: DataFrame, label: str) -> DataFrame:

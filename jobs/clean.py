@@ -12,7 +12,8 @@ if __name__ == "__main__":
     parser.add_argument("--profile", required=True, help="root of the profile table")
     parser.add_argument("--ais", required=True, help="root of the clean table")
     parser.add_argument("--year", required=True, type=int)
-    parser.add_argument("--conflicts", help="do not stop at conflicting profiles, write them here")
+    parser.add_argument("--conflicts", help="write all conflicting profiles here")
+    parser.add_argument("--lenient", action="store_true", help="do not stop at conflicting profiles")
     parser.add_argument("--keep-invalid-profiles", action="store_true", help="filter kinematics only")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("clean").getOrCreate()
@@ -22,7 +23,7 @@ if __name__ == "__main__":
         args.profile,
         args.ais,
         args.year,
-        strict=args.conflicts is None,
+        strict=not args.lenient,
         scope="pings" if args.keep_invalid_profiles else "all",
         conflicts_root=args.conflicts,
     )

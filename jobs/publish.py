@@ -14,8 +14,4 @@ if __name__ == "__main__":
     parser.add_argument("--database")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("publish").getOrCreate()
-    catalog.create_external(spark, catalog.PROFILE_TABLE, args.profile, args.database)
-    catalog.create_external(spark, catalog.PINGS_TABLE, args.ais, args.database)
-    catalog.create_external(spark, catalog.ANALYSIS_TABLE, args.aggregate, args.database)
-    for view in catalog.STAGING:
-        catalog.create_staging_view(spark, view, args.database)
+    catalog.publish(spark, args.profile, args.ais, args.aggregate, args.database)

@@ -35,7 +35,7 @@ def pings(spark, *changes: dict):
 
 def positions(spark, rows):
     """Rows (mmsi, seconds after START, lat, lon)."""
-    data = [(m, START + timedelta(seconds=s), lat, lon) for m, s, lat, lon in rows]
+    data = [(m, None if s is None else START + timedelta(seconds=s), lat, lon) for m, s, lat, lon in rows]
     return spark.createDataFrame(data, schemas.POSITION)
 
 

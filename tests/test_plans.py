@@ -1,22 +1,25 @@
+import os
 from datetime import datetime
 
 import pytest
 from conftest import plan_of
 from makers import pings, positions
 from makers import ports as make_ports
+from pyspark.sql import functions as F
 from test_motion import track
 
-from aisflow import schemas
-from aisflow.operators import audit, clean
+from aisflow import schemas, storage
+from aisflow.operators import audit, clean, profile, proximity
 from aisflow.operators.profile import ProfileConflictError
 from aisflow.plans import aggregate_year, clean_year
-from aisflow.sinks.tables import append_days
+from aisflow.sinks.tables import write_days, write_months
 from aisflow.sources import pings as ping_source
 
 
 def raw_table(spark, tmp_path, *changes):
     root = str(tmp_path / "raw")
-    append_days(clean.with_months(pings(spark, *changes)).drop("YearMonth"), root)
+    raw = clean.with_months(pings(spark, *changes)).drop("YearMonth")
+    write_days(raw.withColumn(schemas.FILE_DAY, F.to_date("BaseDateTime")), root)
     return root
 
 
@@ -65,7 +68,7 @@ def test_profiles_of_invalid_reports_can_be_kept(spark, tmp_path):
 def test_aggregate_year(spark, tmp_path, carry_over, first):
     times = [datetime(2023, 12, 31, 23, 59), datetime(2024, 1, 1, 0, 1), datetime(2024, 1, 1, 0, 2)]
     ais = str(tmp_path / "ais")
-    append_days(clean.with_months(pings(spark, *[{"BaseDateTime": t} for t in times])), ais)
+    write_months(clean.with_months(pings(spark, *[{"BaseDateTime": t} for t in times])), ais)
     out = str(tmp_path / "agg")
     ports = make_ports(spark, [("P1", 30.0, -90.0), ("P2", 50.0, 0.0)])
     aggregate_year.run(spark, ais, ports, out, 2024, carry_over=carry_over)
@@ -78,7 +81,8 @@ def test_aggregate_year(spark, tmp_path, carry_over, first):
 @pytest.fixture
 def busy(spark):
     """Many pings of one ship, with copies and equal times, around a few ports."""
-    rows = [(m, s, 30 + lat / 800, -90 + lon / 800) for m, s, lat, lon in track(11, 6, 400) if m]
+    rows = [(m, s, 30 + lat / 800, -90 + lon / 800) for m, s, lat, lon in track(11, 6, 400)]
+    rows += [(m, None, 30.0, -90.0) for m in ("1", "2", None)] + [(None, 5, 30.0, -90.0)] * 2
     ports = make_ports(spark, [("A", 30.0, -90.0), ("B", 30.05, -90.05), ("C", 29.95, -89.96)])
     return positions(spark, rows), ports
 
@@ -100,6 +104,55 @@ def test_every_path_gives_the_same_analysis(spark, busy, rows_of, options):
     assert rows_of(aggregate_year.time_analysis(pings, ports, **options)) == rows_of(usual)
 
 
+def test_without_ship_or_time_there_is_no_port(busy):
+    pings, ports = busy
+    for options in ({}, {"broadcast_cells": 0}, {"hot_rows": 0, "slice_rows": 10}):
+        found = aggregate_year.time_analysis(pings, ports, **options)
+        assert found.where("MMSI IS NULL OR BaseDateTime IS NULL").where("NearPort IS NOT NULL").isEmpty()
+
+
+def test_jobs_leave_no_intermediate_tables(spark, tmp_path, busy):
+    pings, ports = busy
+    write_months(clean.with_months(pings.where("BaseDateTime IS NOT NULL")), str(tmp_path / "ais"))
+    folder = storage.shared_folder(spark)
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    aggregate_year.run(spark, str(tmp_path / "ais"), ports, str(tmp_path / "out"), 2024, hot_rows=20, slice_rows=10)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == pings.where("BaseDateTime IS NOT NULL").count()
+    assert set(os.listdir(folder)) == before
+
+
+def test_port_tagging_reads_and_shuffles_pings_once(busy):
+    pings, ports = busy
+    plan = plan_of(proximity.pings_with_port(pings, ports))
+    assert plan.count("Exchange hashpartitioning(MMSI") == 1 and "SortMergeJoin" not in plan
+    joined = plan_of(proximity.pings_with_port_by_join(pings, ports))
+    assert "SortMergeJoin" in joined
+
+
+def test_the_gate_writes_all_conflicts_before_it_stops(spark, tmp_path):
+    changes = [{"MMSI": f"{k:09d}", "IMO": f"IMO{n}"} for k in range(30) for n in range(2)]
+    root = raw_table(spark, tmp_path, *changes)
+    profile_root, ais_root = paths(tmp_path)
+    with pytest.raises(ProfileConflictError):
+        clean_year.run(spark, root, profile_root, ais_root, 2024, conflicts_root=str(tmp_path / "conflicts"))
+    assert spark.read.parquet(str(tmp_path / "conflicts")).count() == 30
+    assert not (tmp_path / "profile").exists() and not (tmp_path / "ais").exists()
+
+
+def test_maximum_is_looked_for_in_stored_rows(spark):
+    rows = spark.range(100).selectExpr("id % 7 AS v", "id")
+    found = audit.rows_at_maximum(rows, "v")
+    assert {r["v"] for r in found.collect()} == {6} and "Window" not in plan_of(found)
+    assert not [t for t in spark.catalog.listTables() if t.name == "pings_to_scan"]
+
+
+def test_conflicts_are_counted_for_conflicting_ships_only(spark):
+    identities = clean.clean_identity(pings(spark, {}, {"IMO": "IMO2"}, {"MMSI": "338000009"}))
+    plan = plan_of(profile.conflicts(identities))
+    assert plan.index("Expand") < plan.index("LeftSemi")
+    assert [r["MMSI"] for r in profile.conflicts(identities).collect()] == ["338000001"]
+
+
 def test_one_shuffle_of_pings(busy):
     pings, ports = busy
     plan = plan_of(aggregate_year.time_analysis(pings, ports))

@@ -40,15 +40,29 @@ def parquet_files(folder):
     return [f for f in os.listdir(folder) if f.endswith(".parquet")]
 
 
-def test_profile_is_one_file_only_while_small(spark, tmp_path):
+def test_a_small_profile_is_one_file(spark, tmp_path):
     rows = clean.clean_identity(pings(spark, *[{"MMSI": f"{i:09d}"} for i in range(50)]).repartition(4))
     merged = profile.merge(rows)
     tables.write_profile(merged, str(tmp_path / "one"))
     assert len(parquet_files(tmp_path / "one")) == 1
-    tables.write_profile(merged, str(tmp_path / "many"), one_file_rows=10)
-    assert spark.read.parquet(str(tmp_path / "many")).count() == 50
     tables.write_profile_files(merged.repartition(3), str(tmp_path / "many"))
     assert len(parquet_files(tmp_path / "many")) == 3
+    assert spark.read.parquet(str(tmp_path / "many")).count() == 50
+
+
+def test_a_table_that_stays_the_same_is_never_gone(spark, tmp_path):
+    for folder, code in (("a", "P1"), ("b", "P2")):
+        rows = pings(spark, {"VesselName": code})
+        tables.write_profile(profile.merge(clean.clean_identity(rows)), str(tmp_path / folder))
+    spark.sql(f"CREATE DATABASE aisflow_moved LOCATION '{tmp_path}/db'")
+    try:
+        name = catalog.create_external(spark, catalog.PROFILE_TABLE, str(tmp_path / "a"), "aisflow_moved")
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('mark' = 'kept')")
+        catalog.create_external(spark, catalog.PROFILE_TABLE, str(tmp_path / "b"), "aisflow_moved")
+        assert [r["VesselName"] for r in spark.table(name).collect()] == ["P2"]
+        assert spark.sql(f"SHOW TBLPROPERTIES {name} ('mark')").first()["value"] == "kept"
+    finally:
+        spark.sql("DROP DATABASE aisflow_moved CASCADE")
 
 
 def test_external_tables_and_views(spark, tmp_path):
@@ -99,4 +113,15 @@ def test_intermediate_tables_go_to_the_named_folder():
 def test_a_cluster_must_name_its_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         storage.shared_folder(Session("spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.shared_folder(Session("local-cluster[2,1,1024]"))
     assert os.path.isdir(storage.shared_folder(Session("local[2]")))
+
+
+def test_a_job_removes_what_it_wrote_on_the_way(spark):
+    with pytest.raises(KeyError):
+        with storage.job(spark) as folder:
+            assert storage.written(spark.range(3), "x").count() == 3
+            assert os.path.isdir(folder)
+            raise KeyError
+    assert not os.path.exists(folder)

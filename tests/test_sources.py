@@ -119,8 +119,10 @@ def test_positions_read_four_columns(spark, tmp_path):
 
 def test_preview(spark):
     rows = positions(spark, [("1", s, 1.0, 1.0) for s in range(30, 0, -1)])
-    shown = ping_source.preview(rows, 5).collect()
-    assert [r["BaseDateTime"].second for r in shown] == [1, 2, 3, 4, 5]
+    shown = ping_source.preview(rows, 5)
+    assert shown.count() == 5 and "Sort" not in plan_of(shown)
+    ordered = ping_source.preview(rows.orderBy("BaseDateTime"), 5).collect()
+    assert [r["BaseDateTime"].second for r in ordered] == [1, 2, 3, 4, 5]
 
 
 def test_day_range(spark):
@@ -139,23 +141,95 @@ def test_days_spanned(spark):
     assert [str(r["day"]) for r in days.days_spanned(rows).collect()] == [f"2024-03-{d}" for d in (10, 11, 12, 13)]
 
 
+def names(files):
+    return [p.rsplit("/", 1)[1] for p in files]
+
+
+def raw_rows(spark, root):
+    return ping_source.read_parquet(spark, root)
+
+
 def test_ingest_reads_each_day_once(spark, tmp_path):
     source, root = tmp_path / "in", str(tmp_path / "raw")
     source.mkdir()
     make_zip(source / "AIS_2024_01_01.zip", text(line(1, 1), line(1, 2)))
     (source / "AIS_2024_01_02.csv").write_text(text(line(2, 1)))
-    (source / "notes.csv").write_text("no day in the name\n")
     glob = [str(source / "*.zip"), str(source / "*.csv")]
-    assert [p.rsplit("/", 1)[1] for p in ingest_days.run(spark, glob, root)] == ["AIS_2024_01_01.zip", "AIS_2024_01_02.csv"]
-    table = ping_source.read_parquet(spark, root)
-    assert table.columns == [*schemas.PING.names, "year", "month"] and table.count() == 3
+    done = ingest_days.run(spark, glob, root)
+    assert names(done.read) == ["AIS_2024_01_01.zip", "AIS_2024_01_02.csv"] and done.n_rejected == 0
+    table = raw_rows(spark, root)
+    assert table.columns == [*schemas.PING.names, "year", "month", "ingest_day"] and table.count() == 3
     assert (tmp_path / "raw" / "year=2024" / "month=1").is_dir()
 
-    assert ingest_days.run(spark, glob, root) == []
+    again = ingest_days.run(spark, glob, root)
+    assert again.read == [] and len(again.known_files) == 2
     make_zip(source / "AIS_2024_01_03.zip", text(line(3, 1)))
     make_zip(source / "AIS_2024_02_01.zip", text(line(3, 1).replace("2024-01-03", "2024-02-01")))
-    assert len(ingest_days.run(spark, glob, root)) == 2
-    assert ping_source.read_parquet(spark, root).count() == 5
+    assert len(ingest_days.run(spark, glob, root).read) == 2
+    assert raw_rows(spark, root).count() == 5
+    ledger = days.read_ledger(spark, root).orderBy("day").collect()
+    assert [(str(r["day"]), r["n_rows"], r["n_rejected"]) for r in ledger][:2] == [("2024-01-01", 2, 0), ("2024-01-02", 1, 0)]
+
+
+def test_a_file_may_hold_reports_of_another_day(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    (tmp_path / "AIS_2024_01_01.csv").write_text(text(line(1, 1), line(2, 1)))
+    (tmp_path / "AIS_2024_01_02.csv").write_text(text(*[line(2, s) for s in range(10)]))
+    (tmp_path / "AIS_2024_01_03.csv").write_text(text(line(9, 1)))
+    ingest_days.run(spark, str(tmp_path / "AIS_2024_01_01.csv"), root)
+    for _ in range(2):
+        ingest_days.run(spark, str(tmp_path / "*.csv"), root)
+    assert raw_rows(spark, root).count() == 13
+
+
+def test_one_file_a_day(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    (tmp_path / "AIS_2024_01_01.csv").write_text(text(line(1, 1)))
+    make_zip(tmp_path / "AIS_2024_01_01.zip", text(line(1, 1)))
+    done = ingest_days.run(spark, [str(tmp_path / "*.csv"), str(tmp_path / "*.zip")], root)
+    assert names(done.read) == ["AIS_2024_01_01.zip"] and names(done.second_files) == ["AIS_2024_01_01.csv"]
+    assert raw_rows(spark, root).count() == 1
+
+
+def test_reports_without_a_time_are_kept_apart(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    (tmp_path / "AIS_2024_01_01.csv").write_text(text(line(1, 1), ",".join(["338000001", "", *line(1, 1).split(",")[2:]])))
+    for rejected in (1, 0):
+        assert ingest_days.run(spark, str(tmp_path / "*.csv"), root).n_rejected == rejected
+    assert raw_rows(spark, root).count() == 1
+    assert spark.read.parquet(f"{root}/{ingest_days.REJECTS}").count() == 1
+
+
+def test_files_without_a_date_are_an_error(spark, tmp_path):
+    (tmp_path / "AIS_2024_01_01.csv").write_text(text(line(1, 1)))
+    (tmp_path / "notes.csv").write_text("no day in the name\n")
+    with pytest.raises(ValueError, match="notes.csv"):
+        ingest_days.run(spark, str(tmp_path / "*.csv"), str(tmp_path / "raw"))
+    assert not (tmp_path / "raw").exists()
+
+
+def test_backfill_reports_days_without_a_file(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    for day in (1, 2, 5):
+        (tmp_path / f"AIS_2024_01_{day:02d}.csv").write_text(text(line(day, 1)))
+    done = ingest_days.run(spark, str(tmp_path / "*.csv"), root, "2024-01-02", "2024-01-04")
+    assert names(done.read) == ["AIS_2024_01_02.csv"] and done.missing_days == ["2024-01-03", "2024-01-04"]
+    assert raw_rows(spark, root).count() == 1
+
+
+def test_a_broken_off_ingest_is_repeated(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "raw")
+    (tmp_path / "AIS_2024_01_01.csv").write_text(text(line(1, 1), line(1, 2)))
+
+    def broken(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest_days, "_count", broken)
+        with pytest.raises(OSError):
+            ingest_days.run(spark, str(tmp_path / "*.csv"), root)
+    assert len(ingest_days.run(spark, str(tmp_path / "*.csv"), root).read) == 1
+    assert raw_rows(spark, root).count() == 2
 
 
 def test_listing_reads_no_contents(spark, tmp_path):
