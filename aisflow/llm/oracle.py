@@ -1,3 +1,183 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express, written apart from the operators.
 
-SQL: dict[str, str] = {}
+Missing are the trained classifier, the BPE encoding and the pipeline that holds
+the former: these are tested against plain versions of themselves.
+"""
+
+from aisflow.llm import fingerprints, packing, queries, secret_scan, sharding
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORD = r"[^\x20\x09-\x0D]+"
+_TEXTS = "texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _packing() -> str:
+    levels = []
+    for k in range(1, packing.BUCKETS + 1):
+        before = "(SELECT 0 AS j, 0 AS cost)" if k == 1 else f"b{k - 1}"
+        levels.append(
+            f"""b{k} AS (SELECT h.j, min(p.cost + h.n * (h.c - q.c) - (h.t - q.t)) AS cost,
+            arg_min(p.j, struct_pack(a := p.cost + h.n * (h.c - q.c) - (h.t - q.t), b := p.j)) AS prev
+            FROM hist h JOIN {before} p ON p.j < h.j JOIN hist q ON q.j = p.j WHERE h.j > 0 GROUP BY h.j)"""
+        )
+    chain = ["used AS (SELECT arg_min(k, struct_pack(a := cost, b := k)) AS k FROM totals)"]
+    totals = " UNION ALL ".join(f"SELECT {k} AS k, cost FROM b{k} WHERE j = (SELECT max(j) FROM hist)" for k in range(1, packing.BUCKETS + 1))
+    last = packing.BUCKETS
+    steps = [f"e{last + 1} AS (SELECT max(j) AS j FROM hist)"]
+    for k in range(last, 0, -1):
+        # before the level in use is reached, the end stays where it is
+        steps.append(
+            f"""e{k} AS (SELECT CASE WHEN {k} <= (SELECT k FROM used) THEN b.prev ELSE e.j END AS j
+            FROM e{k + 1} e LEFT JOIN b{k} b ON b.j = e.j)"""
+        )
+    ends = " UNION ".join(f"SELECT j FROM e{k}" for k in range(2, last + 2))
+    return f"""WITH {_TEXTS}, counted AS (SELECT doc_id, len(regexp_extract_all(text, '{_WORD}')) AS n FROM texts),
+    pieces AS (SELECT doc_id, piece, piece * {packing.CONTEXT} AS start, least({packing.CONTEXT}, n - piece * {packing.CONTEXT}) AS n_tokens
+        FROM (SELECT doc_id, n, unnest(range(greatest(1, (n + {packing.CONTEXT - 1}) // {packing.CONTEXT}))) AS piece FROM counted)),
+    lengths AS (SELECT n_tokens AS n, count(*) AS c FROM pieces GROUP BY n_tokens),
+    hist AS (SELECT row_number() OVER w AS j, n, sum(c) OVER w AS c, sum(c * n) OVER w AS t FROM lengths WINDOW w AS (ORDER BY n)
+        UNION ALL SELECT 0, 0, 0, 0),
+    {", ".join(levels)}, totals AS ({totals}), {", ".join(chain)}, {", ".join(steps)},
+    bounds AS (SELECT row_number() OVER (ORDER BY n) - 1 AS bucket, n AS bound FROM ({ends}) JOIN hist USING (j) WHERE j > 0),
+    placed AS (SELECT p.*, (SELECT min(bound) FROM bounds WHERE bound >= n_tokens) AS bound FROM pieces p),
+    slots AS (SELECT p.*, b.bucket, greatest(1, {packing.BATCH_TOKENS} // greatest(p.bound, 1)) AS per,
+        row_number() OVER (PARTITION BY p.bound ORDER BY doc_id NULLS FIRST, piece) - 1 AS slot FROM placed p JOIN bounds b USING (bound))
+    SELECT doc_id, piece, start, n_tokens, cast(bucket AS integer) AS bucket, bound, cast(slot // per AS bigint) AS batch,
+        cast(slot % per AS bigint) AS place FROM slots"""
+
+
+_CRC = """crc_table AS (SELECT list(v ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM (SELECT unnest(range(256)) AS i))),
+    coded AS (SELECT doc_id, octet_length(encode(text)) AS n, hex(encode(text)) AS h FROM texts),
+    crcs AS (SELECT doc_id, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(h, '..'), lambda x:
+        cast(16 * (strpos('0123456789ABCDEF', x[1]) - 1) + strpos('0123456789ABCDEF', x[2]) - 1 AS bigint))),
+        lambda c, b: xor(c >> 8, tab[cast(xor(c, b) & 255 AS integer) + 1]))) AS crc FROM coded, crc_table)"""
+
+_SHARDS = f"""WITH RECURSIVE {_TEXTS}, {_CRC},
+    ids AS (SELECT DISTINCT doc_id FROM documents),
+    jumps AS (
+        SELECT doc_id, cast(-1 AS bigint) AS b, cast(0 AS bigint) AS j, cast(coalesce(doc_id, 0) AS hugeint) + CASE WHEN doc_id < 0 THEN 18446744073709551616 ELSE 0 END AS key, 0 AS step FROM ids
+        UNION ALL
+        SELECT doc_id, j, cast(floor((j + 1) * (2147483648e0 / cast((new // 8589934592) + 1 AS double))) AS bigint), new, step + 1
+        FROM (SELECT *, ((key % 4294967296) * {sharding.MULTIPLIER} + 1
+            + ((key // 4294967296) * {sharding.MULTIPLIER % 2**32} % 4294967296) * 4294967296) % 18446744073709551616 AS new
+            FROM jumps WHERE j < 8)
+    ),
+    ends AS (SELECT doc_id, arg_max(b, step) AS shard, arg_max(j, step) AS j FROM jumps GROUP BY doc_id)
+    SELECT c.doc_id, n + 1 AS size, crc AS text_crc32, 'key' AS law, cast(shard AS integer) AS shard,
+        cast(CASE WHEN j = 8 THEN 8 ELSE shard END AS integer) AS grown_shard,
+        row_number() OVER (PARTITION BY shard ORDER BY c.doc_id NULLS FIRST, crc, n) - 1 AS slot
+    FROM crcs c JOIN ends e ON c.doc_id IS NOT DISTINCT FROM e.doc_id"""
+
+_RULES = ", ".join(f"('{verdict}', '{rule.partition('/')[0]}', '/{rule.partition('/')[2]}')" for verdict, rule in queries.URL_RULES)
+
+_URLS = f"""WITH rests AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    split AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
+    rules(verdict, host, path) AS (VALUES {_RULES}),
+    fits AS (SELECT s.page_id, s.host, s.path, r.host || r.path AS rule, r.verdict,
+        row_number() OVER (PARTITION BY s.page_id ORDER BY length(r.host || r.path) DESC NULLS LAST, length(r.host) DESC) AS place
+        FROM split s LEFT JOIN rules r ON (s.host = r.host OR ends_with(s.host, '.' || r.host)) AND starts_with(s.path, r.path))
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE place = 1"""
+
+_WARC = """WITH told AS (SELECT page_id, strlen(coalesce(html, '')) AS bytes, sha256(coalesce(html, '')) AS digest FROM pages),
+    firsts AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM told)
+    SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+        CASE WHEN bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN bytes >= 100 AND page_id <> first THEN first END AS refers_to FROM firsts"""
+
+_QUALITY = rf"""WITH {_TEXTS}, split AS (SELECT doc_id, text, regexp_extract_all(text, '{_WORD}') AS words,
+        list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines FROM texts),
+    windows AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS win
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM split)),
+    twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS n FROM windows) WHERE n > 1),
+    covered AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS k FROM twice) GROUP BY doc_id),
+    base AS (SELECT s.doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, len(lines) AS n_lines,
+        length(text) - length(regexp_replace(text, '\p{{Lu}}', '', 'g')) AS n_upper FROM split s LEFT JOIN covered c USING (doc_id)),
+    marked AS (SELECT *, cast(n_words < 50 AS bigint) + 2 * cast(100 * n_repeat_words > 50 * n_words AS bigint)
+        + 4 * cast(10 * n_symbols > 3 * n_words AS bigint) + 8 * cast(100 * n_dup_lines > 30 * n_lines AS bigint)
+        + 16 * cast(word_chars < 2 * n_words OR word_chars > 15 * n_words AS bigint) + 32 * cast(2 * n_upper > word_chars AS bigint) AS failed FROM base)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM marked"""
+
+
+def _secrets() -> str:
+    parts = []
+    for rank, rule in enumerate(secret_scan.RULES):
+        pattern = _quoted(rule.pattern)
+        kept = f"length(regexp_extract(m[i], {pattern}, 1)) >= {rule.least}" if rule.least else "true"
+        parts.append(
+            f"""SELECT doc_id, {rank} AS rank, '{rule.kind}' AS kind, e - length(m[i]) AS s, e FROM (
+            SELECT doc_id, m, i, list_sum(list_transform(g[1:i], lambda x: length(x))) + list_sum(list_transform(m[1:i], lambda x: length(x))) AS e FROM (
+            SELECT doc_id, string_split_regex(text, {pattern}) AS g, m, unnest(range(1, len(m) + 1)) AS i FROM (
+            SELECT doc_id, text, regexp_extract_all(text, {pattern}) AS m FROM texts))) WHERE {kept}"""
+        )
+    span = "kind || ':' || cast(s AS bigint) || ':' || cast(e AS bigint)"
+    return f"""WITH {_TEXTS}, spans AS ({" UNION ALL ".join(parts)}),
+    found AS (SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+        string_agg({span}, ',' ORDER BY s, rank) FILTER (rank < 3) AS base, string_agg({span}, ',' ORDER BY s, rank) AS spans FROM spans GROUP BY doc_id)
+    SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM texts t LEFT JOIN found USING (doc_id)"""
+
+
+_NEAR = f"""WITH RECURSIVE {_TEXTS},
+    split AS (SELECT doc_id, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{_WORD}') AS w FROM texts),
+    shingles AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 1 THEN [w[1]]
+        ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM split)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+    edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reached AS (SELECT doc_id, doc_id AS r FROM texts UNION SELECT reached.doc_id, edges.b FROM reached JOIN edges ON edges.a = reached.r),
+    roots AS (SELECT doc_id, min(r) AS component_id FROM reached GROUP BY doc_id)
+    SELECT t.doc_id, coalesce(n, 0) AS n_shingles, component_id, t.doc_id = component_id AS kept
+    FROM texts t JOIN roots USING (doc_id) LEFT JOIN sizes USING (doc_id)"""
+
+
+def _print(text: str) -> str:
+    digest = f"substr(md5(x), 1, {fingerprints.LEAF_DIGITS})"
+    leaves = f"array_to_string(list_transform(regexp_extract_all(line, {_quoted(fingerprints.LEAF)}), lambda x: {digest}), '.')"
+    closed = "p || CASE WHEN regexp_matches(md5(p), '^[0-3]') THEN ';' ELSE ',' END"
+    paragraphs = f"list_transform(string_split({text}, chr(10)), lambda line: {leaves})"
+    return f"regexp_replace(array_to_string(list_transform({paragraphs}, lambda p: {closed}), ''), '[,;]$', '')"
+
+
+def _rooted(body: str, text: str) -> str:
+    section = "md5(array_to_string(list_transform(string_split(s, ','), lambda p: md5(p)), ','))"
+    hashes = f"array_to_string(list_transform(string_split({body}, ';'), lambda s: {section}), ',')"
+    return f"sha256({hashes} || ',' || sha256({text})) || '|' || {body}"
+
+
+def _likeness(a: str, b: str) -> str:
+    def leaves(of: str) -> str:
+        return f"list_filter(list_distinct(string_split_regex({of}, '[.,;]')), lambda x: x <> '')"
+
+    common = f"len(list_intersect({leaves(a)}, {leaves(b)}))"
+    total = f"(len({leaves(a)}) + len({leaves(b)}) - {common})"
+    return f"CASE WHEN {total} > 0 THEN cast({common} AS double) / {total} ELSE 0e0 END"
+
+
+_PRINTS = f"""WITH {_TEXTS},
+    ringed AS (SELECT *, coalesce(lead(text) OVER w, first_value(text) OVER w) AS after FROM texts WINDOW w AS (ORDER BY doc_id DESC NULLS LAST, md5(text))),
+    halved AS (SELECT *, substr(text, 1, length(text) - length(text) // 2) || CASE WHEN length(text) < 2 THEN '' ELSE substr(after, 1, length(text) // 2) END AS edited FROM ringed),
+    bodies AS (SELECT *, {_print('text')} AS b, {_print('edited')} AS eb, {_print('after')} AS ab FROM halved)
+    SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, {_rooted('b', 'text')} AS fingerprint,
+        {_rooted('eb', 'edited')} AS edited_fingerprint,
+        CASE WHEN text = edited THEN 1e0 ELSE {_likeness('b', 'eb')} END AS near_edited,
+        CASE WHEN text = after THEN 1e0 ELSE {_likeness('b', 'ab')} END AS near_next FROM bodies"""
+
+SQL: dict[str, str] = {
+    "op1_length_buckets": _packing(),
+    "op2_jump_shards": _SHARDS,
+    "op3_url_sweep": _URLS,
+    "op4_warc_captures": _WARC,
+    "op6_rule_ledger": _QUALITY,
+    "op7_secret_ledger": _secrets(),
+    "op9_chosen_path": _NEAR,
+    "op10_merkle_prints": _PRINTS,
+}
