@@ -72,7 +72,9 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     found = split.select("doc_id", _window_hashes(F.col("_words")).alias("_hashes"), *[v.alias(name) for name, v in measures.items()])
     found = _with_repeats(found)
     found = found.withColumns({"n_lines": F.col("_lines.col1"), "n_dup_lines": F.col("_lines.col1") - F.col("_lines.col2")})
-    return found.select("doc_id", *[F.col(name).cast("long").alias(name) for name in MEASUREMENTS])
+    # out of an explode, so that Spark does not copy all of the above into each filter on a measurement
+    values = F.struct(*[F.col(name).cast("long").alias(name) for name in MEASUREMENTS])
+    return found.select("doc_id", F.explode(F.array(values)).alias("_values")).select("doc_id", "_values.*")
 
 
 @dataclass(frozen=True)
