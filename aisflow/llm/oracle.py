@@ -101,7 +101,7 @@ _QUALITY = rf"""WITH {_TEXTS}, split AS (SELECT doc_id, text, regexp_extract_all
         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, len(lines) AS n_lines,
         length(text) - length(regexp_replace(text, '\p{{Lu}}', '', 'g')) AS n_upper FROM split s LEFT JOIN covered c USING (doc_id)),
     marked AS (SELECT *, cast(n_words < 50 AS bigint) + 2 * cast(100 * n_repeat_words > 50 * n_words AS bigint)
-        + 4 * cast(10 * n_symbols > 3 * n_words AS bigint) + 8 * cast(100 * n_dup_lines > 30 * n_lines AS bigint)
+        + 4 * cast(10 * n_symbols > 3 * n_words AS bigint) + 8 * cast(2 * n_dup_lines > n_lines AS bigint)
         + 16 * cast(word_chars < 2 * n_words OR word_chars > 15 * n_words AS bigint) + 32 * cast(2 * n_upper > word_chars AS bigint) AS failed FROM base)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM marked"""
 

@@ -91,7 +91,7 @@ RULES = [
     Rule("few_words", 0, "n_words < 50"),
     Rule("repeated_windows", 1, "100 * n_repeat_words > 50 * n_words"),
     Rule("symbols", 2, "10 * n_symbols > 3 * n_words"),
-    Rule("repeated_lines", 3, "100 * n_dup_lines > 30 * n_lines"),
+    Rule("repeated_lines", 3, "2 * n_dup_lines > n_lines"),
     Rule("long_or_short_words", 4, "word_chars < 2 * n_words OR word_chars > 15 * n_words"),
     Rule("capitals", 5, "2 * n_upper > word_chars"),
 ]

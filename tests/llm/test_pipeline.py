@@ -30,7 +30,7 @@ def test_names_and_columns(stages):
 def passes(text):
     n_words, chars, symbols, dup, repeat, lines, upper = rule_brute(text)
     few, repeated = n_words < 50, 100 * repeat > 50 * n_words
-    return not (few or repeated or 10 * symbols > 3 * n_words or 100 * dup > 30 * lines or chars < 2 * n_words or chars > 15 * n_words or 2 * upper > chars)
+    return not (few or repeated or 10 * symbols > 3 * n_words or 2 * dup > lines or chars < 2 * n_words or chars > 15 * n_words or 2 * upper > chars)
 
 
 def test_rules(stages):
