@@ -215,6 +215,8 @@ def _leaves(classes: DataFrame) -> tuple[DataFrame | None, list[DataFrame]]:
     for depth in range(1, DEPTH + 1):
         rows = written(rooted.mapInArrow(_branch, "node long, rep long"), "nodes")
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("_n"), F.min("rep").alias("_first")).where("_n > 1")
+        # stored, as a large node's rows can be split in a join of two tables, but not in one with an aggregate
+        sizes = written(sizes, "sizes")
         sized = rows.join(sizes, "node").withColumn("large", F.col("_n") > SMALL_NODE)
         path = scratch_path(spark, "sized")
         sized.select("node", "rep", "_first", "large").write.partitionBy("large").parquet(path)
@@ -260,7 +262,7 @@ def _links(members: DataFrame) -> DataFrame:
     group's largest component is compared, block by block, with the sets of all
     other components: a link between two of them has such a set at one end.
     """
-    sizes = members.groupBy("comp").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = written(members.groupBy("comp").agg(F.count(F.lit(1)).alias("_n")), "sizes")
     spread = F.xxhash64("rep")
     blocks = F.ceil(F.col("_n") / (BLOCK - PIVOTS)).cast("int")
     sized = members.join(sizes, "comp").withColumn("_blocks", F.when(F.col("_n") <= BLOCK, 1).otherwise(blocks))
@@ -280,11 +282,11 @@ def _links(members: DataFrame) -> DataFrame:
     tagged = tagged.select("comp", "rep", "_n", F.coalesce("root", "rep").alias("root"))
     tagged = written(tagged, "tagged")
     counts = tagged.groupBy("comp", "root").agg(F.count(F.lit(1)).alias("_c"))
-    main = counts.groupBy("comp").agg(F.max(F.struct("_c", "root"))["root"].alias("_main"), F.count(F.lit(1)).alias("_roots"))
-    known = tagged.join(main.where("_roots > 1"), "comp").withColumn("rest", F.col("root") != F.col("_main"))
-    rests = known.where("rest").groupBy("comp").agg(F.count(F.lit(1)).alias("_rests"))
-    known = known.join(rests, "comp").withColumns(
+    largest = F.max(F.struct("_c", "root"))
+    main = counts.groupBy("comp").agg(largest["root"].alias("_main"), (F.sum("_c") - largest["_c"]).alias("_rests"))
+    known = tagged.join(written(main.where("_rests > 0"), "main"), "comp").withColumns(
         {
+            "rest": F.col("root") != F.col("_main"),
             "_left": F.ceil(F.col("_rests") / BLOCK).cast("int"),
             "_right": F.ceil(F.col("_n") / BLOCK).cast("int"),
         }
