@@ -59,7 +59,7 @@ def encode(text: Column, ranks: str = RANKS, pattern: str = PATTERN) -> Column:
     @F.arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
         coder = encoding(ranks, pattern)
-        found = [ids_of(t, coder) if t else np.empty(0, np.uint32) for t in texts.to_pylist()]
+        found = [ids_of(t.as_py() or "", coder) for t in texts]
         bounds = np.concatenate([[0], np.cumsum([len(ids) for ids in found])]).astype(np.int32)
         values = np.concatenate([np.empty(0, np.uint32), *found]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))
@@ -74,7 +74,10 @@ def decode(ids: Column, ranks: str = RANKS, pattern: str = PATTERN) -> Column:
     @F.arrow_udf("binary")
     def decoded(lists: pa.Array) -> pa.Array:
         coder = encoding(ranks, pattern)
-        return pa.array([coder.decode_bytes(x) if x else b"" for x in lists.to_pylist()], pa.binary())
+        # one text's ids at a time become Python numbers, each of which takes eight times its four bytes
+        ids, bounds = lists.values.to_numpy(), lists.offsets.to_numpy().tolist()
+        texts = (coder.decode_bytes(ids[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:]))
+        return pa.array(texts, pa.binary(), size=len(lists))
 
     return decoded(ids)
 
