@@ -52,7 +52,8 @@ def op3_url_sweep(spark, folder):
 def op4_warc_captures(spark, folder):
     archive = scratch_path(spark, "warc")
     warc.write(_table(spark, folder, "pages"), archive)
-    captures = warc.page_ids(warc.assemble(warc.read(spark, archive)))
+    records = warc.read(spark, archive)
+    captures = warc.page_ids(warc.assemble(records), records)
     return captures.select(
         "page_id",
         F.col("response.bytes").alias("payload_bytes"),

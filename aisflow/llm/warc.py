@@ -246,10 +246,21 @@ def assemble(records: DataFrame) -> DataFrame:
     return main
 
 
-def page_ids(assembled: DataFrame) -> DataFrame:
-    """The captures with page_id, from their metadata, and refers_to, the page whose response a revisit refers to."""
-    own = F.col("metadata.fields")["page-id"].cast("long")
-    named = assembled.withColumn("page_id", own)
-    first = named.where("response.type = 'response'").groupBy(F.col("record_id").alias("_first")).agg(F.min("page_id").alias("_page"))
-    joined = named.join(first, F.col("response.refers_to") == F.col("_first"), "left")
-    return joined.withColumn("refers_to", F.col("_page")).drop("_first", "_page")
+def page_ids(assembled: DataFrame, records: DataFrame) -> DataFrame:
+    """The captures with page_id, from their metadata, and refers_to, the page whose response a
+    revisit refers to, from the metadata that are concurrent to that response.
+
+    A response may have any number of revisits: the pages are stored, so that
+    Spark can split the revisits of one in the join. Captures that refer to
+    nothing get keys of their own instead of a common null.
+    """
+
+    def page(fields: str) -> Column:
+        return F.col(fields)["page-id"].cast("long")
+
+    known = records.where((F.col("type") == "metadata") & F.col("concurrent_to").isNotNull())
+    pages = written(known.groupBy(F.col("concurrent_to").alias("_first")).agg(F.min(page("fields")).alias("_page")), "pages")
+    named = assembled.withColumn("page_id", page("metadata.fields"))
+    key = F.coalesce("response.refers_to", F.concat(F.lit("none "), "record_id"))
+    joined = named.withColumn("_key", key).join(pages, F.col("_key") == F.col("_first"), "left")
+    return joined.withColumn("refers_to", F.col("_page")).drop("_key", "_first", "_page")

@@ -35,8 +35,13 @@ def brute(rows):
     return sorted(out, key=repr)
 
 
+def read_back(spark, path):
+    records = warc.read(spark, path)
+    return warc.page_ids(warc.assemble(records), records)
+
+
 def digest_rows(spark, path):
-    found = warc.page_ids(warc.assemble(warc.read(spark, path)))
+    found = read_back(spark, path)
     return rows_of(found.select("page_id", "response.bytes", "response.digest", "response.type", "refers_to"))
 
 
@@ -44,7 +49,7 @@ def test_round_trip(spark, tmp_path):
     path = str(tmp_path / "w")
     warc.write(frame(spark, PAGES), path, file_captures=2)
     assert digest_rows(spark, path) == brute(PAGES)
-    rows = {r.page_id: r for r in warc.page_ids(warc.assemble(warc.read(spark, path))).collect()}
+    rows = {r.page_id: r for r in read_back(spark, path).collect()}
     assert rows[3].response.payload.decode() == BIG and rows[5].response.payload is None and rows[12].response.payload == b"z" * 500_000
     assert rows[3].uri == "http://b/%20c%0D%0AX:%20y" and rows[9].uri is None
     assert rows[1].request.uri == "http://d/" and rows[1].metadata.fields["fetched"] == rows[1].date
