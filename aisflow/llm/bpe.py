@@ -3,7 +3,8 @@
 The rank file is a path on every machine, given as a parameter and read once a
 worker. A text is encoded match by match of the split pattern; long texts are
 first cut at places where no match can cross, so that the time and memory of one
-call stay bounded.
+call stay bounded. Long runs of white space, on which the library's regex gives
+up, are found here and encoded without it.
 """
 
 import base64
@@ -22,10 +23,14 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 #: Characters of one call, about.
 CHUNK_CHARS = 1 << 16
+#: Longest run of white space that the pattern sees; the library fails beyond 1,000,000.
+RUN_CHARS = 1 << 16
 
 #: Between a visible ASCII character and a space or line end: every alternative of the pattern
 #: has white space in front or is white space only, and none looks back.
 _SAFE = re.compile(r"(?<=[!-~])(?=[ \n])")
+#: White space as the library's regex has it; Python's also holds the separators 1C to 1F.
+_SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 @lru_cache(maxsize=4)
@@ -47,9 +52,36 @@ def chunks(text: str, size: int = CHUNK_CHARS) -> Iterator[str]:
     yield text[first:]
 
 
-def ids_of(text: str, coder: tiktoken.Encoding) -> np.ndarray:
+@lru_cache(maxsize=4)
+def _long_run(size: int) -> re.Pattern:
+    # tried at the first character of a run only, so the search is linear
+    return re.compile(rf"(?<![{_SPACES}])[{_SPACES}]{{{size + 1},}}")
+
+
+def stretches(text: str, size: int = RUN_CHARS) -> Iterator[tuple[str, bool]]:
+    """The text in parts, and whether a part is one match: white space from a run of more than ``size`` (at least 1).
+
+    No match crosses into such a run from the left. Its first match is the whole
+    run at the end of the text, or else all but the last character, which the
+    pattern leaves to what follows.
+    """
+    first = 0
+    for run in _long_run(size).finditer(text) if len(text) > size else ():
+        last = run.end() if run.end() == len(text) else run.end() - 1
+        yield text[first : run.start()], False
+        yield text[run.start() : last], True
+        first = last
+    yield text[first:], False
+
+
+def ids_of(text: str, coder: tiktoken.Encoding, run_chars: int = RUN_CHARS) -> np.ndarray:
     """Token ids of a whole text; strings that look like special tokens are ordinary text."""
-    parts = [coder.encode_to_numpy(part, disallowed_special=()) for part in chunks(text)]
+    parts = []
+    for stretch, whole in stretches(text, run_chars):
+        if whole:
+            parts.append(np.array(coder._encode_single_piece(stretch), np.uint32))
+        else:
+            parts += [coder.encode_to_numpy(part, disallowed_special=()) for part in chunks(stretch)]
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 

@@ -38,6 +38,28 @@ def test_cuts_change_nothing(text, size):
     assert [i for part in parts for i in coder.encode_ordinary(part)] == coder.encode_ordinary(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("ab1 .'\n\t\r\u00a0\u3000é漢s\x1c\x85!"), max_size=60), st.integers(1, 6))
+def test_runs_apart_change_nothing(text, size):
+    coder = bpe.encoding()
+    assert "".join(part for part, _ in bpe.stretches(text, size)) == text
+    assert bpe.ids_of(text, coder, size).tolist() == coder.encode_ordinary(text)
+
+
+def test_runs_of_white_space_beyond_the_limit_of_the_library(spark):
+    coder, n = bpe.encoding(), 1_000_010
+    texts = ["a" + " " * n + "b " + "\n" * n, "\u00a0" * n + "漢", "\r\n" * n]
+    rows = documents(spark, texts).select("doc_id", bpe.encode(F.col("text")).alias("ids"))
+    rows = {r.doc_id: r for r in rows.select("*", bpe.decode(F.col("ids")).alias("back")).collect()}
+    for k, text in enumerate(texts):
+        assert bytes(rows[100 - k].back) == text.encode()
+    # the match of the pattern, then the rest as the library encodes it
+    one = coder._encode_single_piece
+    assert rows[100].ids == [*one("a"), *one(" " * (n - 1)), *one(" b"), *one(" " + "\n" * n)]
+    assert rows[99].ids == [*one("\u00a0" * (n - 1)), *one("\u00a0"), *one("漢")]
+    assert rows[98].ids == one("\r\n" * n)
+
+
 def test_parts_are_bounded():
     assert max(map(len, bpe.chunks("word " * 100_000))) < bpe.CHUNK_CHARS + 10
 
