@@ -14,21 +14,27 @@ COPIES_AT_ONCE = 10_000
 def gapless(frame: DataFrame, group: list[str], order: list[str | Column], slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Adds ``slot``: 0, 1, ... within each group.
 
-    A group may hold any share of the rows: rows are cut into slices by a hash
-    of their values, numbered within group and slice, and shifted by the sizes
-    of the slices before. Equal rows are counted as one before they are
-    shuffled, so a pile of copies does not land in one task; they get
-    consecutive numbers. Slices go in order; within one, ``order`` holds and the
-    remaining columns break ties, so numbers do not depend on the run. With at
-    most ``slice_rows`` rows there is one slice, hence ``order`` holds overall.
+    A group may hold any share of the rows. Equal rows are counted as one
+    before they are shuffled, so a pile of copies does not land in one task;
+    they get consecutive numbers. The folded rows are cut into slices by ranges
+    of group, ``order`` and the remaining columns, which break ties, numbered
+    within group and slice, and shifted by the sizes of the slices before. So
+    ``order`` holds throughout a group, and numbers depend neither on the run
+    nor on where the slices are cut.
 
-    The frame should be narrow: it is written to the shared folder once.
+    The frame should be narrow: it is written to the shared folder once, and
+    once more by slices where it has more than ``slice_rows`` rows.
     """
     names = frame.columns
     held = written(frame.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies")), "numbering")
     rows = held.agg(F.sum("_copies")).first()[0] or 0
     slices = max(1, -(-rows // slice_rows))
-    held = held.withColumn("_slice", F.pmod(F.xxhash64(*names), F.lit(slices)))
+    if slices > 1:
+        # the bounds come from a sample, so what they gave is written before it is read twice
+        ranged = held.repartitionByRange(slices, *group, *order, *names)
+        held = written(ranged.withColumn("_slice", F.spark_partition_id()), "numbering-slices")
+    else:
+        held = held.withColumn("_slice", F.lit(0))
     ordered = Window.partitionBy(*group, "_slice").orderBy(*order, *names)
     before = F.sum("_copies").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_copies")
     numbered = held.withColumn("_before", before)

@@ -71,8 +71,8 @@ def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text"
     text has neither bytes nor content, hence size 1 and CRC 0. ``grown_shard``
     is the shard once one more is appended: the same, or the new one. Rows with
     equal keys, null included (taken as 0), share a shard. Slots number a
-    shard's rows without gaps, in order of key, CRC and size (within slices, see
-    ``numbering``); equal rows get consecutive slots. Other columns are ignored.
+    shard's rows without gaps, in order of key, CRC and size; equal rows get
+    consecutive slots. Other columns are ignored.
     """
     key_or_zero = F.coalesce(F.col(key).cast("long"), F.lit(0).cast("long"))
     narrow = docs.select(

@@ -68,6 +68,13 @@ def test_runs_agree_and_other_columns_are_ignored(spark):
     assert first == again
 
 
+def test_slices_change_nothing(spark):
+    docs = documents(spark)
+    whole = rows_of(packing.pack(docs, context=64, buckets=3, batch_tokens=200))
+    for slice_rows in (7, 40):
+        assert rows_of(packing.pack(docs, context=64, buckets=3, batch_tokens=200, slice_rows=slice_rows)) == whole
+
+
 def test_empty_table(spark):
     assert packing.pack(documents(spark).limit(0)).collect() == []
 

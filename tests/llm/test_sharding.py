@@ -58,6 +58,15 @@ def test_slots_have_no_gaps_and_do_not_depend_on_the_run(spark):
     assert Counter((r.doc_id, r["size"], r.text_crc32) for r in first.collect()) == expected
 
 
+def test_slots_follow_the_order_in_any_number_of_slices(spark):
+    docs = documents(spark)
+    hot = docs.union(docs.where("doc_id = 7").crossJoin(spark.range(300)).drop("id"))
+    rows = sorted(sharding.assign(hot, 3, slice_rows=5).collect(), key=lambda r: (r.shard, r.slot))
+    key = [(r.shard, r.doc_id is not None, r.doc_id or 0, r.text_crc32, r["size"]) for r in rows]
+    assert key == sorted(key)
+    assert rows_of(sharding.assign(hot, 3)) == sorted((tuple(r) for r in rows), key=repr)
+
+
 def test_null_texts_and_ids(spark):
     rows = {r.doc_id: r for r in sharding.assign(documents(spark), 8).collect()}
     assert (rows[100]["size"], rows[100].text_crc32) == (1, 0)
