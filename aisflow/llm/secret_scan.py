@@ -37,13 +37,23 @@ _ASSIGN = (
     r"[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 )
 
+#: A key block: its first line; fields such as DEK-Info; then base64 (with indents or escaped line ends) up to the
+#: last line. Without a last line the block ends with the last line that is all base64. Loops over lines of any
+#: number are loops over characters, as a loop over groups would take stack in Java; of fields there are a few.
+_KEY = r"[A-Z\x20]{0,40}PRIVATE KEY(?:\x20BLOCK)?-----"
+_FIELDS = r"(?:[A-Za-z][A-Za-z0-9-]*:\x20[^\r\n]*[\r\n]+[\x20\t]*){0,20}"
+_PRIVATE_KEY = (
+    rf"-----BEGIN {_KEY}(?:[\x20\t\r\n]*{_FIELDS}[A-Za-z0-9+/=\x20\t\r\n\\]*-----END {_KEY}|"
+    rf"[\x20\t]*[\r\n]+{_FIELDS}[\r\n]*[A-Za-z0-9+/=][A-Za-z0-9+/=\r\n]*(?:[\r\n]|\z))?"
+)
+
 #: A run of at least so many characters is all of a longest run that passes the same test, so access
 #: and hex take the bound into the pattern; a short assignment uses up its characters, so it is tested after.
 RULES = [
     Rule("assign", 1, _ASSIGN, 8, (":", "=")),
     Rule("access", 1, r"AKIA[A-Z0-9]{12,}", needs=("AKIA",)),
     Rule("hex", 1, r"[0-9a-f]{32,}"),
-    Rule("private_key", 1, r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", needs=("-----BEGIN ",)),
+    Rule("private_key", 2, _PRIVATE_KEY, needs=("-----BEGIN ",)),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", needs=("eyJ",)),
 ]
 BASE_KINDS = ["assign", "access", "hex"]
