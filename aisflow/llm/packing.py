@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from aisflow.llm.columns import text_or_empty, words_of
 from aisflow.llm.numbering import SLICE_ROWS, gapless
 
-#: Production parameters: longest sequence, buckets, tokens of a batch.
+#: Production parameters: longest sequence, buckets, tokens of a batch. Both lengths are in the unit
+#: of ``length`` in ``pack``, which is white-space words unless another is given.
 CONTEXT = 2048
 BUCKETS = 8
 BATCH_TOKENS = 65_536

@@ -34,7 +34,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, cut at the context length, gets its bucket, batch and place."""
+    """Every document, cut at the context length in words, gets its bucket, batch and place. Words are not tokens: see the README."""
     return packing.pack(docs)
 
 
