@@ -166,7 +166,8 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
     """text, label: at most ``size`` labelled texts of each class outside the held-out fold.
 
     Ids are chosen by hash, first from the labels alone; of contradicting labels
-    the smaller counts. At most 2 * ``size`` ids are broadcast.
+    the smaller counts. At most 2 * ``size`` ids are broadcast. Of the texts of a
+    repeated id the one with the least hash counts, chosen on the map side first.
     """
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     each = known.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("label"))
@@ -175,7 +176,9 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
         part = each.where(F.col("label") == label).orderBy(F.xxhash64("_id"), "_id").limit(size)
         chosen = part if chosen is None else chosen.unionByName(part)
     joined = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    return joined.select(F.coalesce("text", F.lit("")).alias("text"), "label", F.xxhash64("_id", "text").alias("place"))
+    placed = joined.select("_id", F.coalesce("text", F.lit("")).alias("text"), "label", F.xxhash64("_id", "text").alias("place"))
+    one = placed.groupBy("_id").agg(F.min_by(F.struct("text", "label", "place"), F.struct("place", "text")).alias("_one"))
+    return one.select("_one.*")
 
 
 def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:

@@ -87,3 +87,15 @@ def test_nothing_to_learn_from(spark):
     rows = quality_model.classify(docs, quality_model.train(docs, none)).collect()
     assert {(r.score, r.predicted) for r in rows} == {(0.5, 0)}
     assert quality_model.classify(docs.limit(0), quality_model.Model.blank()).collect() == []
+
+
+def test_a_repeated_id_counts_once(spark):
+    rows = [(k % 5 if k % 5 else k, f"text {k}") for k in range(1, 400)] + [(1, None), (1, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(400)], "doc_id long, quality int")
+    first = sorted(quality_model.sample(docs, labels, 30).collect())
+    assert all(sum(r.label == label for r in first) <= 30 for label in (0, 1))
+    everything = quality_model.sample(docs, labels, 400).collect()
+    known = {r.doc_id for r in docs.where(~quality_model.held_out(docs.doc_id)).collect()}
+    assert len(everything) == len(known) < len(rows)
+    assert sorted(quality_model.sample(docs.repartition(7), labels, 30).collect()) == first
