@@ -5,7 +5,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aisflow.llm import bpe, fingerprints, near_dups, packing, quality_model, quality_rules, secret_scan, sharding, url_filters, warc
+from aisflow.llm import (
+    bpe,
+    fingerprints,
+    near_dups,
+    packing,
+    quality_model,
+    quality_rules,
+    secret_scan,
+    sharding,
+    simhash,
+    url_filters,
+    warc,
+)
 from aisflow.storage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +131,8 @@ def op9_chosen_path(spark, folder):
 @registered
 def op10_merkle_prints(spark, folder):
     return fingerprints.compare_with_edits(_table(spark, folder, "documents"))
+
+
+@registered
+def op13_byte_positions(spark, folder):
+    return simhash.near_duplicates(_table(spark, folder, "documents"))
