@@ -171,6 +171,24 @@ _PRINTS = f"""WITH {_TEXTS},
         CASE WHEN text = edited THEN 1e0 ELSE {_likeness('b', 'eb')} END AS near_edited,
         CASE WHEN text = after THEN 1e0 ELSE {_likeness('b', 'ab')} END AS near_next FROM bodies"""
 
+_TRIE = f"""WITH texts AS (SELECT DISTINCT conv_id AS doc_id, cast(conv_id AS varchar) AS text FROM conversations WHERE conv_id IS NOT NULL), {_CRC},
+    convs AS (SELECT doc_id AS conv_id, crc % 4 AS h, doc_id - doc_id % 20 AS base FROM crcs),
+    own AS (SELECT conv_id, md5(length(r) || ':' || r || x) AS key, len(regexp_extract_all(x, '{_WORD}')) AS words,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(r) || ':' || r || x)) - 1 AS slot
+        FROM (SELECT *, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations)),
+    rebuilt AS (SELECT c.conv_id, 0 AS part, slot, key, words FROM convs c JOIN own o ON o.conv_id = c.base WHERE slot < h
+        UNION ALL SELECT c.conv_id, 1, slot, key, words FROM convs c JOIN own o USING (conv_id) WHERE slot >= h),
+    members AS (SELECT conv_id, row_number() OVER w AS depth, string_agg(key, '') OVER w AS path, words FROM rebuilt
+        WINDOW w AS (PARTITION BY conv_id ORDER BY part, slot) UNION ALL SELECT conv_id, 0, '', 0 FROM convs),
+    totals AS (SELECT conv_id, max(depth) AS total FROM members GROUP BY conv_id),
+    nodes AS (SELECT path, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+        coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (depth = total), '') AS ends FROM members JOIN totals USING (conv_id) GROUP BY path),
+    kids AS (SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes k WHERE k.depth = n.depth + 1 AND starts_with(k.path, n.path)) AS n_children
+        FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.path = substr(n.path, 1, 32 * (n.depth - 1)))
+    SELECT n.conv_id, n.depth, n.parent_conv_id, n.n_convs, n.n_children, count(*) FILTER (s.n_children = 0) AS n_leaves,
+        cast(sum((s.n_convs - 1) * s.words) AS bigint) AS saved_tokens, sha256(n.ends) AS ends_sha256
+    FROM kids n JOIN kids s ON starts_with(s.path, n.path) GROUP BY ALL"""
+
 SQL: dict[str, str] = {
     "op1_length_buckets": _packing(),
     "op2_jump_shards": _SHARDS,
@@ -180,4 +198,5 @@ SQL: dict[str, str] = {
     "op7_secret_ledger": _secrets(),
     "op9_chosen_path": _NEAR,
     "op10_merkle_prints": _PRINTS,
+    "op12_ternary_trie": _TRIE,
 }

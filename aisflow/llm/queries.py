@@ -10,6 +10,7 @@ from aisflow.llm import (
     fingerprints,
     near_dups,
     packing,
+    prefix_trie,
     quality_model,
     quality_rules,
     secret_scan,
@@ -133,6 +134,11 @@ def op10_merkle_prints(spark, folder):
     return fingerprints.compare_with_edits(_table(spark, folder, "documents"))
 
 
+@registered
+def op12_ternary_trie(spark, folder):
+    return prefix_trie.prefix_trie(_table(spark, folder, "conversations"))
+
+
 @registered
 def op13_byte_positions(spark, folder):
     return simhash.near_duplicates(_table(spark, folder, "documents"))

@@ -8,13 +8,13 @@ import __spark_entry__ as contract
 from aisflow.llm import oracle, queries
 
 NATIVE = ["op2_jump_shards", "op6_rule_ledger", "op7_secret_ledger", "op10_merkle_prints"]
-WITHOUT_SQL = {"op5_subword_quality", "op8_byte_bpe"}
+WITHOUT_SQL = {"op5_subword_quality", "op8_byte_bpe", "op11_lightest_repair", "op13_byte_positions"}
 
 
 def test_registry():
     assert set(queries.REGISTERED) == set(oracle.SQL) | WITHOUT_SQL
     assert set(queries.REGISTERED) | {"pipeline"} <= set(contract.queries())
-    assert {name.split("_")[0] for name in queries.REGISTERED} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in queries.REGISTERED} == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", oracle.SQL)
