@@ -171,6 +171,56 @@ _PRINTS = f"""WITH {_TEXTS},
         CASE WHEN text = edited THEN 1e0 ELSE {_likeness('b', 'eb')} END AS near_edited,
         CASE WHEN text = after THEN 1e0 ELSE {_likeness('b', 'ab')} END AS near_next FROM bodies"""
 
+
+
+def _repair() -> str:
+    def plus(weight: str, cost: str, letter: str) -> str:
+        return f"(lpad(cast(cast(left({weight}, 8) AS bigint) + {cost} AS varchar), 8, '0') || substr({weight}, 9) || '{letter}')"
+
+    def kept(initial: str, *states: str) -> str:
+        ways = ", ".join(plus(s, "t", "K") for s in states)
+        return f"CASE WHEN NOT gone AND ini = '{initial}' THEN least({ways}) END"
+
+    after_u, after_a = f"least({plus('s0', '2', 'I')}, {plus('s1', '2', 'I')}, {plus('s3', '2', 'I')}, s2)", f"least(s3, {plus('u', '2', 'I')})"
+    rerole = ", ".join(plus(s, "2 + t", "R") for s in ("s0", "s1", "a"))
+    step = f"""SELECT conv_id, i + 1, {plus("s0", "3", "D")}, least({plus("s1", "3", "D")}, {kept("s", "s0")}),
+        least({plus("u", "3", "D")}, {kept("u", "s0", "s1", "a")}, CASE WHEN NOT gone THEN least({rerole}) END),
+        least({plus("a", "3", "D")}, {kept("a", "u")}, CASE WHEN NOT gone THEN {plus("u", "2 + t", "R")} END)"""
+    inserted = f"(SELECT *, {after_a} AS a FROM (SELECT *, {after_u} AS u FROM"
+    return rf"""WITH RECURSIVE texts AS (SELECT DISTINCT key AS doc_id, key AS text FROM (SELECT coalesce(cast(conv_id AS varchar), ' ') || ':' ||
+        coalesce(cast(turn AS varchar), ' ') AS key FROM conversations)), {_CRC},
+    fates AS (SELECT c.conv_id, turn, coalesce(text, ' ') AS x, coalesce(role, ' ') AS r, crc % 20 AS fate FROM conversations c
+        JOIN crcs ON doc_id = coalesce(cast(conv_id AS varchar), ' ') || ':' || coalesce(cast(turn AS varchar), ' ')),
+    hit AS (SELECT conv_id, turn, CASE fate WHEN 4 THEN 'user' ELSE r END AS role,
+        CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(x, '[.!?]', '', 'g') ELSE x END AS text, unnest(range(CASE fate WHEN 3 THEN 2 ELSE 1 END)) AS copy
+        FROM fates WHERE fate <> 0),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS pos FROM hit),
+    faults AS (SELECT *, left(role, 1) AS ini, regexp_matches(text, '[^ 	-
+]') AS said, regexp_matches(text, '[.!?][ 	-
+]*\z') AS ended,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) AS nth, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before FROM placed),
+    rows_ AS (SELECT *, NOT said AS blank, said AND nth > 1 AS duplicate, said AND nth = 1 AND NOT ended AS truncated, NOT said OR nth > 1 AS gone,
+        cast(said AND nth = 1 AND NOT ended AS integer) AS t FROM faults),
+    counts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+        count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+        count(*) FILTER (before || ini NOT IN ('su', 'ua', 'au')) AS illegal FROM rows_ GROUP BY conv_id),
+    lightest AS (SELECT conv_id, cast(0 AS bigint) AS i, '00000000' AS s0, cast(NULL AS varchar) AS s1, cast(NULL AS varchar) AS s2,
+        cast(NULL AS varchar) AS s3 FROM counts UNION ALL {step} FROM {inserted}
+        (SELECT l.*, r.ini, r.gone, r.t FROM lightest l JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.pos = l.i + 1)))),
+    goals AS (SELECT conv_id, least(s0, a) AS w FROM {inserted} (SELECT l.* FROM lightest l JOIN counts c ON c.conv_id IS NOT DISTINCT FROM l.conv_id AND l.i = c.n)))),
+    audits AS (SELECT conv_id, cast(left(w, 8) AS bigint) AS cost, substr(w, 9) AS audit FROM goals),
+    letters AS (SELECT conv_id, audit, k, audit[k] AS letter, k - length(replace(audit[1:k], 'I', '')) AS inserted, length(replace(audit[1:k], 'D', '')) AS place,
+        length(replace(audit, 'D', '')) AS size FROM (SELECT *, unnest(range(1, length(audit) + 1)) AS k FROM audits)),
+    lines AS (SELECT l.conv_id, k, CASE letter WHEN 'K' THEN role WHEN 'D' THEN NULL ELSE CASE WHEN (place + size) % 2 = 1 THEN 'user' ELSE 'assistant' END END
+        || ':' || CASE letter WHEN 'I' THEN '' ELSE text END AS line
+        FROM letters l LEFT JOIN rows_ r ON letter <> 'I' AND r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.pos = k - inserted),
+    whole AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY k) AS body FROM lines GROUP BY conv_id)
+    SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+        coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+    LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN whole w ON w.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
 _TRIE = f"""WITH texts AS (SELECT DISTINCT conv_id AS doc_id, cast(conv_id AS varchar) AS text FROM conversations WHERE conv_id IS NOT NULL), {_CRC},
     convs AS (SELECT doc_id AS conv_id, crc % 4 AS h, doc_id - doc_id % 20 AS base FROM crcs),
     own AS (SELECT conv_id, md5(length(r) || ':' || r || x) AS key, len(regexp_extract_all(x, '{_WORD}')) AS words,
@@ -198,5 +248,6 @@ SQL: dict[str, str] = {
     "op7_secret_ledger": _secrets(),
     "op9_chosen_path": _NEAR,
     "op10_merkle_prints": _PRINTS,
+    "op11_lightest_repair": _repair(),
     "op12_ternary_trie": _TRIE,
 }

@@ -16,6 +16,7 @@ from aisflow.llm import (
     secret_scan,
     sharding,
     simhash,
+    turn_repair,
     url_filters,
     warc,
 )
@@ -134,6 +135,11 @@ def op10_merkle_prints(spark, folder):
     return fingerprints.compare_with_edits(_table(spark, folder, "documents"))
 
 
+@registered
+def op11_lightest_repair(spark, folder):
+    return turn_repair.repair_conversations(_table(spark, folder, "conversations"))
+
+
 @registered
 def op12_ternary_trie(spark, folder):
     return prefix_trie.prefix_trie(_table(spark, folder, "conversations"))

@@ -8,7 +8,7 @@ import __spark_entry__ as contract
 from aisflow.llm import oracle, queries
 
 NATIVE = ["op2_jump_shards", "op6_rule_ledger", "op7_secret_ledger", "op10_merkle_prints"]
-WITHOUT_SQL = {"op5_subword_quality", "op8_byte_bpe", "op11_lightest_repair", "op13_byte_positions"}
+WITHOUT_SQL = {"op5_subword_quality", "op8_byte_bpe", "op13_byte_positions"}
 
 
 def test_registry():
