@@ -9,12 +9,13 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Folders of the jobs that are under way, innermost last.
-_JOBS: list[str] = []
+#: Folder of the innermost job that is under way; each thread has jobs of its own.
+_JOB: ContextVar[str | None] = ContextVar("aisflow-job", default=None)
 
 
 @lru_cache(maxsize=1)
@@ -34,8 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the folder of the current job, or else the shared folder."""
-    folder = _JOBS[-1] if _JOBS else shared_folder(spark)
-    return f"{folder}/{label}-{uuid.uuid4().hex}"
+    return f"{_JOB.get() or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 @contextmanager
@@ -43,11 +43,11 @@ def job(spark: SparkSession) -> Iterator[str]:
     """A folder of its own for what a job writes on the way. It is removed when the job has
     written its result, or has failed."""
     folder = scratch_path(spark, "job")
-    _JOBS.append(folder)
+    outer = _JOB.set(folder)
     try:
         yield folder
     finally:
-        _JOBS.remove(folder)
+        _JOB.reset(outer)
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
