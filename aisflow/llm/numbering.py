@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from aisflow.storage import written
 
-#: Rows that one task numbers at a time, about.
+#: Rows that one task numbers at a time, about, and where the session's partitions allow fewer.
 SLICE_ROWS = 200_000
+LEAST_SLICE_ROWS = 5_000
 #: Equal rows that one array of numbers stands for.
 COPIES_AT_ONCE = 10_000
 
@@ -23,12 +24,14 @@ def gapless(frame: DataFrame, group: list[str], order: list[str | Column], slice
     nor on where the slices are cut.
 
     The frame should be narrow: it is written to the shared folder once, and
-    once more by slices where it has more than ``slice_rows`` rows.
+    once more by slices where it is more than one. A slice has ``slice_rows``
+    rows at most, or so few that the slices use the session's shuffle partitions.
     """
     names = frame.columns
     held = written(frame.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies")), "numbering")
     rows = held.agg(F.sum("_copies")).first()[0] or 0
-    slices = max(1, -(-rows // slice_rows))
+    partitions = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(1, -(-rows // slice_rows), min(partitions, rows // LEAST_SLICE_ROWS))
     if slices > 1:
         # the bounds come from a sample, so what they gave is written before it is read twice
         ranged = held.repartitionByRange(slices, *group, *order, *names)

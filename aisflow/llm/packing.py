@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from aisflow.llm.columns import text_or_empty, words_of
 from aisflow.llm.numbering import SLICE_ROWS, gapless
+from aisflow.storage import written
 
 #: Production parameters: longest sequence, buckets, tokens of a batch. Both lengths are in the unit
 #: of ``length`` in ``pack``, which is white-space words unless another is given.
@@ -107,22 +108,23 @@ def pack(
     cut = pieces(docs, word_count() if length is None else length, context)
     plan = optimal_bounds(length_histogram(cut), buckets)
     bounds = plan.bounds or [0]
+    slots = gapless(cut.withColumn("bucket", _bucket(bounds)), ["bucket"], ["doc_id", "piece"], slice_rows)
+    return _in_batches(slots, bounds, batch_tokens).select("doc_id", "piece", "start", "n_tokens", "bucket", "bound", "batch", "place")
+
+
+def _bucket(bounds: list[int]) -> Column:
     bucket = F.lit(0)
     for bound in bounds[:-1]:
         bucket = bucket + (F.col("n_tokens") > bound).cast("int")
-    slots = gapless(cut.withColumn("bucket", bucket), ["bucket"], ["doc_id", "piece"], slice_rows)
+    return bucket
+
+
+def _in_batches(slots: DataFrame, bounds: list[int], batch_tokens: int) -> DataFrame:
+    """Adds bound, batch and place from the bucket and the slot within it."""
     bound = F.get(F.array(*[F.lit(b).cast("long") for b in bounds]), F.col("bucket"))
     per_batch = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(batch_tokens) / F.greatest(bound, F.lit(1).cast("long"))))
-    return slots.withColumns({"bound": bound, "_rows": per_batch}).select(
-        "doc_id",
-        "piece",
-        "start",
-        "n_tokens",
-        "bucket",
-        "bound",
-        F.floor(F.col("slot") / F.col("_rows")).alias("batch"),
-        (F.col("slot") % F.col("_rows")).alias("place"),
-    )
+    placed = slots.withColumns({"bound": bound, "_rows": per_batch})
+    return placed.withColumns({"batch": F.floor(F.col("slot") / F.col("_rows")), "place": F.col("slot") % F.col("_rows")})
 
 
 def piece_words(text: Column, start: Column, n_tokens: Column) -> Column:
@@ -130,3 +132,38 @@ def piece_words(text: Column, start: Column, n_tokens: Column) -> Column:
     return F.slice(words_of(text), (start + 1).cast("int"), n_tokens.cast("int"))
 
 
+def token_pieces(docs: DataFrame, ids: Column, context: int = CONTEXT) -> DataFrame:
+    """doc_id, piece, start, n_tokens, ids: the token ids of every document in runs of ``context`` and a rest."""
+    count = F.greatest(F.lit(1), F.ceil(F.size("_ids") / context)).cast("int")
+    runs = F.transform(F.sequence(F.lit(0), count - 1), lambda k: F.slice("_ids", k * context + 1, context))
+    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), ids.alias("_ids")).select("doc_id", F.posexplode(runs).alias("_k", "ids"))
+    piece = F.col("_k").cast("long")
+    return cut.select("doc_id", piece.alias("piece"), (piece * context).alias("start"), F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+def pack_tokens(
+    docs: DataFrame,
+    ids: Column,
+    context: int = CONTEXT,
+    buckets: int = BUCKETS,
+    batch_tokens: int = BATCH_TOKENS,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """The columns of ``pack`` and ``ids``, the tokens of each piece: what a training job reads.
+
+    ``ids`` gives the token ids of a row, an array. Pieces are written once, so
+    texts are encoded once; their order within a bucket is found from narrow rows
+    and joined to them by a row number that was stored with them. Texts without
+    tokens are one empty piece, repeated rows are packed as often as they occur, an
+    empty table gives an empty result and other columns are ignored.
+    """
+    cut = token_pieces(docs, ids, context).withColumn("_row", F.monotonically_increasing_id())
+    cut = written(cut, "pieces")
+    plan = optimal_bounds(length_histogram(cut), buckets)
+    bounds = plan.bounds or [0]
+    bucket = _bucket(bounds)
+    narrow = cut.select("_row", "doc_id", "piece", "n_tokens").withColumn("bucket", bucket)
+    slots = gapless(narrow, ["bucket"], ["doc_id", "piece", "_row"], slice_rows)
+    placed = _in_batches(slots, bounds, batch_tokens).select(F.col("_row").alias("_slot_row"), "bucket", "bound", "batch", "place")
+    joined = cut.join(placed, F.col("_row") == F.col("_slot_row"))
+    return joined.select("doc_id", "piece", "start", "n_tokens", "bucket", "bound", "batch", "place", "ids")

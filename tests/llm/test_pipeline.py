@@ -7,7 +7,7 @@ from test_near_dups import brute as near_brute
 from test_quality_rules import brute as rule_brute
 from test_secret_scan import brute as secret_brute
 
-from aisflow.llm import packing, quality_model
+from aisflow.llm import bpe, packing, quality_model
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -61,18 +61,36 @@ def test_secrets(stages):
             assert after[doc_id] == row
 
 
-def test_packing_keeps_every_token(stages):
-    from pyspark.sql import functions as F
+def test_pieces_decode_to_the_masked_texts(stages):
+    coder, found = bpe.encoding(), {}
+    for row in stages[5].orderBy("doc_id", "piece").collect():
+        assert row.n_tokens == len(row.ids) <= min(packing.CONTEXT, row.bound) and row.start == packing.CONTEXT * row.piece
+        found.setdefault(row.doc_id, []).extend(row.ids)
+    texts = {r.doc_id: r.text for r in stages[4].collect()}
+    assert {d: coder.decode_bytes(ids).decode() for d, ids in found.items()} == texts
 
-    tokens = stages[4].select(F.sum(packing.word_count()).alias("n")).first().n
-    assert stages[5].agg(F.sum("n_tokens")).first()[0] == tokens
-    assert stages[5].select("doc_id").distinct().count() == stages[4].count()
+
+def test_batches_keep_to_their_budget(stages):
+    rows = stages[5].collect()
+    places = {(r.bucket, r.batch, r.place) for r in rows}
+    assert len(places) == len(rows)
+    sizes = {}
+    for r in rows:
+        sizes.setdefault((r.bucket, r.batch, r.bound), []).append(r.place)
+    for (_, _, bound), own in sizes.items():
+        assert sorted(own) == list(range(len(own))) and (len(own) == 1 or len(own) * bound <= packing.BATCH_TOKENS)
 
 
 def test_run_agrees_with_the_stages(spark, stages):
     assert rows_of(corpus_pipeline.run(spark, FOLDER)) == rows_of(stages[5])
 
 
+def test_run_leaves_its_result_alone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("aisflow.storage._local_folder", lambda: str(tmp_path))
+    out = corpus_pipeline.run(spark, FOLDER)
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["packed"] and out.count()
+
+
 def test_awkward_documents_pass_every_stage(spark):
     for docs in (clashing(documents(spark)), clashing(documents(spark)).limit(0)):
         columns = docs.columns

@@ -115,6 +115,62 @@ KEYS = [
 ]
 
 
+LINES = f"{BEGIN}\n{BODY}\n{END}".split("\n")
+LAYOUTS = [
+    f"{BEGIN}\n" + "".join(f"Field-{k}: some value\n" for k in range(25)) + f"\n{BODY}\n{END}",
+    " +\n".join(f'"{line}\\n"' for line in LINES),
+    "\n".join(f"> {line}" for line in LINES),
+    "\n".join(f"- {line}" for line in LINES),
+    "<br>".join(LINES),
+    "\n".join(f"{k:3d}  {line}" for k, line in enumerate(LINES)),
+]
+
+
+def test_keys_in_other_layouts_leave_no_body(spark):
+    texts = [f"before it {layout} after it" for layout in LAYOUTS]
+    rows = {r.doc_id: r.text for r in s.redact(documents(spark, texts)).collect()}
+    for k in range(len(texts)):
+        masked = rows[100 - k]
+        assert masked.startswith("before it ") and masked.endswith(" after it") and masked.count("[SECRET]") == 1
+        assert not re.search("[A-Za-z0-9+/]{12}", masked)
+
+
+def test_many_first_lines_without_a_last_one(spark):
+    text = f"{BEGIN} is a line.\n" * 20_000
+    assert s.redact(documents(spark, [text])).where("doc_id = 100").first().text == "[SECRET] is a line.\n" * 20_000
+
+
+def test_many_spans_take_time_in_proportion(spark, tmp_path):
+    import time
+
+    text = " ".join(f"token=value{k:08d} é" for k in range(40_000))
+    docs, path = documents(spark, [text]), str(tmp_path / "l")
+    s.update(docs, path)
+    start = time.monotonic()
+    out = s.redact(docs, path).where("doc_id = 100").first().text
+    assert out == " ".join(["[SECRET] é"] * 40_000)
+    assert time.monotonic() - start < 20
+
+
+def test_many_findings_are_joined(spark, monkeypatch):
+    docs = clashing(documents(spark, TEXTS + MORE))
+    broadcast = rows_of(s.redact(docs))
+    monkeypatch.setattr(s, "BROADCAST_STRETCHES", 0)
+    assert rows_of(s.redact(docs)) == broadcast
+
+
+def test_pieces_between_stretches(spark, monkeypatch):
+    monkeypatch.setattr(s, "BLOCK_CHARS", 3)
+    text = "0123456789é😀cdef"
+    for spans in [[(0, 1)], [(0, 16)], [(15, 16)], [(1, 2), (4, 9), (10, 12)], [(3, 6), (7, 8), (12, 16)], [(2, 14)], []]:
+        rows = [(text, [{"start": a, "end": b} for a, b in spans])]
+        frame = spark.createDataFrame(rows, "text string, at array<struct<start:long,end:long>>")
+        plain, at = "", 0
+        for a, b in spans:
+            plain, at = plain + text[at:a] + s.MASK, b
+        assert frame.select(s.masked(F.col("text"), F.col("at"))).first()[0] == plain + text[at:]
+
+
 def test_whole_keys_are_masked(spark):
     rows = {r.doc_id: r.text for r in s.redact(documents(spark, [text for text, _ in KEYS])).collect()}
     for k, (_, clean) in enumerate(KEYS):
