@@ -86,7 +86,7 @@ def test_run_agrees_with_the_stages(spark, stages):
 
 
 def test_run_leaves_its_result_alone(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("aisflow.storage._local_folder", lambda: str(tmp_path))
+    monkeypatch.setattr("aisflow.storage.shared_folder", lambda session: str(tmp_path))
     out = corpus_pipeline.run(spark, FOLDER)
     assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["packed"] and out.count()
 
