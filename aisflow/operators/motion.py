@@ -1,5 +1,7 @@
 """Each report next to the one before or after it, of the same ship."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,32 +55,36 @@ def fold(pings: DataFrame) -> DataFrame:
     return pings.groupBy(*pings.columns).agg(F.count("*").alias(COPIES))
 
 
-def link_hot(
+def cut_hot(
     folded: DataFrame,
-    prefix: str,
     total_rows: int,
-    reverse: bool = False,
     slice_rows: int = SLICE_ROWS,
+    lookup: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """The same for ships with more rows than one task should sort.
-
-    1. Rows come from ``fold``, so none is equal to another.
-    2. A range partitioning by ship, time and position cuts each ship into
-       slices of similar size, wherever its rows lie in time. The cut is
-       written out: all uses below must see the same one, even after an
-       executor is lost.
-    3. Each slice gets the last row of the slice before it as an extra row, then
-       a window per (ship, slice) links rows as in ``link_cold``.
-    4. Copies are laid out again. All but the first copy follow an equal row.
+    """Rows of ``fold`` with ``_slice``: a range partitioning by ship, time and position cuts
+    each ship into slices of similar size, wherever its rows lie in time.
+
+    The cut is written out: all that reads it must see the same one, even after
+    an executor is lost. ``lookup`` adds columns to each row on the way.
     """
-    columns = [c for c in folded.columns if c != COPIES]
-    order = _total_order(columns)
-    slices = max(2, -(-total_rows // slice_rows))
-    cut = written(
-        folded.repartitionByRange(slices, KEY, *order).withColumn("_slice", F.spark_partition_id()),
-        "slices",
-    )
+    order = _total_order([c for c in folded.columns if c != COPIES])
+    ranged = folded.repartitionByRange(_slices(total_rows, slice_rows), KEY, *order)
+    sliced = ranged.withColumn("_slice", F.spark_partition_id())
+    return written(lookup(sliced) if lookup else sliced, "slices")
+
+
+def _slices(total_rows: int, slice_rows: int) -> int:
+    return max(2, -(-total_rows // slice_rows))
+
 
+def link_cut(cut: DataFrame, columns: list[str], prefix: str, reverse: bool = False, beside: dict[str, Column] | None = None) -> DataFrame:
+    """One row per row of ``cut``, linked as in ``link_cold``, with ``beside``, expressions over
+    windows by ship and slice.
+
+    Each slice gets the last row of the slice before it as an extra row, then a
+    window per (ship, slice) links rows; the extra rows go again.
+    """
+    order = _total_order(columns)
     # One row per ship and slice from here on, never more than there are partitions.
     edge = F.min if reverse else F.max
     by_slice = Window.partitionBy(KEY).orderBy("_slice")
@@ -89,24 +95,40 @@ def link_hot(
         .select(KEY, neighbour.alias("_slice"), "_edge.*", F.lit(0).cast("long").alias(COPIES))
         .where("_slice IS NOT NULL")
     )
-
     window = Window.partitionBy(KEY, "_slice").orderBy(*_in_order(order, reverse))
-    firsts = (
-        cut.unionByName(carried)
-        .withColumns(_lagged(window, prefix))
-        .where(F.col(COPIES) > 0)
-        .select(*columns, *_beside(prefix))
-    )
-    return firsts.unionByName(_further_copies(cut, columns, prefix, slices, slice_rows))
+    linked = cut.unionByName(carried, allowMissingColumns=True).withColumns({**_lagged(window, prefix), **(beside or {})})
+    return linked.where(F.col(COPIES) > 0)
+
+
+def lay_out(firsts: DataFrame, cut: DataFrame, columns: list[str], prefix: str, tasks: int, chunk_rows: int = SLICE_ROWS) -> DataFrame:
+    """The linked rows as often as they occur. All but the first copy follow an equal row."""
+    once = firsts.select(*columns, *_beside(prefix))
+    if cut.where(F.col(COPIES) > 1).isEmpty():
+        return once
+    return once.unionByName(_further_copies(firsts, columns, prefix, tasks, chunk_rows))
+
+
+def link_hot(
+    folded: DataFrame,
+    prefix: str,
+    total_rows: int,
+    reverse: bool = False,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """``link_cold`` for ships with more rows than one task should sort: ``fold``, ``cut_hot``, ``link_cut``, ``lay_out``."""
+    columns = [c for c in folded.columns if c != COPIES]
+    cut = cut_hot(folded, total_rows, slice_rows)
+    firsts = link_cut(cut, columns, prefix, reverse)
+    return lay_out(firsts, cut, columns, prefix, _slices(total_rows, slice_rows), slice_rows)
 
 
 def _further_copies(
-    cut: DataFrame, columns: list[str], prefix: str, tasks: int, chunk_rows: int
+    firsts: DataFrame, columns: list[str], prefix: str, tasks: int, chunk_rows: int
 ) -> DataFrame:
     """All copies but the first, laid out in chunks over many tasks."""
     last_chunk = F.floor((F.col(COPIES) - 2) / chunk_rows)
     chunks = (
-        cut.where(F.col(COPIES) > 1)
+        firsts.where(F.col(COPIES) > 1)
         .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
         .repartition(tasks, KEY, *ORDER, "_chunk")
     )
@@ -127,7 +149,8 @@ def link(
     linked = link_cold(parts.cold, prefix, reverse)
     if parts.hot is None:
         return linked
-    return linked.unionByName(link_hot(fold(parts.hot), prefix, parts.hot_rows, reverse, slice_rows))
+    folded = written(fold(parts.hot), "folded")
+    return linked.unionByName(link_hot(folded, prefix, parts.hot_rows, reverse, slice_rows))
 
 
 def minutes_between(earlier: Column, later: Column, legacy_sign: bool = False) -> Column:

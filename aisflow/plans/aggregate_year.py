@@ -1,6 +1,8 @@
 """Yearly aggregation: nearest port and gap to the previous ping, for every ping."""
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aisflow.functions import geo
@@ -9,7 +11,7 @@ from aisflow.operators.hotkeys import HOT_ROWS, split_hot
 from aisflow.schemas import POSITION_COLUMNS
 from aisflow.sinks import tables
 from aisflow.sources import pings as ping_source
-from aisflow.storage import job
+from aisflow.storage import job, written
 
 OUTPUT_COLUMNS = ["MMSI", "BaseDateTime", "NearPort", "MeterSincePrevPing", "MinSincePrevPing"]
 
@@ -42,22 +44,58 @@ def time_analysis(
         result = _named(motion.link_cold(tagged(parts.cold), motion.PREVIOUS), legacy_sign)
         if parts.hot is None:
             return result
-        folded = motion.fold(tagged(parts.hot))
+        folded = written(motion.fold(tagged(parts.hot)), "folded")
+        hot = motion.link_hot(folded, motion.PREVIOUS, parts.hot_rows, slice_rows=slice_rows)
     else:
         linked = motion.link_cold(own, motion.PREVIOUS)
         result = _named(proximity.shared_port(linked, "NearPort"), legacy_sign)
         if parts.hot is None:
             return result
-        folded = _share_by_join(proximity.own_port(motion.fold(parts.hot), ports, radius_m, broadcast_cells=broadcast_cells))
-    linked = motion.link_hot(folded, motion.PREVIOUS, parts.hot_rows, slice_rows=slice_rows)
-    return result.unionByName(_named(linked, legacy_sign))
+
+        def looked_up(rows: DataFrame) -> DataFrame:
+            return proximity.own_port(rows, ports, radius_m, broadcast_cells=broadcast_cells)
+
+        hot = _scan_slices(written(motion.fold(parts.hot), "folded"), parts.hot_rows, slice_rows, looked_up)
+    return result.unionByName(_named(hot, legacy_sign))
 
 
-def _share_by_join(hot: DataFrame) -> DataFrame:
-    """``shared_port`` for hot ships: one row per instant with a port, joined back."""
-    best = hot.where("port IS NOT NULL").groupBy("MMSI", "BaseDateTime").agg(F.min("port").alias("_best"))
-    joined = hot.join(best, ["MMSI", "BaseDateTime"], "left")
-    return joined.select(*POSITION_COLUMNS, motion.COPIES, F.col("_best.UNLOCODE").alias("NearPort"))
+def _scan_slices(folded: DataFrame, total_rows: int, slice_rows: int, looked_up: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Hot ships linked and with their ports: a segmented scan over slices.
+
+    Ports are looked up once, while the cut is written. A slice shares them among
+    its rows of an instant by itself. What lies in another slice can only concern
+    the instants at its two ends, so those are summarised, one row per ship and
+    slice, merged by instant, and handed back.
+    """
+    columns = [*POSITION_COLUMNS, "NearPort"]
+    cut = motion.cut_hot(folded, total_rows, slice_rows, looked_up)
+    at_instant = Window.partitionBy(motion.KEY, "_slice", "BaseDateTime")
+    linked = motion.link_cut(cut, POSITION_COLUMNS, motion.PREVIOUS, beside={"_best": F.min("port").over(at_instant)})
+    ends = _best_at_ends(cut)
+    joined = linked.join(ends, [motion.KEY, "_slice"], "left")
+    best = F.when(F.col("BaseDateTime") == F.col("_first"), F.col("_best_first"))
+    best = best.when(F.col("BaseDateTime") == F.col("_last"), F.col("_best_last")).otherwise(F.col("_best"))
+    known = F.col("MMSI").isNotNull() & F.col("BaseDateTime").isNotNull()
+    named = joined.withColumn("NearPort", F.when(known, best["UNLOCODE"]))
+    return motion.lay_out(named, cut, columns, motion.PREVIOUS, max(2, -(-total_rows // slice_rows)), slice_rows)
+
+
+def _best_at_ends(cut: DataFrame) -> DataFrame:
+    """MMSI, _slice, the first and last instant of each slice, and the nearest port that the ship has at each, in any slice."""
+    since = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'2000-01-01 00:00:00', BaseDateTime)")
+    none = F.col("port").isNull().alias("none")
+    ends = cut.where("MMSI IS NOT NULL AND BaseDateTime IS NOT NULL").groupBy("MMSI", "_slice").agg(
+        F.min(F.struct(since.alias("at"), none, "BaseDateTime", "port")).alias("_a"),
+        F.min(F.struct((-since).alias("at"), none, "BaseDateTime", "port")).alias("_b"),
+    )
+    ends = written(ends, "ends")
+    both = ends.select("MMSI", "_a.BaseDateTime", "_a.port").unionByName(ends.select("MMSI", "_b.BaseDateTime", "_b.port"))
+    merged = both.groupBy("MMSI", "BaseDateTime").agg(F.min("port").alias("_best"))
+    found = ends.select("MMSI", "_slice", F.col("_a.BaseDateTime").alias("_first"), F.col("_b.BaseDateTime").alias("_last"))
+    for end in ("_first", "_last"):
+        one = merged.withColumnsRenamed({"BaseDateTime": end, "_best": f"_best{end}"})
+        found = found.join(one, ["MMSI", end])
+    return found
 
 
 def legs_with_port(

@@ -174,3 +174,30 @@ def test_like_without_wildcards_is_equality(spark):
 def test_pings_per_port_sorts_busiest_first(spark):
     frame = spark.createDataFrame([("B",), ("A",), (None,), (None,), (None,), ("A",), ("B",)], "UNLOCODE string")
     assert [tuple(r) for r in audit.pings_per_port(frame).collect()] == [(None, 3), ("A", 2), ("B", 2)]
+
+
+def test_hot_ships_take_one_port_lookup_and_one_cut(busy, monkeypatch):
+    """Two ports look-ups in all, of ordinary and of hot rows, and no join of hot rows by instant."""
+    pings, ports = busy
+    looked, labels = [], []
+    lookup, keep = proximity._own_port, aggregate_year.motion.written
+    monkeypatch.setattr(proximity, "_own_port", lambda *a: looked.append(a) or lookup(*a))
+    monkeypatch.setattr(aggregate_year.motion, "written", lambda frame, label: labels.append(label) or keep(frame, label))
+    found = aggregate_year.time_analysis(pings, ports, hot_rows=20, slice_rows=10)
+    assert found.count() == pings.count()
+    assert len(looked) == 2 and labels == ["slices"]
+    hot = plan_of(found).split("Union", 1)[1]
+    joins = [line for line in hot.splitlines() if "Join" in line]
+    assert not any("BaseDateTime" in line for line in joins)
+
+
+@pytest.mark.parametrize("slice_rows", [1, 3, 1000])
+def test_an_instant_over_many_slices_shares_its_nearest_port(spark, rows_of, slice_rows):
+    """All rows of a hot ship at one instant, or at two; one of them alone is near a port."""
+    rows = [("000000001", 5, 10.0 + k, 10.0) for k in range(40)] + [("000000001", 5, 30.0, -90.0)] * 3
+    rows += [("000000001", 6, 10.0 + k, 10.0) for k in range(20)] + [("000000001", 6, 30.03, -90.0)] + [(None, 6, 30.0, -90.0)] * 4
+    ports = make_ports(spark, [("A", 30.0, -90.0), ("B", 30.03, -90.0)])
+    found = aggregate_year.time_analysis(positions(spark, rows), ports, hot_rows=2, slice_rows=slice_rows)
+    plain = aggregate_year.time_analysis(positions(spark, rows), ports)
+    assert rows_of(found) == rows_of(plain)
+    assert {r["NearPort"] for r in found.where("MMSI IS NOT NULL").collect()} == {"A", "B"}
