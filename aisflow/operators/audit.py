@@ -1,6 +1,6 @@
 """Checks an analyst runs on raw and cleaned tables. All scale with the table and keep every row."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from aisflow.functions import decode, geo
@@ -71,12 +71,19 @@ def pings_per_port(pings: DataFrame, port: str = "UNLOCODE") -> DataFrame:
     return counts.orderBy(F.desc("c"), F.asc_nulls_last(port))
 
 
-def rows_at_maximum(table: DataFrame, column: str) -> DataFrame:
-    """All rows that hold the column's largest value, by SQL over the frame.
+def rows_at_maximum(table: DataFrame, column: str, stored: bool = False) -> DataFrame:
+    """All rows that hold the column's largest value.
 
-    The frame is written to the shared folder first, so that what it takes to
-    make it is done once, and not for the maximum and the rows apart.
+    The maximum becomes a literal, so the rows are found by a scan that skips
+    every row group whose statistics lie below it. A ``stored`` table is read for
+    that column first, and nothing is written. Any other frame is computed once:
+    it is written to the shared folder, and the maximum is observed on the way.
     """
-    return table.sparkSession.sql(
-        f"SELECT * FROM {{table}} WHERE `{column}` = (SELECT max(`{column}`) FROM {{table}})", table=written(table, "to-scan")
-    )
+    largest = F.max(column).cast("string").alias("largest")
+    if stored:
+        found = table.agg(largest).first()["largest"]
+    else:
+        seen = Observation()
+        table = written(table.observe(seen, largest), "to-scan")
+        found = seen.get["largest"]
+    return table.where(F.col(column) == F.lit(found).cast(table.schema[column].dataType))

@@ -106,21 +106,32 @@ def located(pings: DataFrame, grid: Grid, globe: geo.Globe) -> DataFrame:
     return pings.withColumns({"_cell": grid.cell(lon, lat), **places})
 
 
-def _salted(pings: DataFrame, cells: DataFrame, cell_rows: int) -> DataFrame:
-    """Joins by cell in a shuffle. A busy cell is cut into as many parts as its rows ask for, and
-    its ports are copied to each. Any part does for a ping, so it is drawn at random, and equal
-    pings are spread as well; cells that are not busy stay whole."""
-    sizes = pings.groupBy(F.col("_cell").alias("_busy")).agg(F.count("*").alias("_rows")).where(F.col("_rows") > cell_rows)
-    parts = written(sizes.select("_busy", F.ceil(F.col("_rows") / cell_rows).alias("_parts")), "busy-cells")
-    if parts.isEmpty():
-        return pings.join(cells, "_cell")
+def _numbered(rows: DataFrame) -> DataFrame:
+    """The rows with a number of their own in ``_row``, stored: whoever draws parts by it draws
+    the same ones again, also after an executor is lost."""
+    return written(rows.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
+def _in_parts(left: DataFrame, right: DataFrame, parts: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Joins by ``keys``. ``parts`` names busy keys with their ``_parts``: rows of ``left`` that hold
+    one are dealt over so many by ``_row``, and those of ``right`` are copied to each."""
     if few_enough(parts, BROADCAST_CELLS):
         parts = F.broadcast(parts)
-    part = F.floor(F.rand(17) * F.coalesce("_parts", F.lit(1)))
-    all_parts = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1))
-    cut = pings.join(parts, F.col("_cell") == F.col("_busy"), "left").withColumn("_part", part)
-    copied = cells.join(parts, F.col("_cell") == F.col("_busy"), "left").withColumn("_part", all_parts)
-    return cut.drop("_busy", "_parts").join(copied.drop("_busy", "_parts"), ["_cell", "_part"]).drop("_part")
+    count = F.coalesce("_parts", F.lit(1).cast("long"))
+    cut = left.join(parts, keys, "left").withColumn("_part", F.pmod("_row", count)).drop("_parts", "_row")
+    copied = right.join(parts, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), count - 1))).drop("_parts")
+    return cut.join(copied, [*keys, "_part"], how).drop("_part")
+
+
+def _salted(pings: DataFrame, grid: Grid, globe: geo.Globe, cells: DataFrame, cell_rows: int) -> DataFrame:
+    """Joins by cell in a shuffle. A busy cell is cut into as many parts as its rows ask for, and
+    its ports are copied to each; cells that are not busy stay whole. Equal pings are spread as well."""
+    cell = grid.cell(F.col("LON"), F.col("LAT")).alias("_cell")
+    sizes = pings.select(cell).groupBy("_cell").agg(F.count("*").alias("_rows")).where(F.col("_rows") > cell_rows)
+    parts = written(sizes.select("_cell", F.ceil(F.col("_rows") / cell_rows).alias("_parts")), "busy-cells")
+    if parts.isEmpty():
+        return located(pings, grid, globe).join(cells, "_cell")
+    return _in_parts(located(_numbered(pings), grid, globe), cells, parts, ["_cell"], "inner")
 
 
 def port_hits(
@@ -139,7 +150,7 @@ def port_hits(
     if can_broadcast(ports, radius_m, broadcast_cells):
         pairs = located(pings, grid, globe).join(F.broadcast(cells), "_cell")
     else:
-        pairs = _salted(located(pings, grid, globe), cells, cell_rows)
+        pairs = _salted(pings, grid, globe, cells, cell_rows)
     chord = globe.chord(here, there)
     near = F.col("d") <= radius_m if inclusive else F.col("d") < radius_m
     # Plain arithmetic decides about most pairs within the join. The value for the others comes
@@ -165,9 +176,39 @@ def nearest_port(hits: DataFrame) -> DataFrame:
     )
 
 
-def join_ports(pings: DataFrame, nearest: DataFrame) -> DataFrame:
-    """Left join of the nearest port on (MMSI, BaseDateTime): equal keys share one port, null keys get none."""
-    return pings.join(nearest.select("MMSI", "BaseDateTime", "UNLOCODE"), ["MMSI", "BaseDateTime"], "left")
+INSTANT = ["MMSI", "BaseDateTime"]
+
+# A choice of plan, which no result depends on: instants of a ship with more pings than this are cut into parts of about as many.
+KEY_ROWS = 1_000_000
+
+
+def _busy_instants(pings: DataFrame, key_rows: int) -> DataFrame | None:
+    """(MMSI, BaseDateTime, _parts) of instants with more than ``key_rows`` pings, or None.
+
+    Ships are counted first, which is narrow after the map side; instants only of ships that have so many pings at all.
+    """
+    ships = pings.where("MMSI IS NOT NULL").groupBy(F.col("MMSI").alias("_ship")).agg(F.count("*").alias("_rows"))
+    ships = written(ships.where(F.col("_rows") > key_rows).select("_ship"), "busy-ships")
+    if ships.isEmpty():
+        return None
+    if few_enough(ships, BROADCAST_CELLS):
+        ships = F.broadcast(ships)
+    theirs = pings.where("BaseDateTime IS NOT NULL").join(ships, F.col("MMSI") == F.col("_ship"), "left_semi")
+    sizes = theirs.groupBy(*INSTANT).agg(F.count("*").alias("_rows")).where(F.col("_rows") > key_rows)
+    parts = written(sizes.select(*INSTANT, F.ceil(F.col("_rows") / key_rows).alias("_parts")), "busy-instants")
+    return None if parts.isEmpty() else parts
+
+
+def join_ports(pings: DataFrame, nearest: DataFrame, key_rows: int | None = None) -> DataFrame:
+    """Left join of the nearest port on (MMSI, BaseDateTime): equal keys share one port, null keys get none.
+
+    With ``key_rows`` busy instants are counted, and those with more pings are spread over tasks.
+    """
+    named = nearest.select(*INSTANT, "UNLOCODE")
+    parts = _busy_instants(pings, key_rows) if key_rows is not None else None
+    if parts is None:
+        return pings.join(named, INSTANT, "left")
+    return _in_parts(_numbered(pings), named, parts, INSTANT, "left")
 
 
 def _own_port(
@@ -264,7 +305,9 @@ def pings_with_port_by_join(
     globe: geo.Globe = geo.WGS84,
     inclusive: bool = False,
     broadcast_cells: int = BROADCAST_CELLS,
+    key_rows: int | None = KEY_ROWS,
 ) -> DataFrame:
-    """The same by joins, for any number of ports."""
+    """The same by joins, for any number of ports. ``key_rows`` is that of ``join_ports``; None
+    where the caller knows that no ship has more pings than a task should."""
     hits = port_hits(pings, ports, radius_m, globe, inclusive, broadcast_cells)
-    return join_ports(pings, nearest_port(hits)).select(*pings.columns, "UNLOCODE")
+    return join_ports(pings, nearest_port(hits), key_rows).select(*pings.columns, "UNLOCODE")

@@ -36,15 +36,15 @@ def time_analysis(
     parts = split_hot(positions, motion.KEY, hot_rows)
     own = proximity.own_port(parts.cold, ports, radius_m, broadcast_cells=broadcast_cells)
     if own is None:
-        # the ships were counted before the join, which then runs once for each part
-        def tagged(some: DataFrame) -> DataFrame:
-            found = proximity.pings_with_port_by_join(some, ports, radius_m, broadcast_cells=broadcast_cells)
+        # the ships were counted before the join, which then runs once for each part; instants are counted for hot ships alone
+        def tagged(some: DataFrame, key_rows: int | None = None) -> DataFrame:
+            found = proximity.pings_with_port_by_join(some, ports, radius_m, broadcast_cells=broadcast_cells, key_rows=key_rows)
             return found.withColumnRenamed("UNLOCODE", "NearPort")
 
         result = _named(motion.link_cold(tagged(parts.cold), motion.PREVIOUS), legacy_sign)
         if parts.hot is None:
             return result
-        folded = written(motion.fold(tagged(parts.hot)), "folded")
+        folded = written(motion.fold(tagged(parts.hot, min(slice_rows, proximity.KEY_ROWS))), "folded")
         hot = motion.link_hot(folded, motion.PREVIOUS, parts.hot_rows, slice_rows=slice_rows)
     else:
         linked = motion.link_cold(own, motion.PREVIOUS)

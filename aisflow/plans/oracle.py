@@ -146,6 +146,7 @@ _BODIES = {
     "year_month": f"SELECT {_MONTHS}, count(*) AS n FROM positions GROUP BY ALL",
     "profile_conflicts": _CONFLICTS,
     "profile_merge": "SELECT * FROM profiles",
+    "profiles_from_state": "SELECT * FROM profiles",
     "port_hits": "SELECT MMSI, BaseDateTime, LAT, LON, UNLOCODE, round(d, 2) AS d FROM hits",
     "port_hits_cross": f"""SELECT MMSI, BaseDateTime, round(km, 3) AS km_to_port, UNLOCODE FROM (
         SELECT a.MMSI, a.BaseDateTime, p.UNLOCODE, {_haversine('p.LON', 'p.LAT', 'a.LON', 'a.LAT')} AS km
@@ -224,7 +225,14 @@ _BODIES = {
 _STORED = {
     "clean_job": (f"SELECT *, {_MONTHS} FROM motion", _OF_TIMED),
     "clean_job_profiles": ("SELECT * FROM profiles", _OF_2024),
+    "profiles_over_years": ("SELECT * FROM profiles", _OF_TIMED),
+    "conflicts_over_years": (_CONFLICTS, _OF_TIMED),
     "aggregate_job": (_ANALYSIS, _OF_TIMED),
+    "max_gap_rows_stored": (
+        """SELECT MMSI, BaseDateTime, NearPort, MinSincePrevPing FROM gaps
+        WHERE MinSincePrevPing = (SELECT max(MinSincePrevPing) FROM gaps)""",
+        _OF_TIMED,
+    ),
     "profile_gate": (_CONFLICTS, _OF_2024),
     "external_tables": (
         """SELECT Type, count(*) AS ships, cast(sum(pings) AS bigint) AS pings,

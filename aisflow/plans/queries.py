@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from aisflow import schemas
 from aisflow.functions import geo
-from aisflow.operators import audit, clean, motion, profile, proximity
+from aisflow.operators import audit, clean, motion, profile, profile_state, proximity
 from aisflow.plans import aggregate_year, clean_year, ingest_days, standin
 from aisflow.sinks import catalog, tables
 from aisflow.sources import days
@@ -100,7 +100,16 @@ def year_month(spark, folder):
 
 @registered
 def profile_conflicts(spark, folder):
-    return profile.conflicts(_identities(spark, folder))
+    return profile_state.conflicts(profile_state.facts(_identities(spark, folder)))
+
+
+@registered
+def profiles_from_state(spark, folder):
+    """Profiles merged from the states of three parts of the pings, two of which overlap."""
+    named = clean.clean_identity(_valid(spark, folder))
+    part = F.pmod(F.xxhash64(*named.columns), F.lit(3))
+    states = [profile_state.facts(named.where(part == k if k else part < 2)) for k in range(3)]
+    return profile_state.merge(profile_state.merged(*states))
 
 
 @registered
@@ -253,6 +262,13 @@ def max_gap_rows(spark, folder):
     return audit.rows_at_maximum(gaps.drop("MeterSincePrevPing"), "MinSincePrevPing")
 
 
+@registered
+def max_gap_rows_stored(spark, folder):
+    """The same from the table that the yearly job stores: a scan of one column, then of the row groups that can hold its maximum."""
+    stored = ping_source.read_parquet(spark, _jobs(spark, folder).analysis, None)
+    return audit.rows_at_maximum(stored.select("MMSI", "BaseDateTime", "NearPort", "MinSincePrevPing"), "MinSincePrevPing", stored=True)
+
+
 # Audits
 
 
@@ -489,6 +505,27 @@ def clean_job_profiles(spark, folder):
     return ping_source.read_parquet(spark, _jobs(spark, folder, aggregate=False).profile, schemas.PROFILE)
 
 
+def _state_of_years(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """Roots of the profiles and of their state after runs over both years, the first of them twice."""
+    raw, root = _raw_table(spark, folder), scratch_path(spark, "years")
+    for year in (2024, 2025, 2024):
+        clean_year.run(spark, raw, f"{root}/profile", f"{root}/ais", year, strict=False, state_root=f"{root}/state")
+    return f"{root}/profile", f"{root}/state"
+
+
+@registered
+def profiles_over_years(spark, folder):
+    """Profiles of both years, each of which was read by its own run."""
+    return ping_source.read_parquet(spark, _state_of_years(spark, folder)[0], schemas.PROFILE)
+
+
+@registered
+def conflicts_over_years(spark, folder):
+    """Conflicts across both years, from the stored state."""
+    stored = profile_state.read(spark, _state_of_years(spark, folder)[1])
+    return profile_state.conflicts(profile_state.merged(stored))
+
+
 @registered
 def aggregate_job(spark, folder):
     """Two yearly runs, the second of which carries the last pings of the first over."""

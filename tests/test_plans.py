@@ -146,6 +146,17 @@ def test_maximum_is_looked_for_in_stored_rows(spark):
     assert not [t for t in spark.catalog.listTables() if t.name == "pings_to_scan"]
 
 
+def test_the_maximum_of_a_stored_table_is_looked_up_by_statistics(spark, tmp_path, rows_of, monkeypatch):
+    path = str(tmp_path / "rows")
+    spark.range(1000).selectExpr("id", "cast(id % 10 AS double) AS v", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id) AS t").write.parquet(path)
+    stored = spark.read.parquet(path)
+    monkeypatch.setattr(audit, "written", None)
+    found = audit.rows_at_maximum(stored, "v", stored=True)
+    assert "EqualTo(v,9.0)" in plan_of(found) and found.count() == 100
+    assert [r["id"] for r in audit.rows_at_maximum(stored, "t", stored=True).collect()] == [999]
+    assert audit.rows_at_maximum(stored.limit(0), "v", stored=True).isEmpty()
+
+
 def test_conflicts_are_counted_for_conflicting_ships_only(spark):
     identities = clean.clean_identity(pings(spark, {}, {"IMO": "IMO2"}, {"MMSI": "338000009"}))
     plan = plan_of(profile.conflicts(identities))

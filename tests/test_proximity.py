@@ -160,3 +160,22 @@ def test_the_broadcast_is_bounded_by_cells_not_ports(spark, scene):
     assert proximity.can_broadcast(ports, 3500.0, 20 * 20)
     polar = make_ports(spark, [(f"N{i}", 89.999, float(i)) for i in range(20)])
     assert not proximity.can_broadcast(polar, 3500.0)
+
+
+def test_a_busy_instant_is_spread_without_adaptive_execution(spark, rows_of):
+    """A third of all pings are one ship's at one instant, most of them equal."""
+    from pyspark.sql import functions as F
+
+    rows = [("000000001", 7, 30.0 + (k % 3) / 1000, -90.0) for k in range(400)] + [(f"{k:09d}", k, 30.0, -90.0) for k in range(2, 802)]
+    rows += [(None, 7, 30.0, -90.0)] * 5 + [("000000001", None, 30.0, -90.0)] * 5
+    pings, ports = positions(spark, rows), make_ports(spark, [("A", 30.0, -90.0), ("B", 30.01, -90.0)])
+    usual = rows_of(proximity.pings_with_port(pings, ports))
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        found = proximity.pings_with_port_by_join(pings, ports, broadcast_cells=0, key_rows=40)
+        assert "_part" in plan_of(found) and rows_of(found) == usual
+        sizes = found.where("MMSI = '000000001'").groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) == 4 and max(r["count"] for r in sizes) < 250
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert "_part" not in plan_of(proximity.pings_with_port_by_join(pings, ports, broadcast_cells=0))
