@@ -224,6 +224,7 @@ _BODIES = {
 
 _STORED = {
     "clean_job": (f"SELECT *, {_MONTHS} FROM motion", _OF_TIMED),
+    "swapped_months": (f"SELECT *, {_MONTHS} FROM motion", _OF_TIMED),
     "clean_job_profiles": ("SELECT * FROM profiles", _OF_2024),
     "profiles_over_years": ("SELECT * FROM profiles", _OF_TIMED),
     "conflicts_over_years": (_CONFLICTS, _OF_TIMED),

@@ -12,7 +12,7 @@ from aisflow import schemas
 from aisflow.functions import geo
 from aisflow.operators import audit, clean, motion, profile, profile_state, proximity
 from aisflow.plans import aggregate_year, clean_year, ingest_days, standin
-from aisflow.sinks import catalog, tables
+from aisflow.sinks import catalog, tables, versions
 from aisflow.sources import days
 from aisflow.sources import pings as ping_source
 from aisflow.sources import ports as port_source
@@ -578,6 +578,21 @@ def external_tables(spark, folder):
     return held
 
 
+@registered
+def swapped_months(spark, folder):
+    """Clean kinematics in a catalog table whose months were all replaced by a version of their own."""
+    database = f"aisflow_{uuid.uuid4().hex[:12]}"
+    root = f"{scratch_path(spark, 'swapped')}/ais"
+    rows = clean.with_months(clean.clean_motion(_valid(spark, folder).where("BaseDateTime IS NOT NULL")))
+    tables.write_months(rows.where(F.col("month") < 7).limit(100), root)
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'database')}'")
+    table = catalog.create_external(spark, catalog.PINGS_TABLE, root, database)
+    versions.replace_months(rows, table, root, balance=True)
+    held = written(spark.table(table), "swapped")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return held
+
+
 # Days
 
 

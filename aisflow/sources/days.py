@@ -1,17 +1,13 @@
 """Which days are asked for, which files hold them, and which were ingested before."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from aisflow.sources.manifest import read_ledger as read_ledger
+
 # Fixed value: day files carry their date as YYYY_MM_DD.
 DAY_IN_NAME = r"(\d{4}_\d{2}_\d{2})\.\w+$"
 
-# The ledger lies within the raw table; readers of that skip names with an underscore.
-LEDGER = "_ingested"
-LEDGER_SCHEMA = "day date, path string, n_rows bigint, n_rejected bigint"
-
-
 def day_range(spark: SparkSession, first: str, last: str) -> DataFrame:
     """All days from ``first`` to ``last`` (ISO dates), both included."""
     days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))
@@ -56,13 +52,3 @@ def landed_days(pings: DataFrame) -> DataFrame:
 def missing(requested: DataFrame, landed: DataFrame) -> DataFrame:
     """Requested rows whose day has not landed."""
     return requested.join(landed, "day", "left_anti")
-
-
-def read_ledger(spark: SparkSession, root: str) -> DataFrame:
-    """One row per file that was ingested into the table at ``root``; empty before the first."""
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(f"{root}/{LEDGER}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], LEDGER_SCHEMA)

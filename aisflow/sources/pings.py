@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aisflow import schemas
+from aisflow.sources import archives
 
 # The day files have a header, no quoting, and must parse in full.
 CSV_FORMAT = {"quote": "", "mode": "FAILFAST"}
@@ -28,7 +29,7 @@ def read_archives(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").load(paths).select("path", "content")
 
 
-def first_member_lines(archives: DataFrame) -> DataFrame:
+def first_member_lines(whole: DataFrame) -> DataFrame:
     """(path, line): text lines, without the header, of the first member of each archive.
 
     Reads every archive as a stream. Archives are spread over tasks; only the
@@ -52,7 +53,7 @@ def first_member_lines(archives: DataFrame) -> DataFrame:
                         while lines := list(itertools.islice(text, lines_per_batch)):
                             yield pd.DataFrame({"path": path, "line": [line.rstrip("\n") for line in lines]})
 
-    return archives.select("path", "content").mapInPandas(unpack, "path string, line string")
+    return whole.select("path", "content").mapInPandas(unpack, "path string, line string")
 
 
 def parse_lines(lines: DataFrame, with_path: bool = False) -> DataFrame:
@@ -62,6 +63,11 @@ def parse_lines(lines: DataFrame, with_path: bool = False) -> DataFrame:
 
 
 def read_zip(spark: SparkSession, paths: str | list[str], with_path: bool = False) -> DataFrame:
+    """Archives as typed rows. Those on a file system that tasks can open are streamed, whatever
+    their size; others, by paths that Spark alone can read, are taken in whole and must be smaller than 2 GB."""
+    found = [row["path"] for row in spark.read.format("binaryFile").load(paths).select("path").collect()]
+    if found and all(archives.can_stream(path) for path in found):
+        return parse_lines(archives.read_lines(spark, sorted(found), LINES_PER_BATCH), with_path)
     return parse_lines(first_member_lines(read_archives(spark, paths)), with_path)
 
 

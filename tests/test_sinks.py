@@ -1,11 +1,13 @@
 import os
+from datetime import datetime
 
 import pytest
 from makers import pings, positions
 
+from aisflow import schemas, storage
 from aisflow.operators import clean, profile
 from aisflow.sinks import catalog, tables
-from aisflow import storage
+from aisflow.sources import pings as ping_source
 
 MONTH = 86_400 * 31
 
@@ -125,3 +127,35 @@ def test_a_job_removes_what_it_wrote_on_the_way(spark):
             assert os.path.isdir(folder)
             raise KeyError
     assert not os.path.exists(folder)
+
+
+def test_months_are_swapped_as_a_whole(spark, tmp_path, rows_of):
+    """Between write and swap readers see the old months; a reader from before keeps them."""
+    from aisflow.sinks import versions
+
+    root = str(tmp_path / "ais")
+    old = clean.with_months(pings(spark, {"Cargo": "old"}, {"Cargo": "old", "BaseDateTime": datetime(2024, 5, 1)}).select(*schemas.KINEMATIC_COLUMNS))
+    tables.write_months(old, root)
+    spark.sql(f"CREATE DATABASE swapped LOCATION '{tmp_path}/db'")
+    try:
+        table = catalog.create_external(spark, catalog.PINGS_TABLE, root, "swapped")
+        cargo = spark.table(table).select("Cargo", "month")
+        assert sorted(map(tuple, cargo.collect())) == [("old", 3), ("old", 5)]
+        march = clean.with_months(pings(spark, {"Cargo": "new"}, {"Cargo": "new"}, {"Cargo": "new", "BaseDateTime": datetime(2024, 6, 1)}).select(*schemas.KINEMATIC_COLUMNS))
+        version = versions.write(march, root)
+        assert version.months == [(2024, 3), (2024, 6)]
+        spark.catalog.refreshTable(table)
+        assert sorted(map(tuple, spark.table(table).select("Cargo", "month").collect())) == [("old", 3), ("old", 5)]
+        versions.swap(spark, table, version)
+        now = [("new", 3), ("new", 3), ("new", 6), ("old", 5)]
+        assert sorted(map(tuple, spark.table(table).select("Cargo", "month").collect())) == now
+        assert ping_source.read_parquet(spark, root, None).count() == 2
+        second = versions.replace_months(march.where("month = 3").limit(1), table, root)
+        assert versions.remove_unused(spark, table, root) == []
+        versions.replace_months(march, table, root)
+        assert [p.rsplit("/", 1)[1] for p in versions.remove_unused(spark, table, root)] == sorted(
+            p.rsplit("/", 1)[1] for p in (version.path, second.path)
+        )
+        assert sorted(map(tuple, spark.table(table).select("Cargo", "month").collect())) == now
+    finally:
+        spark.sql("DROP DATABASE swapped CASCADE")

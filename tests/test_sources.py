@@ -237,3 +237,100 @@ def test_listing_reads_no_contents(spark, tmp_path):
     files = days.listed_files(spark, str(tmp_path))
     assert [str(r["day"]) for r in files.collect()] == ["2024-01-05"]
     assert "ReadSchema: struct<path:string>" in plan_of(files)
+
+
+def test_each_file_is_parsed_once(spark, tmp_path, monkeypatch):
+    """Lines with and without a time, of both kinds of files, pass the parser once."""
+    from pyspark.sql import functions as F
+
+    parsed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(name):
+        parsed.add(1)
+        return name
+
+    read = ingest_days._read
+    monkeypatch.setattr(ingest_days, "_read", lambda s, paths: read(s, paths).withColumn("VesselName", counted("VesselName")))
+    untimed = ",".join(["338000001", "", *line(1, 1).split(",")[2:]])
+    (tmp_path / "AIS_2024_01_01.csv").write_text(text(line(1, 1), untimed))
+    make_zip(tmp_path / "AIS_2024_01_02.zip", text(line(2, 1), line(2, 2), untimed))
+    done = ingest_days.run(spark, [str(tmp_path / "*.csv"), str(tmp_path / "*.zip")], str(tmp_path / "raw"))
+    assert len(done.read) == 2 and done.n_rejected == 2 and parsed.value == 5
+    assert not list((tmp_path / "raw").glob("_staged-*"))
+
+
+def test_overlapping_runs_read_each_day_once(spark, tmp_path, monkeypatch):
+    import threading
+
+    root = str(tmp_path / "raw")
+    for day in range(1, 6):
+        (tmp_path / f"AIS_2024_01_{day:02d}.csv").write_text(text(*[line(day, s) for s in range(day)]))
+    both, results = threading.Barrier(2), []
+    claim = ingest_days.manifest.claim
+
+    def together(*args):
+        both.wait(60)
+        return claim(*args)
+
+    monkeypatch.setattr(ingest_days.manifest, "claim", together)
+
+    def work():
+        results.append(ingest_days.run(spark, str(tmp_path / "*.csv"), root))
+
+    threads = [threading.Thread(target=work) for _ in range(2)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert sorted(len(r.read) for r in results) == [0, 5] and sorted(len(r.known_files) for r in results) == [0, 5]
+    assert raw_rows(spark, root).count() == 15 and days.read_ledger(spark, root).count() == 5
+
+
+def test_claims_of_a_run_that_died_lapse(spark, tmp_path):
+    from aisflow.sources import manifest
+
+    root = str(tmp_path / "raw")
+    (tmp_path / "AIS_2024_01_01.csv").write_text(text(line(1, 1)))
+    dead, own = manifest.claim(spark, root, ["2024-01-01"])
+    assert own == ["2024-01-01"] and manifest.claim(spark, root, ["2024-01-01"])[1] == []
+    assert ingest_days.run(spark, str(tmp_path / "*.csv"), root).read == []
+    assert len(ingest_days.run(spark, str(tmp_path / "*.csv"), root, claim_hours=0.0).read) == 1
+    with pytest.raises(RuntimeError, match="2024-01-01"):
+        manifest.note(spark, root, dead, manifest.DONE, [{"day": "2024-01-01"}])
+    assert days.read_ledger(spark, root).count() == 1
+
+
+def test_what_a_broken_off_attempt_left_is_replaced(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "raw")
+    (tmp_path / "AIS_2024_01_01.csv").write_text(text(line(1, 1), line(1, 1).replace("2024-01-01", "2024-03-01")))
+
+    def broken(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest_days, "_count", broken)
+        with pytest.raises(OSError):
+            ingest_days.run(spark, str(tmp_path / "*.csv"), root)
+    assert raw_rows(spark, root).count() == 2
+    (tmp_path / "AIS_2024_01_01.csv").write_text(text(line(1, 1)))
+    ingest_days.run(spark, str(tmp_path / "*.csv"), root)
+    assert raw_rows(spark, root).count() == 1
+
+
+def test_an_archive_above_two_gigabytes(spark, tmp_path):
+    """A hole in front of the archive, which unzipping skips, takes no disk."""
+    body = text(*[line(1, s) for s in range(5)])
+    make_zip(tmp_path / "small.zip", body)
+    path = tmp_path / "AIS_2024_01_01.zip"
+    with open(path, "wb") as out:
+        out.seek((1 << 31) + 1000)
+        out.write((tmp_path / "small.zip").read_bytes())
+    assert ping_source.read_zip(spark, str(path)).count() == 5
+
+
+def test_archives_by_other_paths_are_taken_in_whole(spark, tmp_path, monkeypatch, rows_of):
+    make_zip(tmp_path / "AIS_2024_01_01.zip", text(line(1, 1), line(1, 2)))
+    streamed = rows_of(ping_source.read_zip(spark, str(tmp_path / "*.zip")))
+    monkeypatch.setattr(ping_source.archives, "can_stream", lambda path: False)
+    assert rows_of(ping_source.read_zip(spark, str(tmp_path / "*.zip"))) == streamed and len(streamed) == 2
