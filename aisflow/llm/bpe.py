@@ -16,21 +16,23 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 #: Characters of one call, about.
 CHUNK_CHARS = 1 << 16
+#: Ids that a task hands over at a time.
+BATCH_IDS = 1 << 20
 #: Longest run of white space that the pattern sees; the library fails beyond 1,000,000.
 RUN_CHARS = 1 << 16
 
-#: Between a visible ASCII character and a space or line end: every alternative of the pattern
-#: has white space in front or is white space only, and none looks back.
-_SAFE = re.compile(r"(?<=[!-~])(?=[ \n])")
 #: White space as the library's regex has it; Python's also holds the separators 1C to 1F.
 _SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Between any character but white space and a space or line end: every alternative of the pattern
+#: has white space in front or is white space only, and none looks back.
+_SAFE = re.compile(rf"(?<=[^{_SPACES}])(?=[ \n])")
 
 
 @lru_cache(maxsize=4)
@@ -41,7 +43,8 @@ def encoding(ranks: str = RANKS, pattern: str = PATTERN) -> tiktoken.Encoding:
 
 
 def chunks(text: str, size: int = CHUNK_CHARS) -> Iterator[str]:
-    """The text in pieces of about ``size`` characters that end at safe places; longer where there is none."""
+    """The text in pieces of about ``size`` characters that end at safe places; longer where
+    there is none: a text without any space or line end is one piece."""
     first = 0
     while len(text) - first > size:
         place = _SAFE.search(text, first + size)
@@ -99,6 +102,40 @@ def encode(text: Column, ranks: str = RANKS, pattern: str = PATTERN) -> Column:
     return encoded(text)
 
 
+def id_pieces(docs: DataFrame, size: int, ranks: str = RANKS, pattern: str = PATTERN) -> DataFrame:
+    """doc_id, piece, start, n_tokens, ids: the ids of each whole text in runs of ``size`` and a rest.
+
+    A null or empty text is one piece without ids; repeated rows stay, other
+    columns are ignored. Batches are bounded by ids, so neither side ever holds
+    the ids of many texts, or a long array of one.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoding(ranks, pattern)
+        for batch in batches:
+            rows, held, total = [], [], 0
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids = ids_of(text.as_py() or "", coder)
+                for start in range(0, max(1, len(ids)), size):
+                    held.append(ids[start : start + size].astype(np.int32))
+                    rows.append((doc_id, start // size, start, len(held[-1])))
+                    total += len(held[-1]) + 100
+                    if total > BATCH_IDS:
+                        yield _pieces_batch(rows, held)
+                        rows, held, total = [], [], 0
+            if rows:
+                yield _pieces_batch(rows, held)
+
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return narrow.mapInArrow(run, "doc_id long, piece long, start long, n_tokens long, ids array<int>")
+
+
+def _pieces_batch(rows: list[tuple], ids: list[np.ndarray]) -> pa.RecordBatch:
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(ids)))
+    return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in zip(*rows)), lists], ["doc_id", "piece", "start", "n_tokens", "ids"])
+
+
 def decode(ids: Column, ranks: str = RANKS, pattern: str = PATTERN) -> Column:
     """The bytes that ids stand for, which need not be valid UTF-8 unless all ids of a text are
     there; empty for null. An id outside the vocabulary is an error."""

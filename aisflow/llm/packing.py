@@ -21,6 +21,8 @@ from aisflow.storage import written
 CONTEXT = 2048
 BUCKETS = 8
 BATCH_TOKENS = 65_536
+#: Places of pieces that may be broadcast (40 bytes each).
+BROADCAST_PIECES = 500_000
 
 
 @dataclass(frozen=True)
@@ -132,38 +134,27 @@ def piece_words(text: Column, start: Column, n_tokens: Column) -> Column:
     return F.slice(words_of(text), (start + 1).cast("int"), n_tokens.cast("int"))
 
 
-def token_pieces(docs: DataFrame, ids: Column, context: int = CONTEXT) -> DataFrame:
-    """doc_id, piece, start, n_tokens, ids: the token ids of every document in runs of ``context`` and a rest."""
-    count = F.greatest(F.lit(1), F.ceil(F.size("_ids") / context)).cast("int")
-    runs = F.transform(F.sequence(F.lit(0), count - 1), lambda k: F.slice("_ids", k * context + 1, context))
-    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), ids.alias("_ids")).select("doc_id", F.posexplode(runs).alias("_k", "ids"))
-    piece = F.col("_k").cast("long")
-    return cut.select("doc_id", piece.alias("piece"), (piece * context).alias("start"), F.size("ids").cast("long").alias("n_tokens"), "ids")
-
-
-def pack_tokens(
-    docs: DataFrame,
-    ids: Column,
-    context: int = CONTEXT,
+def pack_pieces(
+    cut: DataFrame,
     buckets: int = BUCKETS,
     batch_tokens: int = BATCH_TOKENS,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """The columns of ``pack`` and ``ids``, the tokens of each piece: what a training job reads.
 
-    ``ids`` gives the token ids of a row, an array. Pieces are written once, so
-    texts are encoded once; their order within a bucket is found from narrow rows
-    and joined to them by a row number that was stored with them. Texts without
-    tokens are one empty piece, repeated rows are packed as often as they occur, an
-    empty table gives an empty result and other columns are ignored.
+    ``cut`` has doc_id, piece, start, n_tokens and ids, as ``bpe.id_pieces`` makes
+    them. They are written once, so texts are encoded once; the order within a
+    bucket is found from narrow rows and joined back by a row number that was
+    stored with them. Repeated rows are packed as often as they occur, an empty
+    table gives an empty result.
     """
-    cut = token_pieces(docs, ids, context).withColumn("_row", F.monotonically_increasing_id())
-    cut = written(cut, "pieces")
+    cut = written(cut.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     plan = optimal_bounds(length_histogram(cut), buckets)
     bounds = plan.bounds or [0]
-    bucket = _bucket(bounds)
-    narrow = cut.select("_row", "doc_id", "piece", "n_tokens").withColumn("bucket", bucket)
+    narrow = cut.select("_row", "doc_id", "piece", "n_tokens").withColumn("bucket", _bucket(bounds))
     slots = gapless(narrow, ["bucket"], ["doc_id", "piece", "_row"], slice_rows)
     placed = _in_batches(slots, bounds, batch_tokens).select(F.col("_row").alias("_slot_row"), "bucket", "bound", "batch", "place")
-    joined = cut.join(placed, F.col("_row") == F.col("_slot_row"))
+    # few places are broadcast, so that the ids stay where they are; more are joined by shuffle
+    few = cut.count() <= BROADCAST_PIECES
+    joined = cut.join(F.broadcast(placed) if few else placed, F.col("_row") == F.col("_slot_row"))
     return joined.select("doc_id", "piece", "start", "n_tokens", "bucket", "bound", "batch", "place", "ids")

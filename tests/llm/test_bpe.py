@@ -72,3 +72,45 @@ def test_partial_ids_and_empty_table(spark):
     assert back == [bpe.encoding().decode_bytes(ids[:1]), b"", b""]
     none = documents(spark).limit(0).select(bpe.encode(F.col("text")).alias("ids"))
     assert none.collect() == []
+
+
+def test_pieces_of_ids(spark, monkeypatch):
+    """Pieces of a text in order are its ids, whatever the size of batches."""
+    from cases import clashing, documents
+
+    from aisflow.llm import bpe
+
+    docs = clashing(documents(spark))
+    whole = sorted((r.doc_id or 0, tuple(r.ids)) for r in docs.select("doc_id", bpe.encode(docs.text).alias("ids")).collect())
+    for size, batch in ((7, 1), (7, 1 << 20), (100_000, 500)):
+        monkeypatch.setattr(bpe, "BATCH_IDS", batch)
+        rows = bpe.id_pieces(docs, size).collect()
+        assert all(r.n_tokens == len(r.ids) <= size and r.start == r.piece * size for r in rows)
+        single = [r for r in rows if r.doc_id != 7]
+        found = {}
+        for r in sorted(single, key=lambda r: (r.doc_id or 0, r.piece)):
+            found.setdefault(r.doc_id or 0, []).extend(r.ids)
+        assert sorted((d, tuple(ids)) for d, ids in found.items()) == [w for w in whole if w[0] != 7]
+        assert sum(r.n_tokens for r in rows if r.doc_id == 7) == sum(len(ids) for d, ids in whole if d == 7)
+
+
+def test_long_texts_of_other_scripts_are_cut():
+    """Two million characters of words in Chinese, Cyrillic and Arabic letters: no call gets more than a chunk or so."""
+    from aisflow.llm import bpe
+
+    coder = bpe.encoding()
+    for word in ("漢字 ", "слово ", "كلمة\n", "é😀 "):
+        text = word * (2_000_000 // len(word))
+        parts = list(bpe.chunks(text))
+        assert "".join(parts) == text and max(map(len, parts)) <= bpe.CHUNK_CHARS + len(word)
+        short = word * 1000
+        cut = [i for part in bpe.chunks(short, 50) for i in coder.encode_ordinary(part)]
+        assert cut == coder.encode_ordinary(short)
+
+
+def test_the_library_has_what_is_used_of_it():
+    """Runs of white space rely on a method that the library does not document."""
+    from aisflow.llm import bpe
+
+    coder = bpe.encoding()
+    assert coder._encode_single_piece("   ") == coder.encode_ordinary("   ")

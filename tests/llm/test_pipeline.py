@@ -70,6 +70,12 @@ def test_pieces_decode_to_the_masked_texts(stages):
     assert {d: coder.decode_bytes(ids).decode() for d, ids in found.items()} == texts
 
 
+def test_places_are_joined_or_broadcast(spark, stages, monkeypatch):
+    monkeypatch.setattr(packing, "BROADCAST_PIECES", 0)
+    cut = bpe.id_pieces(stages[4], packing.CONTEXT)
+    assert rows_of(packing.pack_pieces(cut)) == rows_of(stages[5])
+
+
 def test_batches_keep_to_their_budget(stages):
     rows = stages[5].collect()
     places = {(r.bucket, r.batch, r.place) for r in rows}
