@@ -9,7 +9,6 @@ table gives an empty one, and further columns go along unread.
 """
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from aisflow.llm import bpe, near_dups, packing, quality_model, quality_rules, secret_scan
 from aisflow.storage import job, scratch_path, written
@@ -44,7 +43,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as byte-level BPE ids, cut at the context length; each piece gets its bucket,
     batch and place. The ids of a document's pieces in order decode to its masked text; a null or
     empty text is one piece without ids."""
-    return packing.pack_tokens(docs, bpe.encode(F.col("text")))
+    return packing.pack_pieces(bpe.id_pieces(docs, packing.CONTEXT))
 
 
 STAGES = [
