@@ -99,3 +99,82 @@ def test_a_repeated_id_counts_once(spark):
     known = {r.doc_id for r in docs.where(~quality_model.held_out(docs.doc_id)).collect()}
     assert len(everything) == len(known) < len(rows)
     assert sorted(quality_model.sample(docs.repartition(7), labels, 30).collect()) == first
+
+
+def plain_score(text, model):
+    """Average of the vectors of all words, n-grams and repeated words, one at a time, and a softmax of both classes."""
+    import math
+
+    data = text.encode()
+    vectors, start, before = [], 0, None
+    tables = quality_model._TABLES.tolist()
+    for k in range(len(data) + 1):
+        if k < len(data) and data[k] not in b"\t\n\v\f\r ":
+            continue
+        word = data[start:k]
+        start = k + 1
+        if not word:
+            continue
+        whole = 0
+        for place, letter in enumerate(word):
+            whole ^= tables[8 + (place & 15)][letter]
+        found = [whole]
+        for at in range(len(word) - 2):
+            three = tables[0][word[at]] ^ tables[1][word[at + 1]] ^ tables[2][word[at + 2]]
+            found.append(three)
+            if at + 5 <= len(word):
+                found.append(three ^ tables[3][word[at + 3]] ^ tables[4][word[at + 4]] ^ 0x9E3779B9)
+        found += [int(quality_model._AGAIN)] * (word == before)
+        before = word
+        vectors += [model.vectors[h % quality_model.BUCKETS] for h in found]
+    mean = sum(vectors) / len(vectors) if vectors else np.zeros(quality_model.WIDTH)
+    logits = [float(model.weights[c] @ mean + model.bias[c]) for c in (0, 1)]
+    return math.exp(logits[1]) / (math.exp(logits[0]) + math.exp(logits[1]))
+
+
+def test_score_is_the_average_of_vectors_and_a_softmax(spark):
+    from cases import TEXTS
+
+    random = np.random.default_rng(3)
+    shape = (quality_model.BUCKETS, quality_model.WIDTH)
+    model = quality_model.Model(random.normal(0, 3, shape), random.normal(0, 1, (2, quality_model.WIDTH)), random.normal(0, 1, 2))
+    texts = [*TEXTS, "same same same", "a bb ccc dddd eeeee ffffff", "x" * 40]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string")
+    found = {r.k: r.s for r in frame.select("k", quality_model.score(frame.text, model).alias("s")).collect()}
+    for k, text in enumerate(texts):
+        assert abs(found[k] - plain_score(text or "", model)) < 1e-5
+
+
+def test_one_step_follows_the_numerical_gradient(monkeypatch):
+    """A single step of ``fit`` on one batch moves every weight against the slope of the mean log loss."""
+    monkeypatch.setattr(quality_model, "BUCKETS", 64)
+    texts, classes = [b"good words here", b"bad things there", b"good again"], np.array([1, 0, 1])
+    moved = quality_model.fit(texts, classes, steps=len(texts) / quality_model.BATCH)
+    random = np.random.default_rng(1)
+    start = quality_model.Model(random.uniform(-0.1, 0.1, (64, quality_model.WIDTH)), np.zeros((2, quality_model.WIDTH)), np.zeros(2))
+
+    def means(model):
+        out = []
+        for text in texts:
+            data = np.frombuffer(text, np.uint8)
+            out.append(model.vectors[quality_model.features(data, np.array([0, len(data)])).buckets.astype(int)].mean(axis=0))
+        return np.stack(out)
+
+    def loss(model):
+        logits = means(model) @ model.weights.T + model.bias
+        chance = np.exp(logits) / np.exp(logits).sum(axis=1, keepdims=True)
+        return -np.log(chance[np.arange(len(texts)), classes]).sum()
+
+    rate = quality_model.RATE / quality_model.BATCH
+    for name in ("weights", "bias"):
+        values = getattr(start, name)
+        for at in np.ndindex(values.shape):
+            held = values[at]
+            values[at] = held + 1e-5
+            up = loss(start)
+            values[at] = held - 1e-5
+            slope = (up - loss(start)) / 2e-5
+            values[at] = held
+            assert abs((getattr(moved, name)[at] - held) + rate * slope) < 1e-6
+    # with weights of zero the vectors have no slope yet
+    assert np.allclose(moved.vectors, start.vectors)
