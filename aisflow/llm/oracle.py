@@ -4,7 +4,7 @@ Missing are the trained classifier, the BPE encoding and the pipeline that holds
 the former: these are tested against plain versions of themselves.
 """
 
-from aisflow.llm import fingerprints, packing, queries, secret_scan, sharding
+from aisflow.llm import fingerprints, packing, quality_rules, queries, secret_scan, sharding
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -84,9 +84,9 @@ _URLS = f"""WITH rests AS (SELECT page_id, CASE WHEN contains(url, '://') THEN s
         FROM split s LEFT JOIN rules r ON (s.host = r.host OR ends_with(s.host, '.' || r.host)) AND starts_with(s.path, r.path))
     SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE place = 1"""
 
-_WARC = """WITH told AS (SELECT page_id, strlen(coalesce(html, '')) AS bytes, sha256(coalesce(html, '')) AS digest FROM pages),
+_WARC = """WITH told AS (SELECT page_id, replace(replace(replace(url, chr(13), '%0D'), chr(10), '%0A'), ' ', '%20') AS request_uri, strlen(coalesce(html, '')) AS bytes, sha256(coalesce(html, '')) AS digest FROM pages),
     firsts AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM told)
-    SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+    SELECT page_id, request_uri, bytes AS payload_bytes, digest AS payload_digest,
         CASE WHEN bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
         CASE WHEN bytes >= 100 AND page_id <> first THEN first END AS refers_to FROM firsts"""
 
@@ -103,7 +103,9 @@ _QUALITY = rf"""WITH {_TEXTS}, split AS (SELECT doc_id, text, regexp_extract_all
     marked AS (SELECT *, cast(n_words < 50 AS bigint) + 2 * cast(100 * n_repeat_words > 50 * n_words AS bigint)
         + 4 * cast(10 * n_symbols > 3 * n_words AS bigint) + 8 * cast(2 * n_dup_lines > n_lines AS bigint)
         + 16 * cast(word_chars < 2 * n_words OR word_chars > 15 * n_words AS bigint) + 32 * cast(2 * n_upper > word_chars AS bigint) AS failed FROM base)
-    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM marked"""
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed, failed & 3 <> 0 AS base_failed, failed = 0 AS kept,
+        CASE failed {" ".join(f"WHEN {1 << r.bit} THEN '{r.name}'" for r in quality_rules.RULES)} END AS only_rule,
+        CASE WHEN failed <> 0 AND failed & (failed - 1) = 0 THEN count(*) OVER (PARTITION BY failed) END AS only_rule_docs FROM marked"""
 
 
 def _secrets() -> str:
@@ -153,6 +155,17 @@ def _rooted(body: str, text: str) -> str:
     return f"sha256({hashes} || ',' || sha256({text})) || '|' || {body}"
 
 
+def _changed(old: str, new: str) -> str:
+    """Places of the sections of one body that the other does not have, joined by commas."""
+
+    def hashes(body: str) -> str:
+        section = "md5(array_to_string(list_transform(string_split(s, ','), lambda p: md5(p)), ','))"
+        return f"list_transform(string_split({body}, ';'), lambda s: {section})"
+
+    places = f"list_filter(range(len({hashes(new)})), lambda i: NOT list_contains({hashes(old)}, ({hashes(new)})[i + 1]))"
+    return f"coalesce(array_to_string({places}, ','), '')"
+
+
 def _likeness(a: str, b: str) -> str:
     def leaves(of: str) -> str:
         return f"list_filter(list_distinct(string_split_regex({of}, '[.,;]')), lambda x: x <> '')"
@@ -169,7 +182,8 @@ _PRINTS = f"""WITH {_TEXTS},
     SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, {_rooted('b', 'text')} AS fingerprint,
         {_rooted('eb', 'edited')} AS edited_fingerprint,
         CASE WHEN text = edited THEN 1e0 ELSE {_likeness('b', 'eb')} END AS near_edited,
-        CASE WHEN text = after THEN 1e0 ELSE {_likeness('b', 'ab')} END AS near_next FROM bodies"""
+        CASE WHEN text = after THEN 1e0 ELSE {_likeness('b', 'ab')} END AS near_next,
+        CASE WHEN text = edited THEN '' ELSE {_changed('b', 'eb')} END AS changed_sections FROM bodies"""
 
 
 

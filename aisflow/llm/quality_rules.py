@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aisflow.llm.columns import let, text_or_empty, words_of
+from aisflow.storage import written
 
 #: Fixed value: the characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -54,7 +55,8 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     Words are runs of other than space and the controls 9 to 13. n_dup_lines
     counts lines with a word that equal an earlier line; n_lines all lines with
     a word; n_upper the letters that lower-casing changes. A null text measures
-    as an empty one: all zero. Rows are independent, so repeated doc_ids stay.
+    as an empty one: all zero. Rows are independent, so repeated doc_ids stay. An
+    empty table gives an empty result, other columns are ignored.
     """
     body = text_or_empty(text)
     split = docs.select("doc_id", body.alias("_text"), words_of(body).alias("_words"))
@@ -113,7 +115,8 @@ PRODUCTION = Policy("production", 1, tuple(rule.name for rule in RULES))
 
 
 def ledger(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES) -> DataFrame:
-    """``measure`` and ``failed``: a long with a bit for every rule the text fails."""
+    """``measure`` and ``failed``: a long with a bit for every rule the text fails. A null or empty
+    text fails what few words fail; an empty table gives an empty ledger."""
     if len({rule.bit for rule in rules}) < len(rules) or any(not 0 <= rule.bit < 63 for rule in rules):
         raise ValueError("rules need bits of their own, from 0 to 62")
     failed = F.lit(0).cast("long")
@@ -122,6 +125,25 @@ def ledger(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES) -> Da
     return measure(docs, text).withColumn("failed", failed)
 
 
+def stored(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES) -> DataFrame:
+    """The ledger as a table in the shared folder: texts are read once, whatever is asked of the bits afterwards."""
+    return written(ledger(docs, text, rules), "rule-ledger")
+
+
+def verdicts(marks: DataFrame, base: Policy = BASE, policy: Policy = PRODUCTION, rules: list[Rule] = RULES) -> DataFrame:
+    """Ledger rows with base_failed, kept, and what an ablation says of them: only_rule, the one rule
+    of the policy that a row fails, null where it fails none or several, and only_rule_docs, how many
+    rows would be kept without that rule. Read from the bits; the ablation is one row a rule."""
+    failed = F.col("failed").bitwiseAND(F.lit(policy.mask(rules)).cast("long"))
+    only = F.lit(None).cast("string")
+    for rule in rules:
+        if rule.name in policy.rules:
+            only = F.when(failed == 1 << rule.bit, F.lit(rule.name)).otherwise(only)
+    told = marks.withColumns({"base_failed": fails(base, rules), "kept": ~fails(base, rules) & ~fails(policy, rules), "only_rule": only})
+    without = ablations(marks, policy, rules).select(F.col("rule").alias("_rule"), F.col("n_only").alias("only_rule_docs"))
+    return told.join(F.broadcast(without), F.col("only_rule") == F.col("_rule"), "left").drop("_rule")
+
+
 def fails(policy: Policy, rules: list[Rule] = RULES) -> Column:
     """Whether a ledger row fails a policy."""
     return F.col("failed").bitwiseAND(F.lit(policy.mask(rules)).cast("long")) != 0

@@ -20,7 +20,7 @@ from aisflow.llm import (
     url_filters,
     warc,
 )
-from aisflow.storage import scratch_path
+from aisflow.storage import scratch_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,7 +66,7 @@ def op3_url_sweep(spark, folder):
 def op4_warc_captures(spark, folder):
     archive = scratch_path(spark, "warc")
     warc.write(_table(spark, folder, "pages"), archive)
-    records = warc.read(spark, archive)
+    records = written(warc.read(spark, archive, payloads=False), "records")
     captures = warc.page_ids(warc.assemble(records), records)
     return captures.select(
         "page_id",
@@ -74,6 +74,7 @@ def op4_warc_captures(spark, folder):
         F.col("response.digest").alias("payload_digest"),
         F.col("response.type").alias("record_type"),
         "refers_to",
+        F.col("request.uri").alias("request_uri"),
     )
 
 
@@ -86,11 +87,9 @@ def op5_subword_quality(spark, folder):
 
 @registered
 def op6_rule_ledger(spark, folder):
-    marks = quality_rules.ledger(_table(spark, folder, "documents"))
-    base_failed = quality_rules.fails(quality_rules.BASE)
-    kept = ~base_failed & ~quality_rules.fails(quality_rules.PRODUCTION)
+    marks = quality_rules.stored(_table(spark, folder, "documents"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return marks.select("doc_id", *counts, "failed", base_failed.alias("base_failed"), kept.alias("kept"))
+    return quality_rules.verdicts(marks).select("doc_id", *counts, "failed", "base_failed", "kept", "only_rule", "only_rule_docs")
 
 
 @registered
@@ -132,7 +131,9 @@ def op9_chosen_path(spark, folder):
 
 @registered
 def op10_merkle_prints(spark, folder):
-    return fingerprints.compare_with_edits(_table(spark, folder, "documents"))
+    found = fingerprints.compare_with_edits(_table(spark, folder, "documents"))
+    places = fingerprints.changed_sections(F.col("fingerprint"), F.col("edited_fingerprint"))
+    return found.withColumn("changed_sections", F.array_join(places.cast("array<string>"), ","))
 
 
 @registered

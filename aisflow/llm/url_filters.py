@@ -12,18 +12,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aisflow.llm.columns import position_in
 from aisflow.storage import written
 
-#: Urls of a slice, about, and sampled keys for each slice.
+#: Urls and rules of a slice, about.
 SLICE_ROWS = 25_000
-SAMPLES = 40
 DEFAULT_VERDICT = "allow"
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: After every key that starts with a given one.
-_LAST = "\U0010ffff"
-
 JUDGED = "page_id long, host string, path string, rule string, verdict string"
 
 
@@ -41,22 +36,6 @@ def reversed_key(host: Column) -> Column:
     return F.when(host == "", F.lit("")).otherwise(F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "."), F.lit(".")))
 
 
-def _place(key: Column, path: Column, page_id: Column) -> Column:
-    """Text in whose order urls are cut into slices; path and id cut up busy hosts, too."""
-    return F.concat(key, F.lit("\t"), path, F.lit("\t"), F.coalesce(page_id.cast("string"), F.lit("")))
-
-
-def _cut_points(urls: DataFrame, slice_rows: int) -> list[str]:
-    """Borders of slices, from SAMPLES places of each: what range partitioning samples, too."""
-    rows = urls.count()
-    slices = max(1, -(-rows // slice_rows))
-    if slices == 1:
-        return []
-    sample = urls.select("place", F.xxhash64("place").alias("h")).orderBy("h", "place").limit(slices * SAMPLES)
-    places = sorted(row["place"] for row in sample.collect())
-    return sorted({places[k] for k in range(SAMPLES, len(places), SAMPLES)})
-
-
 class Host:
     """The rules of one host by path, with the lengths that their paths have."""
 
@@ -102,18 +81,20 @@ def _sweep(default: str):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stack, current = Stack(), None
         for batch in rows:
-            ids, hosts, paths, rules, verdicts = [], [], [], [], []
-            for slice_, key, kind, page_id, host, path, rule, verdict in zip(*(c.to_pylist() for c in batch.columns)):
+            ids, hosts, paths, rules, verdicts, times = [], [], [], [], [], []
+            names = ("slice", "key", "kind", "page_id", "host", "path", "rule", "verdict", "copies")
+            for slice_, key, kind, page_id, host, path, rule, verdict, copies in zip(*(batch.column(n).to_pylist() for n in names)):
                 if slice_ != current:
                     stack, current = Stack(), slice_
                 if kind == 0:
                     stack.push(key, path, rule, verdict)
                     continue
                 rule, verdict = stack.longest(key, path) if key else (None, None)
-                for out, value in zip((ids, hosts, paths, rules, verdicts), (page_id, host, path, rule, verdict or default)):
+                found = (page_id, host, path, rule, verdict or default, copies)
+                for out, value in zip((ids, hosts, paths, rules, verdicts, times), found):
                     out.append(value)
-            columns = [pa.array(ids, pa.int64()), *(pa.array(c, pa.string()) for c in (hosts, paths, rules, verdicts))]
-            yield pa.RecordBatch.from_arrays(columns, ["page_id", "host", "path", "rule", "verdict"])
+            columns = [pa.array(ids, pa.int64()), *(pa.array(c, pa.string()) for c in (hosts, paths, rules, verdicts)), pa.array(times, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["page_id", "host", "path", "rule", "verdict", "copies"])
 
     return run
 
@@ -128,32 +109,38 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDICT, sl
     or empty host are left out, a null path counts as empty. Repeated rows stay,
     other columns are ignored, an empty table gives an empty result.
 
-    Slices are cut by sampled keys, also within a host. A rule is copied to
-    every slice its interval touches: besides one copy each, nesting depth times
-    the number of slices at most.
+    Equal rows are one until the end. Urls and rules are put in order of their
+    keys together by Spark's range partitioning, which cuts busy hosts, too; the
+    cut is stored. A slice also needs the rules that begin before it and are
+    still open at its first key: their hosts are that key's own prefixes, so
+    these are looked up by an equality join, as many as the key has labels.
     """
     host, path = host_and_path(F.col("url"))
     split = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
-    keyed = split.withColumn("key", reversed_key(F.col("host")))
-    urls = written(keyed.withColumn("place", _place(F.col("key"), F.col("path"), F.col("page_id"))), "urls")
-    points = _cut_points(urls, slice_rows)
-    sliced = urls.select(
-        position_in(F.col("place"), points).alias("slice"),
-        "key", F.lit(1).alias("kind"), "page_id", "host", "path",
-        F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"),
-    )
+    none = F.lit(None).cast("string")
+    urls = split.groupBy("page_id", "host", "path").agg(F.count(F.lit(1)).alias("copies")).select(
+        reversed_key(F.col("host")).alias("key"), F.lit(1).alias("kind"), "page_id", "host", "path", none.alias("rule"), none.alias("verdict"), "copies"
+    )
     usable = rules.where("host IS NOT NULL AND host != ''").select(
         F.translate("host", _UPPER, _LOWER).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict"
     )
-    usable = usable.withColumn("key", reversed_key(F.col("host")))
-    touched = F.sequence(position_in(F.col("key"), points), position_in(F.concat("key", F.lit(_LAST)), points))
-    copies = usable.select(
-        F.explode(touched).alias("slice"),
-        "key", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("page_id"), "host", "path",
-        F.concat("host", "path").alias("rule"), "verdict",
-    )
-    together = sliced.unionByName(copies).repartition("slice").sortWithinPartitions("slice", "key", "kind")
-    return together.mapInArrow(_sweep(default), JUDGED)
+    named = written(usable.select(
+        reversed_key(F.col("host")).alias("key"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("page_id"), "host", "path",
+        F.concat("host", "path").alias("rule"), "verdict", F.lit(0).cast("long").alias("copies"),
+    ).distinct(), "rules")
+    rows = written(urls.unionByName(named), "urls")
+    slices = max(1, -(-rows.count() // slice_rows))
+    ranged = rows.repartitionByRange(slices, "key", "kind", "path", "page_id").withColumn("slice", F.spark_partition_id())
+    cut = written(ranged, "url-slices")
+    firsts = cut.groupBy("slice").agg(F.min("key").alias("_key"))
+    labels = F.split("_key", r"\.")
+    prefixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.concat(F.array_join(F.slice(labels, 1, n), "."), F.lit(".")))
+    opened = firsts.select("slice", F.explode(F.array_distinct(F.concat(prefixes, F.array("_key")))).alias("_open"))
+    carried = opened.join(named, F.col("_open") == F.col("key")).drop("_open")
+    together = cut.unionByName(carried.select(*cut.columns)).repartition("slice").sortWithinPartitions("slice", "key", "kind")
+    judged = together.mapInArrow(_sweep(default), f"{JUDGED}, copies long")
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return judged.withColumn("_copy", copies).drop("_copy", "copies")
 
 
 def parse_rules(lines: list[tuple[str, str]]) -> list[tuple[str, str, str]]:

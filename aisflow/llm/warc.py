@@ -6,14 +6,18 @@ two name the first in WARC-Concurrent-To. Reading frames records by their
 lengths and joins them through these identifiers into one nested row a capture.
 """
 
+import hashlib
 import io
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aisflow.sources import archives
 from aisflow.storage import written
 
 # Names of the format.
@@ -31,7 +35,7 @@ BATCH_BYTES = 8 << 20
 
 RECORDS = (
     "type string, record_id string, concurrent_to string, refers_to string, uri string, date string, "
-    "digest string, http_length long, fields map<string,string>, payload binary"
+    "digest string, http_length long, fields map<string,string>, bytes long, sha256 string, payload binary"
 )
 
 
@@ -143,78 +147,112 @@ def _headers(stream: io.BufferedIOBase) -> dict[str, str]:
 
 
 class _Unzipped(io.RawIOBase):
-    """Reads gzip members one after the other, a part at a time; plain bytes as they are."""
+    """Reads gzip members one after the other, a part at a time; plain bytes as they are. The source
+    is bytes or a file."""
 
-    def __init__(self, data: bytes) -> None:
-        self.data, self.at, self.zipped = memoryview(data), 0, data[:2] == b"\x1f\x8b"
+    def __init__(self, source) -> None:
+        self.source = io.BytesIO(source) if isinstance(source, bytes) else source
+        self.held = self.source.read(1 << 16)
+        self.zipped = self.held[:2] == b"\x1f\x8b"
         self.unzip = zlib.decompressobj(31)
 
     def readable(self) -> bool:
         return True
 
+    def _more(self) -> bytes:
+        found, self.held = self.held or self.source.read(1 << 16), b""
+        return found
+
     def readinto(self, out) -> int:
         if not self.zipped:
-            part = self.data[self.at : self.at + len(out)]
-            self.at += len(part)
+            part = self._more()
+            part, self.held = part[: len(out)], part[len(out) :]
             out[: len(part)] = part
             return len(part)
         while True:
             if self.unzip.eof:
-                left = self.unzip.unused_data
-                self.at -= len(left)
-                if self.at >= len(self.data):
+                self.held = self.unzip.unused_data or self.source.read(1 << 16)
+                if not self.held:
                     return 0
                 self.unzip = zlib.decompressobj(31)
-            fresh = b"" if self.unzip.unconsumed_tail else self.data[self.at : self.at + (1 << 16)]
-            self.at += len(fresh)
-            part = self.unzip.decompress(self.unzip.unconsumed_tail or fresh, len(out))
+            fresh = self.unzip.unconsumed_tail or self._more()
+            part = self.unzip.decompress(fresh, len(out))
             if part:
                 out[: len(part)] = part
                 return len(part)
-            if not len(fresh) and not self.unzip.unconsumed_tail and not self.unzip.eof:
-                if self.at >= len(self.data):
-                    raise ValueError("the archive ends within a gzip member")
+            if not fresh and not self.unzip.eof:
+                raise ValueError("the archive ends within a gzip member")
 
 
-def _row(headers: dict[str, str], block: bytes) -> tuple:
-    kind, payload, http_length, fields = headers.get("warc-type"), None, None, None
+def _row(headers: dict[str, str], block: bytes, payloads: bool) -> tuple:
+    kind, payload, http_length, fields, size, sha256 = headers.get("warc-type"), None, None, None, None, None
     if kind in ("response", "revisit") and headers.get("content-type", "").startswith("application/http"):
         head, _, payload = block.partition(b"\r\n\r\n")
         http = _headers(io.BytesIO(head.partition(b"\r\n")[2] + b"\r\n\r\n"))
         http_length = int(http["content-length"]) if http.get("content-length", "").isdigit() else None
         payload = None if kind == "revisit" else payload
+        if payload is not None:
+            size, sha256 = len(payload), hashlib.sha256(payload).hexdigest()
     elif kind == "metadata":
         fields = list(_headers(io.BytesIO(block + b"\r\n")).items())
     digest = headers.get("warc-payload-digest")
     names = ("warc-record-id", "warc-concurrent-to", "warc-refers-to", "warc-target-uri", "warc-date")
-    return (kind, *(headers.get(n) for n in names), digest, http_length, fields, payload)
+    return (kind, *(headers.get(n) for n in names), digest, http_length, fields, size, sha256, payload if payloads else None)
+
 
+@contextmanager
+def _opened(path: str, content: bytes | None) -> Iterator[io.BufferedReader]:
+    """An archive as a stream of plain bytes, from its content or from its file system."""
+    if content is not None:
+        yield io.BufferedReader(_Unzipped(content), 1 << 16)
+        return
+    system, place = fs.FileSystem.from_uri(path)
+    with system.open_input_file(place) as stream:
+        yield io.BufferedReader(_Unzipped(stream), 1 << 16)
 
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _records(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[pa.RecordBatch]:
     names = [part.strip().split(" ")[0] for part in RECORDS.replace("map<string,string>", "map").split(",")]
-    kinds = [pa.string()] * 7 + [pa.int64(), pa.map_(pa.string(), pa.string()), pa.binary()]
+    kinds = [pa.string()] * 7 + [pa.int64(), pa.map_(pa.string(), pa.string()), pa.int64(), pa.string(), pa.binary()]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     for batch in batches:
-        for content in batch.column(0):
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
             rows, held = [], 0
-            for headers, block in parse(io.BufferedReader(_Unzipped(content.as_buffer().to_pybytes()), 1 << 16)):
-                rows.append(_row(headers, block))
-                held += len(block) + 1000
-                if held > BATCH_BYTES:
-                    yield batch_of(rows)
-                    rows, held = [], 0
+            with _opened(path, content.as_buffer().to_pybytes() if content.is_valid else None) as stream:
+                for headers, block in parse(stream):
+                    rows.append(_row(headers, block, payloads))
+                    held += (len(block) if payloads else 0) + 1000
+                    if held > BATCH_BYTES:
+                        yield batch_of(rows)
+                        rows, held = [], 0
             if rows:
                 yield batch_of(rows)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """RECORDS of all archives below ``path``, gzip or plain, each smaller than 2 GB; a
-    broken one is an error. Request blocks and other types' blocks are not returned."""
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(_records, RECORDS)
+def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """RECORDS of all archives below ``path``, gzip or plain; a broken one is an error, an empty folder
+    has none. ``bytes`` and ``sha256`` are of a response's payload as read, and are there without
+    ``payloads`` as well. Request blocks and other types' blocks are not returned.
+
+    Archives on a file system that tasks can open are streamed, whatever their
+    size; others are taken in whole and must be smaller than 2 GB.
+    """
+    found = spark.read.format("binaryFile").load(path)
+    listed = [row["path"] for row in found.select("path").collect()]
+    if listed and all(archives.can_stream(p) for p in listed):
+        # one archive a partition, by a list of paths, which holds one for FILE_CAPTURES pages
+        files = spark.createDataFrame([(p,) for p in sorted(listed)], "path string").repartition(len(listed), "path")
+        files = files.withColumn("content", F.lit(None).cast("binary"))
+    else:
+        files = found.select("path", "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _records(batches, payloads)
+
+    return files.mapInArrow(run, RECORDS)
 
 
 def assemble(records: DataFrame) -> DataFrame:
@@ -228,8 +266,8 @@ def assemble(records: DataFrame) -> DataFrame:
     those it states. Records concurrent to nothing that is there are left out.
     """
     full = F.col("type") == "response"
-    digest = F.when(full, F.sha2("payload", 256)).otherwise(F.regexp_replace("digest", "^sha256:", ""))
-    size = F.when(full, F.octet_length("payload").cast("long")).otherwise(F.col("http_length"))
+    digest = F.when(full, F.col("sha256")).otherwise(F.regexp_replace("digest", "^sha256:", ""))
+    size = F.when(full, F.col("bytes")).otherwise(F.col("http_length"))
     main = records.where(F.col("type").isin("response", "revisit")).select(
         "record_id", "uri", "date",
         F.struct("type", digest.alias("digest"), size.alias("bytes"), "payload", "refers_to").alias("response"),

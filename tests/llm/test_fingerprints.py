@@ -63,3 +63,30 @@ def test_equal_texts_only(spark):
     prints = [r.p for r in frame.select(f.fingerprint_of(F.col("t")).alias("p")).collect()]
     assert len(set(prints)) == 4 and prints[0] == prints[4]
     assert TEXTS[0] is None
+
+
+def test_repeated_ids_and_texts_are_spread(spark):
+    """An id with many texts, the missing id with many, and one row very often: the ring is the plain one, and no slice is long."""
+    rows = [(5, f"text {k} of the id") for k in range(120)] + [(None, f"no id {k}") for k in range(60)] + [(7, "often")] * 150 + [(None, "often")] * 70
+    rows += [(k, f"single {k}") for k in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    order = sorted((-d if d is not None else 10**30, md5(t), t, d) for d, t in rows)
+    expected = sorted(((d, t, order[(k + 1) % len(order)][2]) for k, (_, _, t, d) in enumerate(order)), key=repr)
+    for slice_rows in (1000, 10, 3):
+        assert rows_of(f.with_next(frame, slice_rows)) == expected
+
+
+def test_slices_are_bounded_in_number(spark, monkeypatch):
+    monkeypatch.setattr(f, "MOST_SLICES", 4)
+    keys = spark.range(1000).selectExpr("id AS doc_id", "md5(cast(id AS string)) AS _m")
+    points, busy, pairs = f._cut(keys, 1)
+    assert len(points) <= 4 and busy == pairs == []
+
+
+def test_a_comparison_goes_down_into_differing_sections(spark):
+    """Equal to the share over flat sets of leaves, for all pairs of texts."""
+    texts = [t or "" for t in TEXTS] + ["\n".join(f"Line {k % m} has words. And more of them {k}." for k in range(40)) for m in (3, 7, 40)]
+    frame = spark.createDataFrame([(a, b) for a in texts for b in texts], "a string, b string")
+    rows = frame.select("a", "b", f.likeness(f.fingerprint_of(F.col("a")), f.fingerprint_of(F.col("b"))).alias("x")).collect()
+    prints = {t: brute(t) for t in texts}
+    assert all(r.x == near(prints[r.a], prints[r.b]) for r in rows)

@@ -73,3 +73,19 @@ def test_given_pages(spark):
     expected = {r.page_id: brute(r.page_id, r.url)[3:] for r in rows}
     RULES = saved
     assert got == expected and len(got) == len(rows)
+
+
+def test_many_nested_rules_and_very_long_urls(spark):
+    """Rules that are open over many slices, labels that begin alike, and urls of a million characters."""
+    labels = ["a", "b", "ab", "a-b", "a.b"]
+    lines = [("block", f"{x}.{y}/p") for x in labels for y in labels] + [("allow", f"{x}/p/q") for x in labels] + [("block", "z.a.b/")]
+    urls = [f"http://{w}.{x}.{y}/p{tail}" for w in ("", "www", "z") for x in labels for y in labels for tail in ("", "/q", "q")]
+    urls += ["http://z.a.b/" + "x" * 1_000_000, "http://" + "q" * 1_000_000 + ".a.b/p"]
+    frame = pages(spark, urls)
+    table = spark.createDataFrame(url_filters.parse_rules(lines), url_filters.RULE_SCHEMA)
+    global RULES
+    saved, RULES = RULES, lines
+    expected = sorted((brute(k, u) for k, u in enumerate(urls)), key=repr)
+    RULES = saved
+    for slice_rows in (1000, 4, 1):
+        assert rows_of(url_filters.judge(frame, table, slice_rows=slice_rows)) == expected

@@ -113,4 +113,24 @@ def test_broken_archives():
 
 def test_given_pages(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "url", "html").collect()]
-    assert rows_of(queries.op4_warc_captures(spark, SMALL)) == brute(rows)
+    found = queries.op4_warc_captures(spark, SMALL)
+    assert rows_of(found.drop("request_uri")) == brute(rows)
+    uris = {page_id: url.replace(" ", "%20") for page_id, url, _ in rows}
+    assert {r.page_id: r.request_uri for r in found.collect()} == uris
+
+
+def test_archives_are_parsed_once_and_requests_are_joined(spark):
+    from conftest import plan_of
+
+    plan = plan_of(queries.op4_warc_captures(spark, SMALL))
+    assert "MapInArrow" not in plan and "request" in plan and "binaryFile" not in plan
+
+
+def test_archives_that_only_spark_can_open(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "w")
+    warc.write(frame(spark, PAGES), path, file_captures=2)
+    streamed = rows_of(warc.read(spark, path))
+    monkeypatch.setattr(warc.archives, "can_stream", lambda p: False)
+    assert rows_of(warc.read(spark, path)) == streamed
+    bare = warc.read(spark, path, payloads=False)
+    assert rows_of(bare.drop("payload")) == rows_of(warc.read(spark, path).drop("payload")) and bare.where("payload IS NOT NULL").isEmpty()
