@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from aisflow.functions import decode, geo
+from aisflow.operators import polygon
 from aisflow.operators.clean import MMSI_LENGTH
 from aisflow.storage import written
 
@@ -40,10 +41,15 @@ def row_count(table: DataFrame) -> DataFrame:
     return table.agg(F.count("*").alias("n"))
 
 
-def near_coast(pings: DataFrame) -> DataFrame:
+#: Rings of more edges are looked up by a raster index instead of one expression.
+EXPRESSION_EDGES = 64
+
+
+def near_coast(pings: DataFrame, ring=geo.COAST_RING) -> DataFrame:
     """Pings inside the coast ring. The ring's bounds come first and prune the scan."""
     lon, lat = F.col("LON"), F.col("LAT")
-    return pings.where(geo.in_box(lon, lat) & geo.in_polygon(lon, lat))
+    likely = pings.where(geo.in_box(lon, lat, ring))
+    return likely.where(geo.in_polygon(lon, lat, ring)) if len(ring) <= EXPRESSION_EDGES else polygon.inside(likely, ring)
 
 
 def repeated_mmsi(identities: DataFrame) -> DataFrame:

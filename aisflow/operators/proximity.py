@@ -30,6 +30,11 @@ BROADCAST_CELLS = 300_000
 # Beyond it the join shuffles, and cells with more pings than this are cut into parts of about as many.
 CELL_ROWS = 2_000_000
 
+# Where only the nearest port is looked for, cells with more ports than this are divided again, by so much and so often.
+CELL_PORTS = 64
+SPLIT = 4
+LEVELS = 6
+
 # Places of pings and ports on the auxiliary sphere.
 _HERE = ["_x", "_y", "_z"]
 _THERE = ["_port_x", "_port_y", "_port_z"]
@@ -47,6 +52,21 @@ class Grid:
         edge = max(radius_m / _METRES_PER_DEGREE, _SMALLEST_EDGE_DEG)
         return cls(max(1, floor(360 / edge)), max(1, floor(180 / edge)))
 
+    def finer(self, level: int) -> "Grid":
+        """Every cell in SPLIT x SPLIT cells, ``level`` times; a power of two, so cells nest to the last bit."""
+        return Grid(self.columns * SPLIT**level, self.rows * SPLIT**level)
+
+    def centre(self, cell: Column) -> tuple[Column, Column]:
+        """Longitude and latitude."""
+        column, row = cell % self.columns, F.floor(cell / self.columns)
+        return (column + 0.5) * (360 / self.columns) - 180, (row + 0.5) * (180 / self.rows) - 90
+
+    def half_diagonal_m(self, lat: Column) -> Column:
+        """No point of a cell whose centre has this latitude is farther from the centre."""
+        tall, wide = 90 / self.rows, 180 / self.columns
+        nearest_equator = F.greatest(F.abs(lat) - tall, F.lit(0.0))
+        return F.hypot(F.lit(tall * 111_700.0), wide * 111_400.0 * F.cos(F.radians(nearest_equator))) * 1.01 + 1.0
+
     def _row(self, lat: Column) -> Column:
         return F.least(F.floor((lat + 90) * self.rows / 180), F.lit(self.rows - 1))
 
@@ -88,6 +108,14 @@ def can_broadcast(ports: DataFrame, radius_m: float, bound: int = BROADCAST_CELL
     return few_enough(ports.select(F.explode(cells)), bound)
 
 
+def crowding(ports: DataFrame, radius_m: float) -> tuple[int, int]:
+    """How many pairs of port and cell there are, and how many ports the fullest cell has."""
+    cells = Grid.for_radius(radius_m).cells_within(F.col("LON"), F.col("LAT"), radius_m)
+    sizes = ports.select(F.explode(cells).alias("_cell")).groupBy("_cell").agg(F.count(F.lit(1)).alias("n"))
+    row = sizes.agg(F.sum("n"), F.max("n")).first()
+    return row[0] or 0, row[1] or 0
+
+
 def port_cells(ports: DataFrame, grid: Grid, radius_m: float, globe: geo.Globe) -> DataFrame:
     """One row per port and cell, with the port's place."""
     lon, lat = F.col("LON"), F.col("LAT")
@@ -99,11 +127,91 @@ def port_cells(ports: DataFrame, grid: Grid, radius_m: float, globe: geo.Globe)
     )
 
 
-def located(pings: DataFrame, grid: Grid, globe: geo.Globe) -> DataFrame:
-    """Pings with their cell and place: trigonometry once per ping, before the join."""
-    lon, lat = F.col("LON"), F.col("LAT")
-    places = dict(zip(_HERE, globe.place(lon, lat)))
-    return pings.withColumns({"_cell": grid.cell(lon, lat), **places})
+@dataclass(frozen=True)
+class Cells:
+    """Ports by the cells in which a ping looks for them, and how a ping finds its cell."""
+
+    ports: DataFrame
+    grid: Grid
+    globe: geo.Globe
+    #: For each level, from the coarsest, the cells that are divided again.
+    divided: tuple[DataFrame, ...] = ()
+
+    def keyed(self, pings: DataFrame) -> DataFrame:
+        """Pings with their cell: a long, which holds the level in its last digits."""
+        lon, lat = F.col("LON"), F.col("LAT")
+        if not self.divided:
+            return pings.withColumn("_cell", self.grid.cell(lon, lat))
+        found = pings.withColumn("_cell", _named_cell(self.grid.cell(lon, lat), 0))
+        for level, divided in enumerate(self.divided):
+            finer = _named_cell(self.grid.finer(level + 1).cell(lon, lat), level + 1)
+            found = found.join(F.broadcast(divided), F.col("_cell") == F.col("_divided"), "left")
+            found = found.withColumn("_cell", F.when(F.col("_divided").isNotNull(), finer).otherwise(F.col("_cell"))).drop("_divided")
+        return found
+
+    def located(self, pings: DataFrame) -> DataFrame:
+        """Pings with their cell and place: trigonometry once per ping, before the join."""
+        places = dict(zip(_HERE, self.globe.place(F.col("LON"), F.col("LAT"))))
+        return self.keyed(pings).withColumns(places)
+
+
+def _named_cell(cell: Column, level: int) -> Column:
+    return cell * (LEVELS + 1) + level
+
+
+def all_cells(ports: DataFrame, radius_m: float, globe: geo.Globe) -> Cells:
+    """Every port in every cell it may reach."""
+    grid = Grid.for_radius(radius_m)
+    return Cells(port_cells(ports, grid, radius_m, globe), grid, globe)
+
+
+def nearest_cells(ports: DataFrame, radius_m: float, globe: geo.Globe, most: int = CELL_PORTS) -> Cells:
+    """The same for the nearest port alone, with few ports in a cell wherever they lie.
+
+    A cell with more than ``most`` ports is divided, and so are its parts. A port
+    stays in a part only if it may be the nearest one somewhere in it: the part
+    lies in a circle around its centre, so a port cannot be if it is farther from
+    the circle than another port is from its far side, or than the radius.
+    """
+    if crowding(ports, radius_m)[1] <= most:
+        return all_cells(ports, radius_m, globe)
+    # of several ports at one place the smallest code is the nearest to any ping
+    single = ports.groupBy("LON", "LAT").agg(F.min("UNLOCODE").alias("UNLOCODE"))
+    whole = all_cells(single, radius_m, globe)
+    grid = whole.grid
+    entries = whole.ports.withColumn("_cell", _named_cell(F.col("_cell"), 0))
+    done, divided = [], []
+    for level in range(LEVELS):
+        entries = written(entries, "cell-ports")
+        crowded = entries.groupBy("_cell").count().where(F.col("count") > most).select(F.col("_cell").alias("_divided"))
+        crowded = written(crowded, "divided-cells")
+        if crowded.isEmpty():
+            break
+        own = F.col("_cell") == F.col("_divided")
+        done.append(entries.join(F.broadcast(crowded), own, "left_anti"))
+        divided.append(crowded)
+        entries = _divide(entries.join(F.broadcast(crowded), own, "left_semi"), grid, level, radius_m, globe)
+    for other in done:
+        entries = entries.unionByName(other)
+    return Cells(written(entries, "cell-ports"), grid, globe, tuple(divided))
+
+
+def _divide(entries: DataFrame, grid: Grid, level: int, radius_m: float, globe: geo.Globe) -> DataFrame:
+    """Ports of crowded cells in the parts of these cells."""
+    coarse, fine = grid.finer(level), grid.finer(level + 1)
+    cell = F.floor(F.col("_cell") / (LEVELS + 1))
+    row, column = F.floor(cell / coarse.columns) * SPLIT, cell % coarse.columns * SPLIT
+    parts = F.array(*[((row + i) * fine.columns + column + j) for i in range(SPLIT) for j in range(SPLIT)])
+    each = entries.withColumn("_part", F.explode(parts))
+    lon, lat = fine.centre(F.col("_part"))
+    centre = dict(zip(("_cx", "_cy", "_cz"), globe.place(lon, lat)))
+    each = each.withColumns({**centre, "_around": fine.half_diagonal_m(lat)})
+    away = globe.metres(tuple(map(F.col, centre)), tuple(map(F.col, _THERE)))
+    each = each.withColumn("_away", F.explode(F.array(away)))
+    best = F.min(F.col("_away") + F.col("_around")).over(Window.partitionBy("_part"))
+    near = F.col("_away") - F.col("_around")
+    kept = each.withColumn("_best", F.least(best, F.lit(radius_m * _SLACK))).where(near <= F.col("_best"))
+    return kept.select(_named_cell(F.col("_part"), level + 1).alias("_cell"), "UNLOCODE", *_THERE)
 
 
 def _numbered(rows: DataFrame) -> DataFrame:
@@ -123,15 +231,14 @@ def _in_parts(left: DataFrame, right: DataFrame, parts: DataFrame, keys: list[st
     return cut.join(copied, [*keys, "_part"], how).drop("_part")
 
 
-def _salted(pings: DataFrame, grid: Grid, globe: geo.Globe, cells: DataFrame, cell_rows: int) -> DataFrame:
+def _salted(pings: DataFrame, cells: Cells, cell_rows: int) -> DataFrame:
     """Joins by cell in a shuffle. A busy cell is cut into as many parts as its rows ask for, and
     its ports are copied to each; cells that are not busy stay whole. Equal pings are spread as well."""
-    cell = grid.cell(F.col("LON"), F.col("LAT")).alias("_cell")
-    sizes = pings.select(cell).groupBy("_cell").agg(F.count("*").alias("_rows")).where(F.col("_rows") > cell_rows)
+    sizes = cells.keyed(pings.select("LON", "LAT")).groupBy("_cell").agg(F.count("*").alias("_rows")).where(F.col("_rows") > cell_rows)
     parts = written(sizes.select("_cell", F.ceil(F.col("_rows") / cell_rows).alias("_parts")), "busy-cells")
     if parts.isEmpty():
-        return located(pings, grid, globe).join(cells, "_cell")
-    return _in_parts(located(_numbered(pings), grid, globe), cells, parts, ["_cell"], "inner")
+        return cells.located(pings).join(cells.ports, "_cell")
+    return _in_parts(cells.located(_numbered(pings)), cells.ports, parts, ["_cell"], "inner")
 
 
 def port_hits(
@@ -142,15 +249,18 @@ def port_hits(
     inclusive: bool = False,
     broadcast_cells: int = BROADCAST_CELLS,
     cell_rows: int = CELL_ROWS,
+    cells: Cells | None = None,
 ) -> DataFrame:
-    """Inner join: every (ping, port) pair closer than the radius, with its distance ``d`` in metres."""
-    grid = Grid.for_radius(radius_m)
-    cells = port_cells(ports, grid, radius_m, globe)
+    """Inner join: every (ping, port) pair closer than the radius, with its distance ``d`` in metres.
+
+    With ``nearest_cells`` as ``cells``, of the pairs of a ping at least that of its nearest port.
+    """
+    cells = cells or all_cells(ports, radius_m, globe)
     here, there = tuple(map(F.col, _HERE)), tuple(map(F.col, _THERE))
     if can_broadcast(ports, radius_m, broadcast_cells):
-        pairs = located(pings, grid, globe).join(F.broadcast(cells), "_cell")
+        pairs = cells.located(pings).join(F.broadcast(cells.ports), "_cell")
     else:
-        pairs = _salted(pings, grid, globe, cells, cell_rows)
+        pairs = _salted(pings, cells, cell_rows)
     chord = globe.chord(here, there)
     near = F.col("d") <= radius_m if inclusive else F.col("d") < radius_m
     # Plain arithmetic decides about most pairs within the join. The value for the others comes
@@ -211,23 +321,15 @@ def join_ports(pings: DataFrame, nearest: DataFrame, key_rows: int | None = None
     return _in_parts(_numbered(pings), named, parts, INSTANT, "left")
 
 
-def _own_port(
-    pings: DataFrame,
-    ports: DataFrame,
-    radius_m: float,
-    globe: geo.Globe,
-    inclusive: bool,
-) -> DataFrame:
+def _own_port(pings: DataFrame, cells: Cells, radius_m: float, globe: geo.Globe, inclusive: bool) -> DataFrame:
     """Adds ``port``: struct(d, UNLOCODE) of the port nearest to each single ping, or null.
 
-    Each cell carries its ports as one array, so a ping meets at most one row
-    of the broadcast side and keeps its place: no shuffle, no window, no
-    second scan of the pings. For ports that ``can_broadcast`` accepts.
+    Each cell carries its ports, CELL_PORTS or so at most, as one array, so a ping meets
+    at most one row of the broadcast side and keeps its place: no shuffle, no window, no
+    second scan of the pings. For cells that are few enough to be broadcast.
     """
-    grid = Grid.for_radius(radius_m)
     lists = (
-        port_cells(ports, grid, radius_m, globe)
-        .groupBy("_cell")
+        cells.ports.groupBy("_cell")
         .agg(F.collect_list(F.struct(*_THERE, "UNLOCODE")).alias("_ports"))
     )
     here = tuple(map(F.col, _HERE))
@@ -249,7 +351,7 @@ def _own_port(
     bound = globe.chord_bound(radius_m)
     likely = F.filter(F.transform("_ports", measured), lambda port: port["h"] <= bound)
     return (
-        located(pings, grid, globe)
+        cells.located(pings)
         .join(F.broadcast(lists), "_cell", "left")
         .select(*pings.columns, F.array_min(F.filter(F.transform(likely, reach), near)).alias("port"))
     )
@@ -264,9 +366,13 @@ def own_port(
     broadcast_cells: int = BROADCAST_CELLS,
 ) -> DataFrame | None:
     """``_own_port`` where the ports are few enough to be broadcast, else None."""
-    if not can_broadcast(ports, radius_m, broadcast_cells):
+    rows, most = crowding(ports, radius_m)
+    if rows > broadcast_cells:
+        return None
+    cells = all_cells(ports, radius_m, globe) if most <= CELL_PORTS else nearest_cells(ports, radius_m, globe)
+    if cells.divided and not few_enough(cells.ports, SPLIT * broadcast_cells):
         return None
-    return _own_port(pings, ports, radius_m, globe, inclusive)
+    return _own_port(pings, cells, radius_m, globe, inclusive)
 
 
 def shared_port(pings: DataFrame, name: str = "UNLOCODE") -> DataFrame:
@@ -309,5 +415,6 @@ def pings_with_port_by_join(
 ) -> DataFrame:
     """The same by joins, for any number of ports. ``key_rows`` is that of ``join_ports``; None
     where the caller knows that no ship has more pings than a task should."""
-    hits = port_hits(pings, ports, radius_m, globe, inclusive, broadcast_cells)
+    cells = nearest_cells(ports, radius_m, globe)
+    hits = port_hits(pings, ports, radius_m, globe, inclusive, broadcast_cells, cells=cells)
     return join_ports(pings, nearest_port(hits), key_rows).select(*pings.columns, "UNLOCODE")

@@ -5,7 +5,7 @@ slow, obvious forms that the operators must agree with.
 """
 
 from aisflow.functions.geo import COAST_RING
-from aisflow.plans import standin
+from aisflow.plans import queries, standin
 
 _IDENTITY = "MMSI, VesselName, IMO, CallSign, VesselType, Length, Width"
 _KINEMATIC = "MMSI, BaseDateTime, LAT, LON, SOG, COG, Heading, Status, Draft, Cargo, TransceiverClass"
@@ -222,7 +222,25 @@ _BODIES = {
         FROM orders EXCEPT SELECT cast(BaseDateTime AS date) FROM raw)""",
 }
 
+def _ring_edges(parts: int) -> str:
+    """The edges of polygon.refined(COAST_RING, parts), by the same arithmetic."""
+    base = ", ".join(f"({i}, {x1}e0, {y1}e0, {x2}e0, {y2}e0)" for i, ((x1, y1), (x2, y2)) in enumerate(zip(COAST_RING, COAST_RING[1:])))
+    aside = "CASE WHEN k = 0 THEN 0e0 ELSE cast(k * 37 % 101 - 50 AS double) / 5000e0 END"
+    return f"""SELECT x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM (
+        SELECT i, k, x1 + (x2 - x1) * cast(k AS double) / {parts}e0 + {aside} AS x, y1 + (y2 - y1) * cast(k AS double) / {parts}e0 - {aside} AS y
+        FROM (VALUES {base}) AS b(i, x1, y1, x2, y2), (SELECT unnest(range({parts})) AS k)
+        UNION ALL SELECT {len(COAST_RING)}, 0, {COAST_RING[-1][0]}e0, {COAST_RING[-1][1]}e0) WINDOW w AS (ORDER BY i, k)"""
+
+
+_BODIES["coast_filter_fine"] = f"""SELECT MMSI, BaseDateTime, LAT, LON FROM (
+    SELECT p.*, count(*) AS crossed FROM (SELECT *, row_number() OVER () AS r FROM positions) p JOIN ({_ring_edges(queries.RING_PARTS)}) e
+    ON (y1 > LAT) <> (y2 > LAT) AND LON < LAT * ((x2 - x1) / (y2 - y1)) + (x1 - y1 * ((x2 - x1) / (y2 - y1))) GROUP BY ALL) WHERE crossed % 2 = 1"""
+
 _STORED = {
+    "pings_with_port_crowded": (
+        "SELECT * FROM tagged",
+        {"ports": standin.harbour_sql(), "hits": _CTES["hits"].replace("abs(a.LAT - p.LAT) < 1", "abs(a.LAT - p.LAT) < 0.1 AND abs(a.LON - p.LON) < 0.1")},
+    ),
     "clean_job": (f"SELECT *, {_MONTHS} FROM motion", _OF_TIMED),
     "swapped_months": (f"SELECT *, {_MONTHS} FROM motion", _OF_TIMED),
     "clean_job_profiles": ("SELECT * FROM profiles", _OF_2024),

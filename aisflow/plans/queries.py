@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from aisflow import schemas
 from aisflow.functions import geo
-from aisflow.operators import audit, clean, motion, profile, profile_state, proximity
+from aisflow.operators import audit, clean, motion, polygon, profile, profile_state, proximity
 from aisflow.plans import aggregate_year, clean_year, ingest_days, standin
 from aisflow.sinks import catalog, tables, versions
 from aisflow.sources import days
@@ -163,6 +163,12 @@ def pings_with_port_by_join(spark, folder):
     return proximity.pings_with_port_by_join(_positions(spark, folder), standin.ports(spark, folder), broadcast_cells=0)
 
 
+@registered
+def pings_with_port_crowded(spark, folder):
+    """Nearest of 40 times as many ports: each has 39 others around it, within some 150 m."""
+    return proximity.pings_with_port(_positions(spark, folder), standin.harbours(spark, folder))
+
+
 @registered
 def legs_with_port(spark, folder):
     """Next leg and nearest port within 35 km on a sphere, for every ping."""
@@ -352,6 +358,16 @@ def coast_filter(spark, folder):
     return audit.near_coast(_positions(spark, folder))
 
 
+#: Parts of every edge of the ring in coast_filter_fine, which has some 5,000 edges then.
+RING_PARTS = 250
+
+
+@registered
+def coast_filter_fine(spark, folder):
+    """The same with a ring of very many edges, by its raster index."""
+    return audit.near_coast(_positions(spark, folder), polygon.refined(geo.COAST_RING, RING_PARTS))
+
+
 @registered
 def coast_count(spark, folder):
     return audit.row_count(audit.near_coast(standin.pings(spark, folder)))

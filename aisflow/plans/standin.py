@@ -93,6 +93,25 @@ def ports(spark: SparkSession, folder: str) -> DataFrame:
     return nations.selectExpr(*_named(PORT_EXPRESSIONS))
 
 
+HARBOUR_EXPRESSIONS = {
+    "UNLOCODE": "concat(UNLOCODE, '-', cast(k AS varchar(8)))",
+    "NAME": "NAME",
+    "STATE": "STATE",
+    "LAT": "LAT + cast(k % 8 AS double) * 0.000171e0",
+    "LON": "LON + cast((k - k % 8) / 8 AS double) * 0.000137e0",
+}
+
+
+def harbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Forty ports for each port, close together."""
+    copies = ports(spark, folder).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(39))))
+    return copies.selectExpr(*_named(HARBOUR_EXPRESSIONS))
+
+
+def harbour_sql() -> str:
+    return f"SELECT {', '.join(_named(HARBOUR_EXPRESSIONS))} FROM (SELECT *, unnest(range(40)) AS k FROM ({port_sql()}))"
+
+
 def ping_sql() -> str:
     """The same pings as ANSI SQL."""
     copies = f"CASE WHEN {COPIES[0]} THEN [0, 1] WHEN {COPIES[1]} THEN [0, 0] ELSE [0] END"

@@ -179,3 +179,26 @@ def test_a_busy_instant_is_spread_without_adaptive_execution(spark, rows_of):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert "_part" not in plan_of(proximity.pings_with_port_by_join(pings, ports, broadcast_cells=0))
+
+
+@pytest.mark.parametrize("globe", [geo.WGS84, geo.SPHERE])
+def test_crowded_cells_are_divided(spark, rows_of, globe, monkeypatch):
+    """Thousands of ports in one harbour, and some at one place: few candidates a ping, and the nearest is the nearest."""
+    from pyspark.sql import functions as F
+
+    draw = random.Random(8)
+    ports_ = [(f"H{k:05d}", 30 + draw.gauss(0, 0.004), -90 + draw.gauss(0, 0.004)) for k in range(3000)]
+    ports_ += [(f"S{k}", 10.0, 180.0) for k in range(100)] + [(f"N{k}", 89.999, float(k)) for k in range(3)]
+    places = [(30 + draw.uniform(-0.06, 0.06), -90 + draw.uniform(-0.06, 0.06)) for _ in range(400)]
+    places += [(10.001, -179.999), (10.0, 180.0), (89.9999, 50.0), (-90.0, 0.0), (90.0, 180.0)]
+    pings = positions(spark, [(f"{k:09d}", k, lat, lon) for k, (lat, lon) in enumerate(places)])
+    ports = make_ports(spark, ports_)
+    hits = proximity.port_hits(pings, ports, globe=globe)
+    best = {(r["MMSI"]): (r["d"], r["UNLOCODE"]) for r in proximity.nearest_port(hits).collect()}
+    found = {r["MMSI"]: tuple(r["port"]) for r in proximity.own_port(pings, ports, globe=globe).where("port IS NOT NULL").collect()}
+    assert found == best and len(best) > 150
+    cells = proximity.nearest_cells(ports, 3500.0, globe)
+    counts = cells.ports.groupBy("_cell").count()
+    assert cells.divided and counts.agg(F.max("count")).first()[0] <= proximity.CELL_PORTS
+    joined = proximity.pings_with_port_by_join(pings, ports, globe=globe, broadcast_cells=0)
+    assert rows_of(joined.select("MMSI", "UNLOCODE").where("UNLOCODE IS NOT NULL")) == sorted([(m, c) for m, (_, c) in best.items()], key=repr)
