@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from aisflow import schemas
+from aisflow import storage_files as files
+from aisflow.sinks import versions
 
 MONTH_LABEL = T.StructField("YearMonth", T.StringType())
 
@@ -99,7 +101,11 @@ def create_external(spark: SparkSession, table: External, path: str, database: s
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitions} LOCATION '{location}'")
     if table.by_month:
-        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        if files.matching(spark, f"{path}/{versions.PREFIX}*"):
+            # a repair would point months back from their versions to the table's own folders
+            versions.add_months(spark, name, path)
+        else:
+            spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
     return name
 

@@ -13,6 +13,7 @@ if __name__ == "__main__":
     parser.add_argument("--ais", required=True, help="root of the clean table")
     parser.add_argument("--year", required=True, type=int)
     parser.add_argument("--conflicts", help="write all conflicting profiles here")
+    parser.add_argument("--state", help="keep each ship's values by year here, and profile all years of it")
     parser.add_argument("--lenient", action="store_true", help="do not stop at conflicting profiles")
     parser.add_argument("--keep-invalid-profiles", action="store_true", help="filter kinematics only")
     args = parser.parse_args()
@@ -26,4 +27,5 @@ if __name__ == "__main__":
         strict=not args.lenient,
         scope="pings" if args.keep_invalid_profiles else "all",
         conflicts_root=args.conflicts,
+        state_root=args.state,
     )

@@ -150,6 +150,8 @@ def test_months_are_swapped_as_a_whole(spark, tmp_path, rows_of):
         now = [("new", 3), ("new", 3), ("new", 6), ("old", 5)]
         assert sorted(map(tuple, spark.table(table).select("Cargo", "month").collect())) == now
         assert ping_source.read_parquet(spark, root, None).count() == 2
+        catalog.create_external(spark, catalog.PINGS_TABLE, root, "swapped")
+        assert sorted(map(tuple, spark.table(table).select("Cargo", "month").collect())) == now
         second = versions.replace_months(march.where("month = 3").limit(1), table, root)
         assert versions.remove_unused(spark, table, root) == []
         versions.replace_months(march, table, root)
