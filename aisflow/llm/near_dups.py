@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from aisflow.llm import batches
 from aisflow.llm.components import components
-from aisflow.storage import scratch_path, written
+from aisflow.storage import job, scratch_path, written
 
 #: Production parameters. Two sets of exactly the least similarity that part only from large nodes are missed with
 #: a chance of 1.0e-4 by depth 3, 5.2e-4 by 4, 1.6e-3 by 5 and 3.6e-3 by 6 (computed; the trees share a signature).
@@ -345,6 +345,13 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> Data
 
 
 def keep(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """The documents that are kept, with all their columns (repeated rows of a kept id stay)."""
-    gone = written(near_duplicates(docs, shingle_words).where("NOT kept").select("doc_id").distinct(), "gone")
+    """The documents that are kept, with all their columns (repeated rows of a kept id stay).
+
+    Only the ids that go are needed in the end; all other tables are removed once these are written.
+    """
+    spark = docs.sparkSession
+    path = scratch_path(spark, "gone")
+    with job(spark):
+        near_duplicates(docs, shingle_words).where("NOT kept").select("doc_id").distinct().write.parquet(path)
+    gone = spark.read.schema("doc_id long").parquet(path)
     return docs.join(_broadcast_if_few(gone), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

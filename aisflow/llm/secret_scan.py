@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aisflow.llm.columns import let
-from aisflow.storage import scratch_path, written
+from aisflow.storage import job, scratch_path
 
 
 @dataclass(frozen=True)
@@ -216,14 +216,17 @@ def masked(text: Column, covered: Column) -> Column:
 def redact(docs: DataFrame, ledger_path: str | None = None, rules: list[Rule] = RULES) -> DataFrame:
     """The documents with their secrets masked and ``n_chars``, where there is one, counted anew
     for changed texts; rows, columns and clean texts stay as they are. A null text stays null,
-    an empty table gives an empty one. Without a ledger a new one in the shared folder is used.
+    an empty table gives an empty one. Without a ledger a new one is used for this call.
 
     What is found is counted: little is broadcast, so that texts stay where they are; more is joined by address.
     """
-    spark = docs.sparkSession
-    path = ledger_path or scratch_path(spark, "secret-ledger")
-    update(docs, path, rules)
-    covered = written(stretches(spark, path, rules).withColumnsRenamed({"blob": "_blob", "stretches": "_covered"}), "stretches")
+    spark, place = docs.sparkSession, scratch_path(docs.sparkSession, "stretches")
+    with job(spark):
+        path = ledger_path or scratch_path(spark, "secret-ledger")
+        update(docs, path, rules)
+        covered = stretches(spark, path, rules).withColumnsRenamed({"blob": "_blob", "stretches": "_covered"})
+        covered.write.parquet(place)
+    covered = spark.read.schema(covered.schema).parquet(place)
     many = covered.agg(F.sum(F.size("_covered") + 4)).first()[0] or 0
     names = [F.col(f"`{c}`") for c in docs.columns]
     packed = docs.select("text", F.struct(*names).alias("_row"), blob_of(F.col("text")).alias("_address"))
