@@ -26,7 +26,7 @@ RATE = 4.0
 BATCH = 32
 THRESHOLD = 0.7
 #: Bytes of text that one numpy step handles.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 19
 
 _TABLES = np.random.default_rng(20240101).integers(0, 2**32, (24, 256), dtype=np.uint32)
 _AGAIN = np.uint32(0xA6A1)
