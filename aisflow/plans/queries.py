@@ -445,7 +445,8 @@ def zip_files(spark, folder):
     path = scratch_path(spark, "archives")
     archives = standin.zip_archives(standin.pings(spark, folder)).select(F.col("content").cast("string").alias("value"))
     archives.write.option("maxRecordsPerFile", 1).text(path)
-    return ping_source.read_zip(spark, path)
+    # stored, so that archives are unpacked once, whatever reads the result
+    return written(ping_source.read_zip(spark, path), "unpacked")
 
 
 @registered
