@@ -27,6 +27,29 @@ def _geodesic(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
     return f"CASE WHEN {lat1} = {lat2} AND {lon1} = {lon2} THEN 0e0 ELSE {d} END"
 
 
+def _vincenty(table: str, steps: int = 8) -> str:
+    """Rows of ``table`` with the metres from (p_lon, p_lat) to (LON, LAT) by Vincenty's iteration on the
+    longitude. It does not converge between nearly opposite places, and the stand-in has none."""
+    f = "(1e0 / 298.257223563e0)"
+    rows = f"""SELECT *, atan((1 - {f}) * tan(radians(p_lat))) AS u1, atan((1 - {f}) * tan(radians(LAT))) AS u2,
+        radians(LON - p_lon) AS span, radians(LON - p_lon) AS lam FROM {table}"""
+    arcs = """cos(u2) * sin(lam) AS x, cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam) AS y,
+        sqrt(x * x + y * y) AS sin_s, sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cos_s, atan2(sin_s, cos_s) AS s,
+        cos(u1) * cos(u2) * sin(lam) / sin_s AS sin_al, 1 - sin_al * sin_al AS cos2_al,
+        cos_s - 2 * sin(u1) * sin(u2) / cos2_al AS cos_2m"""
+    names = "x, y, sin_s, cos_s, s, sin_al, cos2_al, cos_2m"
+    for _ in range(steps):
+        rows = f"""SELECT * EXCLUDE (lam, c, {names}), span + (1 - c) * {f} * sin_al * (s + c * sin_s * (cos_2m
+            + c * cos_s * (2 * cos_2m * cos_2m - 1))) AS lam
+            FROM (SELECT *, {arcs}, {f} / 16 * cos2_al * (4 + {f} * (4 - 3 * cos2_al)) AS c FROM ({rows}))"""
+    series = f"""cos2_al * (1 / pow(1 - {f}, 2) - 1) AS w,
+        1 + w / 16384 * (4096 + w * (-768 + w * (320 - 175 * w))) AS a, w / 1024 * (256 + w * (-128 + w * (74 - 47 * w))) AS b,
+        b * sin_s * (cos_2m + b / 4 * (cos_s * (2 * cos_2m * cos_2m - 1)
+        - b / 6 * cos_2m * (4 * sin_s * sin_s - 3) * (4 * cos_2m * cos_2m - 3))) AS less"""
+    metres = f"CASE WHEN p_lat = LAT AND p_lon = LON THEN 0e0 ELSE 6378137e0 * (1 - {f}) * a * (s - less) END"
+    return f"SELECT *, {metres} AS exact_m FROM (SELECT *, {series} FROM (SELECT *, {arcs} FROM ({rows})))"
+
+
 def _haversine(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
     h = (
         f"(pow(sin(radians({lat2} - {lat1}) / 2), 2)"
@@ -158,6 +181,9 @@ _BODIES = {
         GROUP BY 1 ORDER BY c DESC""",
     "gap_prev": "SELECT MMSI, BaseDateTime, LAT, LON, MeterSincePrevPing, MinSincePrevPing FROM gaps",
     "gap_prev_hot": "SELECT MMSI, BaseDateTime, LAT, LON, MeterSincePrevPing, MinSincePrevPing FROM gaps",
+    "gap_prev_exact": f"""SELECT MMSI, BaseDateTime, LAT, LON, round(exact_m, 2) AS MeterSincePrevPing,
+        (epoch(date_trunc('second', BaseDateTime)) - epoch(date_trunc('second', p_time))) / 60 AS MinSincePrevPing
+        FROM ({_vincenty('stepped')})""",
     "gap_next": _LEGS,
     "gap_next_hot": _LEGS,
     "legs_with_port": _LEGS_WITH_PORT,

@@ -201,6 +201,12 @@ def gap_prev(spark, folder):
     return _rounded(motion.previous_gaps(_positions(spark, folder)), "MeterSincePrevPing")
 
 
+@registered
+def gap_prev_exact(spark, folder):
+    """The same as gap_prev by the iterated geodesic."""
+    return _rounded(motion.previous_gaps(_positions(spark, folder), exact=True), "MeterSincePrevPing")
+
+
 @registered
 def gap_next(spark, folder):
     return motion.next_leg(_positions(spark, folder)).withColumn("d", F.round("d", 3))
