@@ -26,8 +26,8 @@ def with_metres(
 ) -> DataFrame:
     """The frame with the metres of the shortest path between two points in degrees as ``name``.
 
-    The relative error is below 1e-9 (measured over ordinary, short, polar, equatorial and nearly
-    opposite pairs); below a few metres the absolute one is about 1e-8 m. Null coordinates give null,
+    The relative error is below 1e-9, or the absolute one below 1e-7 m where that is more (measured over
+    ordinary, short, polar, equatorial and nearly opposite pairs). Null coordinates give null,
     rows and other columns stay as they are, and longitudes may differ by any number of turns.
     """
     kept = [F.col(f"`{c}`") for c in frame.columns if c.lower() != name.lower()]
