@@ -24,6 +24,12 @@ COPIES = "_copies"
 # Rows per slice of a hot key.
 SLICE_ROWS = 1_000_000
 
+# A choice of plan, which no result depends on: rows of hot keys that a task sorts and cuts, where slices are smaller.
+TASK_ROWS = 250_000
+
+# Spark's numbers of rows are unique: those of a partition start at its multiple of this.
+_PARTITION = 1 << 33
+
 
 def _in_order(columns: list[str], reverse: bool) -> list[Column]:
     return [F.col(c).desc() if reverse else F.col(c).asc() for c in columns]
@@ -61,20 +67,25 @@ def cut_hot(
     slice_rows: int = SLICE_ROWS,
     lookup: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Rows of ``fold`` with ``_slice``: a range partitioning by ship, time and position cuts
-    each ship into slices of similar size, wherever its rows lie in time.
+    """Rows of ``fold`` with ``_slice``: a range partitioning by ship, time and position deals
+    each ship out evenly, wherever its rows lie in time, and each task cuts its rows, in that
+    order, into slices of ``slice_rows``. Slices ascend, but may skip numbers; the number of tasks
+    goes by the rows, however many slices that makes.
 
     The cut is written out: all that reads it must see the same one, even after
     an executor is lost. ``lookup`` adds columns to each row on the way.
     """
     order = _total_order([c for c in folded.columns if c != COPIES])
-    ranged = folded.repartitionByRange(_slices(total_rows, slice_rows), KEY, *order)
-    sliced = ranged.withColumn("_slice", F.spark_partition_id())
+    ranged = folded.repartitionByRange(hot_tasks(total_rows, slice_rows), KEY, *order)
+    numbered = ranged.sortWithinPartitions(KEY, *order).withColumn("_row", F.monotonically_increasing_id())
+    within = F.pmod("_row", F.lit(_PARTITION))
+    sliced = numbered.withColumn("_slice", F.col("_row") - within + F.floor(within / slice_rows)).drop("_row")
     return written(lookup(sliced) if lookup else sliced, "slices")
 
 
-def _slices(total_rows: int, slice_rows: int) -> int:
-    return max(2, -(-total_rows // slice_rows))
+def hot_tasks(total_rows: int, slice_rows: int) -> int:
+    """Tasks for rows of hot keys: a slice each, or as many small slices as make up TASK_ROWS."""
+    return max(2, -(-total_rows // max(slice_rows, TASK_ROWS)))
 
 
 def link_cut(cut: DataFrame, columns: list[str], prefix: str, reverse: bool = False, beside: dict[str, Column] | None = None) -> DataFrame:
@@ -85,7 +96,7 @@ def link_cut(cut: DataFrame, columns: list[str], prefix: str, reverse: bool = Fa
     window per (ship, slice) links rows; the extra rows go again.
     """
     order = _total_order(columns)
-    # One row per ship and slice from here on, never more than there are partitions.
+    # One row per ship and slice from here on.
     edge = F.min if reverse else F.max
     by_slice = Window.partitionBy(KEY).orderBy("_slice")
     neighbour = F.lag("_slice").over(by_slice) if reverse else F.lead("_slice").over(by_slice)
@@ -119,7 +130,7 @@ def link_hot(
     columns = [c for c in folded.columns if c != COPIES]
     cut = cut_hot(folded, total_rows, slice_rows)
     firsts = link_cut(cut, columns, prefix, reverse)
-    return lay_out(firsts, cut, columns, prefix, _slices(total_rows, slice_rows), slice_rows)
+    return lay_out(firsts, cut, columns, prefix, hot_tasks(total_rows, slice_rows), slice_rows)
 
 
 def _further_copies(

@@ -100,6 +100,35 @@ def test_slices_stay_small(spark, monkeypatch):
     assert "hashpartitioning(MMSI" in plan and "_slice" in plan
 
 
+def test_tasks_of_the_hot_path_go_by_rows_not_by_slices(spark, monkeypatch):
+    """Many small slices share a task, in the cut and where copies are laid out, and are still as small as asked for."""
+    pings = positions(spark, track(5, 3, 1500, hot_share=0.9))
+    tables = []
+    keep = motion.written
+    monkeypatch.setattr(motion, "written", lambda frame, label: tables.append(keep(frame, label)) or tables[-1])
+    total = pings.count()
+    linked = motion.link_hot(motion.fold(pings), "_prev_", total, slice_rows=20)
+    assert linked.count() == total
+    assert len(tables[0].inputFiles()) <= 2
+    sizes = [row["count"] for row in tables[0].groupBy("_slice").count().collect()]
+    assert len(sizes) >= tables[0].count() / 20 and max(sizes) <= 20
+    assert f", {-(-total // 20)})" not in plan_of(linked)
+
+
+def test_slices_ascend_in_the_order_of_a_ship(spark):
+    cut = motion.cut_hot(motion.fold(positions(spark, track(6, 4, 300))), 360, slice_rows=10)
+    ends = cut.groupBy("MMSI", "_slice").agg(F.min(F.struct(*motion.ORDER)), F.max(F.struct(*motion.ORDER)))
+    rows = sorted((tuple(row) for row in ends.collect()), key=lambda row: (str(row[0]), row[1]))
+    for (ship, _, _, last), (following, _, first, _) in zip(rows, rows[1:]):
+        assert ship != following or last < first
+
+
+def test_hot_tasks():
+    assert motion.hot_tasks(10, 50) == 2
+    assert motion.hot_tasks(6_000_000, 50) == 24
+    assert motion.hot_tasks(20_000_000, 1_000_000) == 20
+
+
 def test_legacy_sign_counts_backwards(spark):
     pings = positions(spark, [("1", 0, 1.0, 1.0), ("1", 90, 1.0, 1.0)])
     assert [r["MinSincePrevPing"] for r in motion.previous_gaps(pings).orderBy("BaseDateTime").collect()] == [None, 1.5]
