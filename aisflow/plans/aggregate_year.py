@@ -77,7 +77,7 @@ def _scan_slices(folded: DataFrame, total_rows: int, slice_rows: int, looked_up:
     best = best.when(F.col("BaseDateTime") == F.col("_last"), F.col("_best_last")).otherwise(F.col("_best"))
     known = F.col("MMSI").isNotNull() & F.col("BaseDateTime").isNotNull()
     named = joined.withColumn("NearPort", F.when(known, best["UNLOCODE"]))
-    return motion.lay_out(named, cut, columns, motion.PREVIOUS, max(2, -(-total_rows // slice_rows)), slice_rows)
+    return motion.lay_out(named, cut, columns, motion.PREVIOUS, motion.hot_tasks(total_rows, slice_rows), slice_rows)
 
 
 def _best_at_ends(cut: DataFrame) -> DataFrame:

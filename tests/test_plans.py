@@ -202,6 +202,20 @@ def test_hot_ships_take_one_port_lookup_and_one_cut(busy, monkeypatch):
     assert not any("BaseDateTime" in line for line in joins)
 
 
+@pytest.mark.parametrize("broadcast_cells", [proximity.BROADCAST_CELLS, 0])
+def test_tasks_of_hot_ships_go_by_rows_not_by_slices(spark, monkeypatch, broadcast_cells):
+    """Whichever way ports are found, neither the cut nor the further copies have a task for each slice of seven rows."""
+    rows = track(3, 4, 400, hot_share=0.7)
+    tables, keep = [], aggregate_year.motion.written
+    monkeypatch.setattr(aggregate_year.motion, "written", lambda frame, label: tables.append(keep(frame, label)) or tables[-1])
+    ports = make_ports(spark, [("A", 30.0, -90.0)])
+    found = aggregate_year.time_analysis(positions(spark, rows), ports, hot_rows=2, slice_rows=7, broadcast_cells=broadcast_cells)
+    assert found.count() == len(rows)
+    assert len(tables) == 1 and len(tables[0].inputFiles()) <= 2
+    chunks = [line for line in plan_of(found).splitlines() if "REPARTITION_BY_NUM" in line and "_chunk" in line]
+    assert chunks and all(", 2), REPARTITION_BY_NUM" in line for line in chunks)
+
+
 @pytest.mark.parametrize("slice_rows", [1, 3, 1000])
 def test_an_instant_over_many_slices_shares_its_nearest_port(spark, rows_of, slice_rows):
     """All rows of a hot ship at one instant, or at two; one of them alone is near a port."""
