@@ -158,14 +158,14 @@ def zip_archives(raw: DataFrame) -> DataFrame:
         import io
         import zipfile
 
-        import pandas as pd
+        import pyarrow as pa
 
         for batch in batches:
-            body = "\n".join([header, *batch["line"]]) + "\n"
+            body = "\n".join([header, *batch["line"].to_pylist()]) + "\n"
             content = io.BytesIO()
             with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
                 archive.writestr("day.csv", body)
-            yield pd.DataFrame({"path": ["day.zip"], "content": [content.getvalue()]})
+            yield pa.RecordBatch.from_arrays([pa.array(["day.zip"]), pa.array([content.getvalue()])], ["path", "content"])
 
     lines = csv_text(raw).na.fill("").select(F.concat_ws(",", *raw.columns).alias("line"))
-    return lines.mapInPandas(pack, "path string, content binary")
+    return lines.mapInArrow(pack, "path string, content binary")

@@ -32,8 +32,8 @@ def read_archives(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def first_member_lines(whole: DataFrame) -> DataFrame:
     """(path, line): text lines, without the header, of the first member of each archive.
 
-    Reads every archive as a stream. Archives are spread over tasks; only the
-    unpacking happens in Python, parsing stays with Spark.
+    Reads every archive as a stream, out of the memory that Arrow has it in. Archives are spread
+    over tasks; only the unpacking happens in Python, parsing stays with Spark.
     """
     lines_per_batch = LINES_PER_BATCH
 
@@ -42,18 +42,19 @@ def first_member_lines(whole: DataFrame) -> DataFrame:
         import itertools
         import zipfile
 
-        import pandas as pd
+        import pyarrow as pa
 
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
                     with archive.open(archive.namelist()[0]) as member:
                         text = io.TextIOWrapper(member, encoding="ascii")
                         next(text, None)
-                        while lines := list(itertools.islice(text, lines_per_batch)):
-                            yield pd.DataFrame({"path": path, "line": [line.rstrip("\n") for line in lines]})
+                        while lines := [line.rstrip("\n") for line in itertools.islice(text, lines_per_batch)]:
+                            paths = pa.array([path.as_py()] * len(lines), pa.string())
+                            yield pa.RecordBatch.from_arrays([paths, pa.array(lines, pa.string())], ["path", "line"])
 
-    return whole.select("path", "content").mapInPandas(unpack, "path string, line string")
+    return whole.select("path", "content").mapInArrow(unpack, "path string, line string")
 
 
 def parse_lines(lines: DataFrame, with_path: bool = False) -> DataFrame:

@@ -5,7 +5,7 @@ from conftest import plan_of
 from makers import positions
 
 from aisflow import schemas
-from aisflow.plans import ingest_days
+from aisflow.plans import ingest_days, standin
 from aisflow.sources import days, ports
 from aisflow.sources import pings as ping_source
 
@@ -334,3 +334,20 @@ def test_archives_by_other_paths_are_taken_in_whole(spark, tmp_path, monkeypatch
     streamed = rows_of(ping_source.read_zip(spark, str(tmp_path / "*.zip")))
     monkeypatch.setattr(ping_source.archives, "can_stream", lambda path: False)
     assert rows_of(ping_source.read_zip(spark, str(tmp_path / "*.zip"))) == streamed and len(streamed) == 2
+
+
+def test_archives_in_memory_are_not_copied_and_keep_their_lines(spark, tmp_path):
+    """Both steps in Python get and give Arrow batches, many archives in one, without a pandas frame beside them."""
+    for day in range(1, 10):
+        make_zip(tmp_path / f"AIS_2024_01_{day:02d}.zip", text(*[line(day, second) for second in range(day)]), text(line(9, 9)))
+    make_zip(tmp_path / "AIS_2024_01_10.zip", "")
+    whole = ping_source.read_archives(spark, str(tmp_path / "*.zip")).coalesce(1)
+    lines = ping_source.first_member_lines(whole)
+    found = sorted((row["path"].rsplit("/", 1)[1], row["line"]) for row in lines.collect())
+    assert found == [(f"AIS_2024_01_{day:02d}.zip", line(day, second)) for day in range(1, 10) for second in range(day)]
+    archives = standin.zip_archives(ping_source.parse_lines(lines))
+    plan = plan_of(ping_source.first_member_lines(archives))
+    assert plan.count("MapInArrow") >= 3 and "Pandas" not in plan
+    assert sorted(row["line"] for row in ping_source.first_member_lines(archives).collect()) == sorted(
+        row["line"] for row in standin.csv_text(ping_source.parse_lines(lines)).na.fill("").selectExpr("concat_ws(',', *) AS line").collect()
+    )
