@@ -115,6 +115,16 @@ def test_tasks_of_the_hot_path_go_by_rows_not_by_slices(spark, monkeypatch):
     assert f", {-(-total // 20)})" not in plan_of(linked)
 
 
+def test_next_legs_over_many_slices_of_a_task(spark, rows_of, monkeypatch):
+    pings = positions(spark, track(8, 3, 200, hot_share=0.9))
+    tables, keep = [], motion.written
+    monkeypatch.setattr(motion, "written", lambda frame, label: tables.append(keep(frame, label)) or tables[-1])
+    found = rows_of(motion.next_leg(pings, hot_rows=20, slice_rows=7))
+    folded, cut = tables
+    assert len(cut.inputFiles()) <= 2 < cut.select("_slice").distinct().count()
+    assert found == rows_of(motion.next_leg(pings))
+
+
 def test_slices_ascend_in_the_order_of_a_ship(spark):
     cut = motion.cut_hot(motion.fold(positions(spark, track(6, 4, 300))), 360, slice_rows=10)
     ends = cut.groupBy("MMSI", "_slice").agg(F.min(F.struct(*motion.ORDER)), F.max(F.struct(*motion.ORDER)))
