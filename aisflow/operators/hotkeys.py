@@ -11,11 +11,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aisflow.storage import written
+
 # About ten years of one report a minute: no single ship gets here.
 HOT_ROWS = 5_000_000
 
-# A choice of plan, which no result depends on: up to this many hot keys they are listed in the plan and broadcast; beyond it they are shuffled.
-LISTED_KEYS = 10_000
+# Choices of plan, which no result depends on: up to this many hot keys they are listed in the plan (as Arrow, some 20 bytes each);
+# beyond it they are written once, and broadcast up to the second number.
+LISTED_KEYS = 100_000
+BROADCAST_KEYS = 500_000
 
 
 @dataclass(frozen=True)
@@ -30,15 +34,16 @@ class Parts:
 def split_hot(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS, listed_keys: int = LISTED_KEYS) -> Parts:
     sizes = rows.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_rows"))
     hot_keys = sizes.where(F.col("_rows") > hot_rows)
-    listed = hot_keys.limit(listed_keys + 1).collect()
-    if not listed:
+    listed = hot_keys.limit(listed_keys + 1).toArrow()
+    if not listed.num_rows:
         return Parts(rows, None, 0)
-    if len(listed) <= listed_keys:
-        total = sum(row["_rows"] for row in listed)
-        side = rows.sparkSession.createDataFrame(listed, hot_keys.schema)
-        side = F.broadcast(side.select("_hot"))
+    if listed.num_rows <= listed_keys:
+        total = sum(listed.column("_rows").to_pylist())
+        side = F.broadcast(rows.sparkSession.createDataFrame(listed, hot_keys.schema).select("_hot"))
     else:
-        total = hot_keys.agg(F.sum("_rows")).first()[0]
-        side = hot_keys.select("_hot")
+        # written, as the count would run again for each of the two parts
+        side = written(hot_keys, "hot_keys")
+        total, keys = side.agg(F.sum("_rows"), F.count("*")).first()
+        side = F.broadcast(side.select("_hot")) if keys <= BROADCAST_KEYS else side.select("_hot")
     same = rows[key].eqNullSafe(side["_hot"])
     return Parts(rows.join(side, same, "left_anti"), rows.join(side, same, "left_semi"), total)

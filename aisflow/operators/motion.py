@@ -27,6 +27,9 @@ SLICE_ROWS = 1_000_000
 # A choice of plan, which no result depends on: rows of hot keys that a task sorts and cuts, where slices are smaller.
 TASK_ROWS = 250_000
 
+# A choice of plan, which no result depends on: rows that occur at most so often (and no more than a quarter of a chunk) are laid out where they are.
+FEW_COPIES = 16
+
 # Spark's numbers of rows are unique: those of a partition start at its multiple of this.
 _PARTITION = 1 << 33
 
@@ -112,11 +115,17 @@ def link_cut(cut: DataFrame, columns: list[str], prefix: str, reverse: bool = Fa
 
 
 def lay_out(firsts: DataFrame, cut: DataFrame, columns: list[str], prefix: str, tasks: int, chunk_rows: int = SLICE_ROWS) -> DataFrame:
-    """The linked rows as often as they occur. All but the first copy follow an equal row."""
-    once = firsts.select(*columns, *_beside(prefix))
-    if cut.where(F.col(COPIES) > 1).isEmpty():
-        return once
-    return once.unionByName(_further_copies(firsts, columns, prefix, tasks, chunk_rows))
+    """The linked rows as often as they occur. All but the first copy follow an equal row.
+
+    Few copies are laid out by the task that links the row, so that the links are found once;
+    rows with more, if there are any, are linked again for theirs."""
+    many = F.col(COPIES) > max(1, min(FEW_COPIES, chunk_rows // 4))
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.when(many, F.lit(0)).otherwise(F.col(COPIES) - 1))).alias("_copy")
+    neighbour = [F.when(F.col("_copy") > 0, F.col(c)).otherwise(F.col(prefix + c)).alias(prefix + c) for c in ORDER]
+    few = firsts.select("*", copy).select(*columns, *neighbour)
+    if cut.where(many).isEmpty():
+        return few
+    return few.unionByName(_further_copies(firsts.where(many), columns, prefix, tasks, chunk_rows))
 
 
 def link_hot(
@@ -139,8 +148,7 @@ def _further_copies(
     """All copies but the first, laid out in chunks over many tasks."""
     last_chunk = F.floor((F.col(COPIES) - 2) / chunk_rows)
     chunks = (
-        firsts.where(F.col(COPIES) > 1)
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
+        firsts.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
         .repartition(tasks, KEY, *ORDER, "_chunk")
     )
     in_chunk = F.least(F.lit(chunk_rows), F.col(COPIES) - 1 - F.col("_chunk") * chunk_rows)

@@ -125,6 +125,22 @@ def test_next_legs_over_many_slices_of_a_task(spark, rows_of, monkeypatch):
     assert found == rows_of(motion.next_leg(pings))
 
 
+def test_few_copies_are_laid_out_without_linking_twice(spark, rows_of):
+    pings = positions(spark, track(11, 3, 300, hot_share=0.9))
+    assert pings.groupBy(*pings.columns).count().agg(F.max("count")).first()[0] > 1
+    found = motion.next_leg(pings, hot_rows=20, slice_rows=100)
+    # one link of cold rows, one of hot ones, and one for the order of slices
+    assert plan_of(found).count("Window [") == 3
+    assert rows_of(found) == rows_of(motion.next_leg(pings))
+
+
+@pytest.mark.parametrize("copies", [2, 12, 13, 17, 130])
+def test_copies_on_both_sides_of_the_bound(spark, rows_of, copies):
+    pings = positions(spark, [("000000001", 5, 1.0, 2.0)] * copies + [("000000001", s, 3.0, 4.0) for s in range(30)])
+    for slice_rows in (7, 50, 1000):
+        assert rows_of(motion.next_leg(pings, hot_rows=10, slice_rows=slice_rows)) == rows_of(motion.next_leg(pings))
+
+
 def test_slices_ascend_in_the_order_of_a_ship(spark):
     cut = motion.cut_hot(motion.fold(positions(spark, track(6, 4, 300))), 360, slice_rows=10)
     ends = cut.groupBy("MMSI", "_slice").agg(F.min(F.struct(*motion.ORDER)), F.max(F.struct(*motion.ORDER)))
@@ -185,6 +201,12 @@ def test_split_hot_keeps_all_rows_apart(spark, listed):
     assert min(r["count"] for r in parts.hot.groupBy("MMSI").count().collect()) > 50
 
 
+def test_many_hot_keys_are_counted_once_for_both_parts(spark):
+    parts = hotkeys.split_hot(positions(spark, track(7, 6, 400)), "MMSI", hot_rows=50, listed_keys=0)
+    for part in (parts.cold, parts.hot):
+        assert "Aggregate" not in plan_of(part) and "BroadcastHashJoin" in plan_of(part)
+
+
 def test_a_missing_key_can_be_hot(spark):
     pings = positions(spark, [(None, i, 1.0, 1.0) for i in range(30)] + [("1", 0, 1.0, 1.0)])
     parts = hotkeys.split_hot(pings, "MMSI", hot_rows=10)
