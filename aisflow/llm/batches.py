@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Bytes of text that one numpy step handles at a time, about (a longer text is one step).
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 
 def steps(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -77,7 +77,8 @@ def matrix_of(column: pa.Array, kind: type, width: int) -> np.ndarray:
 def in_groups(names: list[str], work: Callable[[pa.Table, np.ndarray], Iterator[pa.RecordBatch]]):
     """A function for ``mapInArrow`` over rows sorted by ``names``: calls ``work`` with whole
     groups, as a table and the rows at which its groups begin (one more entry at the end).
-    Only the last group of a batch waits for the next one."""
+    Only the last group of a batch waits for the next one, in a copy of its own: a slice would
+    hold the whole batch in memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -85,17 +86,34 @@ def in_groups(names: list[str], work: Callable[[pa.Table, np.ndarray], Iterator[
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([held, table]).combine_chunks() if held is not None else table
+            del batch
+            if held is not None:
+                # rows that go on with the group held; what follows them is read where it is
+                more = _first_other(held, table, names)
+                held = pa.concat_tables([held, table.slice(0, more)]).combine_chunks()
+                table = table.slice(more)
+                if not len(table):
+                    continue
+                yield from work(held, np.array([0, len(held)]))
             starts = _starts(table, names)
             if len(starts) > 1:
                 yield from work(table.slice(0, starts[-1]), starts)
-            held = table.slice(starts[-1])
+            held = table.take(np.arange(starts[-1], len(table)))
+            del table
         if held is not None:
             yield from work(held, np.array([0, len(held)]))
 
     return run
 
 
+def _first_other(held: pa.Table, table: pa.Table, names: list[str]) -> int:
+    """The first row of ``table`` that is not of the group of ``held``, or its length."""
+    other = np.zeros(len(table), bool)
+    for name in names:
+        other |= table.column(name).to_numpy() != held.column(name)[0].as_py()
+    return int(np.argmax(other)) if other.any() else len(table)
+
+
 def _starts(table: pa.Table, names: list[str]) -> np.ndarray:
     new = np.zeros(len(table), bool)
     new[0] = True

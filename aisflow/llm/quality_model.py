@@ -130,7 +130,8 @@ def fit(texts: list[bytes], classes: np.ndarray, steps: int = STEPS, seed: int =
     for text in texts:
         data = np.frombuffer(text, np.uint8)
         ids, times = np.unique(features(data, np.array([0, len(data)])).buckets, return_counts=True)
-        held.append((ids.astype(np.int64), times / max(times.sum(), 1)))
+        # six bytes a feature, not sixteen, as all texts of the sample stay in memory
+        held.append((ids.astype(np.min_scalar_type(BUCKETS - 1)), times.astype(np.uint32), max(times.sum(), 1)))
     epochs = max(1, round(steps * BATCH / len(held)))
     done, total = 0, epochs * len(held)
     for _ in range(epochs):
@@ -138,7 +139,7 @@ def fit(texts: list[bytes], classes: np.ndarray, steps: int = STEPS, seed: int =
         for first in range(0, len(order), BATCH):
             chosen = order[first : first + BATCH]
             ids, inverse = np.unique(np.concatenate([held[k][0] for k in chosen]), return_inverse=True)
-            share = np.concatenate([held[k][1] for k in chosen])
+            share = np.concatenate([held[k][1] / held[k][2] for k in chosen])
             owner = np.repeat(np.arange(len(chosen)), [len(held[k][0]) for k in chosen])
             own = model.vectors[ids]
             texts_ = np.stack([np.bincount(owner, share * own[inverse, w], len(chosen)) for w in range(WIDTH)], axis=1)

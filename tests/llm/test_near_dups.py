@@ -107,3 +107,25 @@ def test_keep_and_empty_table(spark):
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {98, 97, 96, None, 7}
     assert near_dups.near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_groups_wait_without_the_batch_they_came_in():
+    """Ten groups a batch, the last of which goes on in the next one; one waits, in memory of its own."""
+    before, held, seen = pa.total_allocated_bytes(), [], []
+
+    def rows():
+        for k in range(5):
+            held.append(pa.total_allocated_bytes() - before)
+            nodes = np.repeat(np.arange(9 * k, 9 * k + 10), 100)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([bytes(5000)] * 1000)], ["node", "value"])
+        yield pa.RecordBatch.from_arrays([pa.array([45] * 70), pa.array([b""] * 70)], ["node", "value"])
+
+    def work(table, starts):
+        nodes = table.column("node").to_numpy()
+        seen.extend((int(nodes[a]), len(set(nodes[a:b])), b - a) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()))
+        yield from ()
+
+    assert list(batches.in_groups(["node"], work)(rows())) == []
+    sizes = {k: 200 if k % 9 == 0 else 100 for k in range(45)} | {0: 100, 45: 170}
+    assert seen == [(k, 1, n) for k, n in sorted(sizes.items())]
+    assert max(held) < 2_000_000
